@@ -41,6 +41,7 @@ class Tables:
 
 def load_all() -> dict[str, Query]:
     from tidemark.catalog import (  # noqa: F401
+        ingest,
         relational,
         windowed,
     )

@@ -102,11 +102,17 @@ def _range_over(points, by, t, value, before: int, after: int, kind: str, name:
     )
 
 
-def moving(df, by, t, col, back: int, kind="sum", name="moving", width: int = 4096) -> DataFrame:
-    """Aggregate over ``t`` in ``[t-back, t]`` with peers included; ``t`` is an integer (days, seconds)."""
+def moving(
+    df, by, t, col, back: int, kind="sum", name="moving", width: int = 4096, upto: int = 0
+) -> DataFrame:
+    """Aggregate over ``[t-back, t+upto]`` with peers included; ``t`` is an integer (days, seconds).
+
+    ``upto=-1`` leaves out the row's own time.
+    """
     first = {"sum": F.sum(col), "count": F.count(col), "max": F.max(col), "min": F.min(col)}[kind]
     points = df.groupBy(*by, t).agg(first.alias("_v"))
-    spread = _range_over(points, by, t, "_v", back, 0, kind, name, width).drop("_v")
+    merge = "sum" if kind == "count" else kind
+    spread = _range_over(points, by, t, "_v", back, upto, merge, name, width).drop("_v")
     return join_keys(df, spread, [*by, t])
 
 
@@ -178,8 +184,9 @@ def trailing_agg(
     key = list(key)
     first = {"sum": F.sum(col), "count": F.count(col), "max": F.max(col), "min": F.min(col)}[kind]
     points = df.groupBy(*key, t).agg(first.alias("_v"))
+    merge = "sum" if kind == "count" else kind
     if k > 1:
-        earlier = _range_over(points, key, t, "_v", k - 1, -1, kind, "_earlier", width).drop("_v")
+        earlier = _range_over(points, key, t, "_v", k - 1, -1, merge, "_earlier", width).drop("_v")
     else:
         earlier = points.withColumn("_earlier", F.lit(None).cast(points.schema["_v"].dataType)).drop("_v")
     peers = ordering.keyed_running(df, [*key, t], [seq], col, "_peers", kind, limit)
