@@ -41,8 +41,13 @@ class Tables:
 
 def load_all() -> dict[str, Query]:
     from tidemark.catalog import (  # noqa: F401
+        access,
+        columns,
         ingest,
+        library,
         relational,
+        streams,
+        warehouse,
         windowed,
     )
 

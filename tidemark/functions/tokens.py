@@ -23,29 +23,30 @@ SHIFT = 42
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789.-"
 
 LETTERS = ALPHABET[:62]
-DIGITS = {"ssn": 9, "phone": 10}
-ROUNDS = 8
+SHAPES = {"ssn": "ddd-dd-dddd", "phone": "(ddd) ddd-dddd"}
+ROUNDS, TEXT_ROUNDS = 8, 4
 
 
-def _digits(value: Column) -> Column:
-    return F.regexp_replace(value, r"\D", "")
+def _fill(kind: str, digit) -> Column:
+    """The shape of ``kind`` with ``digit(i)`` at its i-th place for a digit."""
+    parts, i = [], 0
+    for sign in SHAPES[kind]:
+        parts.append(digit(i) if sign == "d" else F.lit(sign))
+        i += sign == "d"
+    return F.concat(*parts)
 
 
-def _shaped(digits: Column, kind: str) -> Column:
-    def cut(start, length):
-        return F.substring(digits, start, length)
+def _digit(value: Column, kind: str, i: int) -> Column:
+    """The i-th digit of a well-shaped value."""
+    places = [at for at, sign in enumerate(SHAPES[kind]) if sign == "d"]
+    return F.substring(value, places[i] + 1, 1)
 
-    if kind == "ssn":
-        return F.concat(cut(1, 3), F.lit("-"), cut(4, 2), F.lit("-"), cut(6, 4))
-    return F.concat(F.lit("("), cut(1, 3), F.lit(") "), cut(4, 3), F.lit("-"), cut(7, 4))
 
+def _shift_digits(value: Column, kind: str, sign: int) -> Column:
+    def moved(i):
+        return F.pmod(_digit(value, kind, i).cast("int") + F.lit(sign * (SHIFT + i)), F.lit(10)).cast("string")
 
-def _shift_digits(digits: Column, count: int, sign: int) -> Column:
-    moved = [
-        F.pmod(F.substring(digits, i + 1, 1).cast("int") + F.lit(sign * (SHIFT + i)), F.lit(10))
-        for i in range(count)
-    ]
-    return F.concat(*[m.cast("string") for m in moved])
+    return _fill(kind, moved)
 
 
 def _shift_text(text: Column, sign: int) -> Column:
@@ -59,45 +60,90 @@ def _shift_text(text: Column, sign: int) -> Column:
     return F.array_join(F.transform(F.split(text, ""), move), "")
 
 
-def _number(digest: Column, modulus: int) -> Column:
-    return F.pmod(F.conv(F.substring(digest, 1, 14), 16, 10).cast("long"), F.lit(modulus))
-
+def _steps(rounds: int, back: bool) -> Column:
+    """Two steps per round: hash the half that stays, then move the other one."""
+    order = reversed(range(rounds)) if back else range(rounds)
+    return F.array(*[F.lit(n) for r in order for n in (2 * r, 2 * r + 1)])
 
-def _digest(key: str, version: int, number: int, half: Column) -> Column:
-    return F.sha2(F.concat(F.lit(f"{key}|{version}|{number}|"), half), 256)
 
+def _permute_digits(value: Column, kind: str, key: str, version: int, back: bool) -> Column:
+    """Feistel rounds add a hash of one half to the other half, modulo 10^n.
 
-def _permute_digits(digits: Column, count: int, key: str, version: int, back: bool) -> Column:
-    """Feistel rounds add a hash of one half to the other half, digit-wise modulo 10^n."""
+    A fold over steps keeps the plan small: each step sees the state of the step
+    before as a variable.
+    """
+    count = SHAPES[kind].count("d")
     sizes = (count // 2, count - count // 2)
-    halves = [F.substring(digits, 1, sizes[0]), F.substring(digits, sizes[0] + 1, sizes[1])]
-    for number in reversed(range(ROUNDS)) if back else range(ROUNDS):
-        side = number % 2
-        modulus = 10 ** sizes[side]
-        add = _number(_digest(key, version, number, halves[1 - side]), modulus)
-        moved = F.pmod(halves[side].cast("long") + (-add if back else add), F.lit(modulus))
-        halves[side] = F.lpad(moved.cast("string"), sizes[side], "0")
-    return F.concat(*halves)
+
+    def half(start, size):
+        return F.concat(*[_digit(value, kind, start + i) for i in range(size)])
+
+    state = F.struct(half(0, sizes[0]).alias("a"), half(sizes[0], sizes[1]).alias("b"), F.lit(0).cast("long").alias("hash"))
+
+    def moved(part: Column, add: Column, size: int) -> Column:
+        to = F.pmod(part.cast("long") + (-add if back else add), F.lit(10**size))
+        return F.lpad(to.cast("string"), size, "0")
+
+    def step(acc, n):
+        hashing, number, left = _read_step(n)
+        still = F.when(left, acc["b"]).otherwise(acc["a"])
+        digest = F.sha2(_seed(key, version, number, still), 256)
+        number_of = F.conv(F.substring(digest, 1, 14), 16, 10).cast("long")
+        return F.struct(
+            F.when(~hashing & left, moved(acc["a"], acc["hash"], sizes[0])).otherwise(acc["a"]).alias("a"),
+            F.when(~hashing & ~left, moved(acc["b"], acc["hash"], sizes[1])).otherwise(acc["b"]).alias("b"),
+            F.when(hashing, number_of).otherwise(acc["hash"]).alias("hash"),
+        )
+
+    def shaped(acc):
+        def digit(i):
+            return F.substring(acc["a"], i + 1, 1) if i < sizes[0] else F.substring(acc["b"], i - sizes[0] + 1, 1)
+
+        return _fill(kind, digit)
+
+    return F.reduce(_steps(ROUNDS, back), state, step, shaped)
+
+
+def _read_step(n: Column) -> tuple[Column, Column, Column]:
+    """(hashing step?, round number, does this round move the left half?)"""
+    number = F.floor(n / 2).cast("int")
+    return n % 2 == 0, number, number % 2 == 0
+
+
+def _seed(key: str, version: int, number: Column, still: Column) -> Column:
+    return F.concat(F.lit(f"{key}|{version}|"), number.cast("string"), F.lit("|"), still)
 
 
 def _permute_text(text: Column, key: str, version: int, back: bool) -> Column:
-    """The same on letters and digits; each character moves by its own hash value."""
-    letters = F.lit(LETTERS)
+    """The same on letters and digits, each moved by a byte of the other half's hash."""
     middle = F.floor(F.length(text) / 2).cast("int")
-    halves = [F.substring(text, F.lit(1), middle), F.substring(text, middle + 1, F.length(text))]
-    rounds = range(4)
-    for number in reversed(rounds) if back else rounds:
-        side = number % 2
-        other = halves[1 - side]
+    state = F.struct(
+        F.substring(text, F.lit(1), middle).alias("a"),
+        F.substring(text, middle + 1, F.length(text)).alias("b"),
+        F.lit("").alias("hash"),
+    )
+    letters, size = F.lit(LETTERS), F.lit(len(LETTERS))
 
-        def move(char, i, number=number, other=other):
+    def moved(half: Column, digest: Column) -> Column:
+        def move(char, i):
             at = F.position(char, letters)
-            add = _number(_digest(key, version, number, F.concat(i.cast("string"), F.lit("|"), other)), 62)
-            to = F.pmod(at - 1 + (-add if back else add), F.lit(62))
-            return F.when(at > 0, F.substring(letters, to.cast("int") + 1, F.lit(1))).otherwise(char)
+            add = F.conv(F.substring(digest, 2 * F.pmod(i, F.lit(32)) + 1, F.lit(2)), 16, 10).cast("int") + i
+            to = F.pmod(at - 1 + (-add if back else add), size)
+            return F.when(at > 0, F.substring(letters, to + 1, F.lit(1))).otherwise(char)
+
+        return F.array_join(F.transform(F.split(half, ""), move), "")
+
+    def step(acc, n):
+        hashing, number, left = _read_step(n)
+        still = F.when(left, acc["b"]).otherwise(acc["a"])
+        seed = _seed(key, version, number, still)
+        return F.struct(
+            F.when(~hashing & left, moved(acc["a"], acc["hash"])).otherwise(acc["a"]).alias("a"),
+            F.when(~hashing & ~left, moved(acc["b"], acc["hash"])).otherwise(acc["b"]).alias("b"),
+            F.when(hashing, F.sha2(seed, 256)).otherwise(acc["hash"]).alias("hash"),
+        )
 
-        halves[side] = F.array_join(F.transform(F.split(halves[side], ""), move), "")
-    return F.concat(*halves)
+    return F.reduce(_steps(TEXT_ROUNDS, back), state, step, lambda acc: F.concat(acc["a"], acc["b"]))
 
 
 def _email(value: Column, change, keep_top: bool) -> Column:
@@ -125,12 +171,10 @@ def token(value, kind: str, key: str | None = None, version: int = 1, back: bool
             out = _email(value, lambda t: _permute_text(t, key, version, back), True)
         usable = value.contains("@") if back else is_kind(value, kind)
     else:
-        count = DIGITS[kind]
         if key is None:
-            moved = _shift_digits(_digits(value), count, -1 if back else 1)
+            out = _shift_digits(value, kind, -1 if back else 1)
         else:
-            moved = _permute_digits(_digits(value), count, key, version, back)
-        out = _shaped(moved, kind)
+            out = _permute_digits(value, kind, key, version, back)
         usable = is_kind(value, kind)
     return F.when(usable, out)
 

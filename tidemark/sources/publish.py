@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.plans.skew import broadcast_if_small
 
@@ -21,6 +22,10 @@ def _paths(root: str) -> tuple[str, str]:
     return f"{root}/data", f"{root}/ledger"
 
 
+def _with_job(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("job_id", T.StringType())])
+
+
 def publish_slice(
     df: DataFrame,
     root: str,
@@ -39,7 +44,7 @@ def publish_slice(
         .parquet(data)
     )
     spark = df.sparkSession
-    written = spark.read.schema(df.schema.add("job_id", "string")).parquet(data).filter(F.col("job_id") == job_id)
+    written = spark.read.schema(_with_job(df.schema)).parquet(data).filter(F.col("job_id") == job_id)
     counts = written.groupBy(*keys).agg(F.count("*").alias("row_count"))
     if slices is not None:
         counts = slices.select(*keys).distinct().join(counts, list(keys), "full")
@@ -63,7 +68,7 @@ def current_jobs(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFra
 
 def read_published(spark: SparkSession, root: str, keys: Sequence[str], schema=None) -> DataFrame:
     """All current slices. The small ledger prunes the data folders at run time."""
-    reader = spark.read if schema is None else spark.read.schema(schema.add("job_id", "string"))
+    reader = spark.read if schema is None else spark.read.schema(_with_job(schema))
     data = reader.parquet(_paths(root)[0])
     jobs = broadcast_if_small(current_jobs(spark, root, keys))
     return data.join(jobs, [*keys, "job_id"], "left_semi").drop("job_id")

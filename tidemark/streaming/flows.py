@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.windows import trailing_agg
@@ -48,22 +49,28 @@ def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema).parquet(path)
 
 
+def with_event_time(df: DataFrame, at: str, late: str) -> DataFrame:
+    """Watermarked event time. A time without zone is read in the session's zone."""
+    return df.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, late)
+
+
 def meter(calls: DataFrame, by: Sequence[str], at: str = "ts", grain: str = "1 hour", late: str = "2 hours"):
     """Tumbling usage counts per key."""
-    windows = calls.withWatermark(at, late).groupBy(F.window(at, grain), *by)
+    windows = with_event_time(calls, at, late).groupBy(F.window(at, grain), *by)
     return windows.agg(F.count("*").alias("calls")).select(F.col("window.start").alias("period"), *by, "calls")
 
 
 def sliding(df: DataFrame, by, at: str, length: str, slide: str, late: str, *aggs: Column) -> DataFrame:
     """Sliding-window aggregates per key."""
-    windows = df.withWatermark(at, late).groupBy(F.window(at, length, slide), *by).agg(*aggs)
-    return windows.select(F.col("window.start").alias("start"), F.col("window.end").alias("end"), *[c for c in windows.columns if c != "window"])
+    windows = with_event_time(df, at, late).groupBy(F.window(at, length, slide), *by).agg(*aggs)
+    rest = [c for c in windows.columns if c != "window"]
+    return windows.select(F.col("window.start").alias("start"), F.col("window.end").alias("end"), *rest)
 
 
 def dedupe(df: DataFrame, id: str, at: str, within: str) -> DataFrame:
     """First event per id; a stream remembers ids for ``within``."""
     if df.isStreaming:
-        return df.withWatermark(at, within).dropDuplicatesWithinWatermark([id])
+        return with_event_time(df, at, within).dropDuplicatesWithinWatermark([id])
     return df.dropDuplicates([id])
 
 
@@ -78,8 +85,8 @@ def join_within(
 
     Both sides are watermarked, so their buffers stay bounded.
     """
-    a = left.withWatermark(left_at, late)
-    b = right.withWatermark(right_at, late).withColumnRenamed(on, "_right_on")
+    a = with_event_time(left, left_at, late)
+    b = with_event_time(right, right_at, late).withColumnRenamed(on, "_right_on")
     near = (
         (F.col(on) == F.col("_right_on"))
         & (F.col(right_at) >= F.col(left_at))
@@ -133,7 +140,8 @@ def upsert_sink(
 
 def read_upserted(spark: SparkSession, root: str, schema) -> DataFrame:
     """Current rows of an ``upsert_sink`` table."""
-    return read_published(spark, root, ["bucket"], schema.add("bucket", "int")).drop("bucket")
+    stored = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
+    return read_published(spark, root, ["bucket"], stored).drop("bucket")
 
 
 def once_sink(root: str, id: str) -> Callable[[DataFrame, int], None]:
@@ -201,7 +209,7 @@ def trailing_sum_sink(
         finally:
             kept.unpersist()
         mark = newest - lateness
-        schema = tiled.schema.add("epoch", "long")
+        schema = T.StructType([*tiled.schema.fields, T.StructField("epoch", T.LongType())])
         stored = spark.read.schema(schema).option("basePath", f"{root}/events").parquet(f"{root}/events")
         stored = stored.filter((F.col("epoch") <= epoch) & (F.col(t) <= mark))
         if emitted is not None:
