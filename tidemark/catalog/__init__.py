@@ -35,6 +35,13 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self._spark, self._folder = spark, folder
 
+    def spread(self, name: str) -> DataFrame:
+        """A scan for costly work per row. One with fewer splits than cores (a few large
+        row groups) is spread over all cores; any larger table is left as it is."""
+        df = getattr(self, name)
+        cores = self._spark.sparkContext.defaultParallelism
+        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
     def __getattr__(self, name: str) -> DataFrame:
         return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
 

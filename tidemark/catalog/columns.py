@@ -99,7 +99,7 @@ _IDS = """SELECT c_custkey, printf('%03d-%02d-%04d', c_custkey % 900, c_custkey
 def _ids(spark, sf):
     k = F.col("c_custkey")
     # Rows whose key needs more than four digits break the shapes on purpose.
-    return Tables(spark, sf).customer.select(
+    return Tables(spark, sf).spread("customer").select(
         "c_custkey",
         F.format_string("%03d-%02d-%04d", k % 900, k % 97, k).alias("ssn"),
         F.format_string("(%03d) %03d-%04d", 200 + k % 700, k % 1000, k).alias("phone"),
@@ -190,7 +190,7 @@ _PHONE = "\\(\\d{3}\\) \\d{3}-\\d{4}"
          len(regexp_extract_all(text, '\\d{{3}}-\\d{{2}}-\\d{{4}}')) AS n_ssn FROM documents""",
 )
 def _(spark, sf):
-    counted = personal.scan(Tables(spark, sf).documents, "text")
+    counted = personal.scan(Tables(spark, sf).spread("documents"), "text")
     return counted.select("doc_id", *[F.col(c).cast("long").alias(c) for c in ("n_email", "n_phone", "n_ssn")])
 
 
@@ -200,4 +200,4 @@ def _(spark, sf):
          '{_EMAIL}', '[EMAIL]', 'g'), '{_PHONE}', '[PHONE]', 'g')) AS masked FROM documents""",
 )
 def _(spark, sf):
-    return Tables(spark, sf).documents.select("doc_id", F.md5(personal.mask_text("text")).alias("masked"))
+    return Tables(spark, sf).spread("documents").select("doc_id", F.md5(personal.mask_text("text")).alias("masked"))

@@ -127,13 +127,16 @@ def _(spark, sf):
 
 # ---------------------------------------------------------------- validation
 
-_RULES = [
-    quality.mandatory("borrower_id"),
-    quality.at_least("quantity", 0, strict=True),
-    quality.at_least("loan_value_usd", 5000),
-    quality.not_before("settle_date", "trade_date"),
-    quality.one_of("collateral_type", ["CASH", "NON_CASH", "MIXED"]),
-]
+
+def _rules():
+    return [
+        quality.mandatory("borrower_id"),
+        quality.at_least("quantity", 0, strict=True),
+        quality.at_least("loan_value_usd", 5000),
+        quality.not_before("settle_date", "trade_date"),
+        quality.one_of("collateral_type", ["CASH", "NON_CASH", "MIXED"]),
+    ]
+
 
 _REASONS = f"""SELECT p.*, concat_ws(';',
     CASE WHEN borrower_id IS NULL THEN 'borrower_id:mandatory' END,
@@ -146,7 +149,7 @@ _REASONS = f"""SELECT p.*, concat_ws(';',
 
 
 def _checked(spark, sf):
-    return quality.validate(positions(spark, sf), _RULES, [["loan_id"]])
+    return quality.validate(positions(spark, sf), _rules(), [["loan_id"]])
 
 
 @query("q01_rules", f"SELECT reasons, count(*) AS n FROM ({_REASONS}) GROUP BY reasons")

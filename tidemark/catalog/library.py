@@ -49,7 +49,7 @@ _CHUNKS = """SELECT doc_id, no AS chunk_no, len(part) AS n_words, md5(array_to_s
 
 @query("k03_chunk", _CHUNKS)
 def _(spark, sf):
-    out = retrieval.chunk(Tables(spark, sf).documents, "doc_id", "text", keep=["lang"])
+    out = retrieval.chunk(Tables(spark, sf).spread("documents"), "doc_id", "text", keep=["lang"])
     return out.select(
         "doc_id", F.col("chunk_no").cast("long").alias("chunk_no"), F.col("n_words").cast("long").alias("n_words"),
         F.md5("chunk_text").alias("body"), "chunk_id", "lang",
@@ -83,14 +83,14 @@ def _ranked(t, pool):
 @query("k05_bm25", f"WITH {_bm25_sql(_ALL_DOCS, 'a')} SELECT query_id, id, round(score, 6) AS score, rnk FROM a")
 def _(spark, sf):
     t = Tables(spark, sf)
-    ranked = _ranked(t, t.documents.select(F.col("doc_id").alias("id"), "text"))
+    ranked = _ranked(t, t.spread("documents").select(F.col("doc_id").alias("id"), "text"))
     return ranked.withColumn("score", F.round("score", 6))
 
 
 @query("k08_filtered_bm25", f"WITH {_bm25_sql(_ENGLISH, 'e')} SELECT query_id, id, round(score, 6) AS score, rnk FROM e")
 def _(spark, sf):
     t = Tables(spark, sf)
-    ranked = _ranked(t, t.documents.filter("lang = 'en'").select(F.col("doc_id").alias("id"), "text"))
+    ranked = _ranked(t, t.spread("documents").filter("lang = 'en'").select(F.col("doc_id").alias("id"), "text"))
     return ranked.withColumn("score", F.round("score", 6))
 
 
@@ -103,7 +103,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     t = Tables(spark, sf)
-    docs = t.documents.select(F.col("doc_id").alias("id"), "text", "lang")
+    docs = t.spread("documents").select(F.col("doc_id").alias("id"), "text", "lang")
     fused = retrieval.fuse(_ranked(t, docs), _ranked(t, docs.filter("lang = 'en'")), id="id")
     return fused.withColumn("score", F.round("score", 6))
 
@@ -161,7 +161,7 @@ def _(spark, sf):
          CAST(sum(coalesce(papers, 0)) AS BIGINT) AS papers_indexed, CAST(sum(coalesce(made, 0)) AS BIGINT) AS chunks_created, CAST(sum(coalesce(indexed, 0)) AS BIGINT) AS chunks_indexed FROM r GROUP BY 1""",
 )
 def _(spark, sf):
-    docs = Tables(spark, sf).documents
+    docs = Tables(spark, sf).spread("documents")
     chunks = retrieval.chunk(docs, "doc_id", "text", keep=["source"])
     runs = retrieval.run_counters(
         docs, docs.filter("n_chars >= 100"), chunks, chunks.filter("n_words >= 50"), "source", "doc_id"

@@ -33,7 +33,7 @@ def _(spark, sf):
          SELECT unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY word""",
 )
 def _(spark, sf):
-    words = Tables(spark, sf).documents.select(F.split("text", " ").alias("word"))
+    words = Tables(spark, sf).spread("documents").select(F.split("text", " ").alias("word"))
     return agg.frequency(rows.explode_list(words, "word"), "word")
 
 
@@ -552,8 +552,9 @@ _COLS = "o_orderstatus, o_orderpriority"
 
 
 def _levels(spark, sf, how, sets=None):
-    total = F.sum(money("o_totalprice")).cast("double").alias("total")
-    return agg.subtotals(Tables(spark, sf).orders, how, _COLS.split(", "), total, sets=sets)
+    sums = {"total": money("o_totalprice")}
+    out = agg.subtotals(Tables(spark, sf).orders, how, _COLS.split(", "), sums, sets)
+    return out.withColumn("total", F.col("total").cast("double"))
 
 
 @query("a13_rollup", _LEVELS.format(cols=_COLS, how=f"ROLLUP ({_COLS})"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,13 +104,18 @@ def first_non_repeating(df: DataFrame, key: str, order_by: Sequence[str]) -> Dat
     return counted.filter("_n = 1").orderBy("_at").limit(1).select(key, "_at.*")
 
 
-def subtotals(df: DataFrame, how: str, levels: Sequence[str], *aggs: Column, sets=None) -> DataFrame:
-    """ROLLUP, CUBE or GROUPING SETS with ``level_id`` telling a subtotal from a real null."""
+def subtotals(df: DataFrame, how: str, levels: Sequence[str], sums: Mapping[str, Column], sets=None):
+    """ROLLUP, CUBE or GROUPING SETS of sums; ``level_id`` tells a subtotal from a real null.
+
+    Rows are summed to the finest level first, so that only those few groups are
+    copied once per grouping set.
+    """
+    finest = df.groupBy(*levels).agg(*[F.sum(c).alias(name) for name, c in sums.items()])
     if how == "sets":
-        grouped = df.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in levels])
+        grouped = finest.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in levels])
     else:
-        grouped = getattr(df, how)(*levels)
-    return grouped.agg(F.grouping_id().alias("level_id"), *aggs)
+        grouped = getattr(finest, how)(*levels)
+    return grouped.agg(F.grouping_id().alias("level_id"), *[F.sum(name).alias(name) for name in sums])
 
 
 def count_distinct(df: DataFrame, by: Sequence[str], col: str, approx: bool = False, name: str = "n"):

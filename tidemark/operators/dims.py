@@ -7,8 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import attribute_hash
-from tidemark.plans.ordering import keyed_neighbor
+from tidemark.plans.ordering import check_hot, keyed_neighbor
 from tidemark.plans.scratch import materialize
 
 
@@ -54,20 +53,19 @@ def scd2(
     fresh = delta.select(key, *attrs, F.col(effective).alias("effective_from"), F.lit(1).alias("_new"))
     touched = delta.select(key).distinct()
     versions = old.join(touched, key, "left_semi").unionByName(fresh)
-    state = F.struct(*attrs)
-    # Among repeated delta rows of one date the largest hash wins, so that reruns agree.
-    best = F.max_by(state, F.struct(F.col("_new"), attribute_hash(attrs)))
+    # Among repeated delta rows of one date the largest state wins, so that reruns agree.
+    best = F.max(F.struct("_new", F.struct(*attrs).alias("_state")))
     versions = (
-        versions.groupBy(key, "effective_from").agg(best.alias("_state"))
-        .select(key, "effective_from", "_state.*")
-        .withColumn("_hash", attribute_hash(attrs))
+        versions.groupBy(key, "effective_from").agg(best.alias("_best"))
+        .select(key, "effective_from", F.col("_best._state").alias("_state"))
     )
     order = ["effective_from"]
-    versions = keyed_neighbor(versions, [key], order, "_hash", "_prev", -1, limit)
-    versions = versions.filter(F.col("_prev").isNull() | (F.col("_prev") != F.col("_hash")))
-    versions = keyed_neighbor(
-        versions.drop("_prev", "_hash"), [key], order, "effective_from", "effective_to", 1, limit
-    )
+    limit = check_hot(versions, [key], limit)
+    versions = keyed_neighbor(versions, [key], order, "_state", "_prev", -1, limit)
+    # Compared as values, which a hash would only do up to collisions.
+    versions = versions.filter(F.col("_prev").isNull() | ~F.col("_prev").eqNullSafe(F.col("_state")))
+    versions = versions.select(key, "effective_from", "_state.*")
+    versions = keyed_neighbor(versions, [key], order, "effective_from", "effective_to", 1, limit)
     kept = current.join(touched, key, "left_anti").select(*columns, "effective_to")
     return kept.unionByName(versions.select(*columns, "effective_to")).withColumn(
         "is_current", F.col("effective_to").isNull()

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.aggregates import subtotals
 from tidemark.operators.windows import top_n
 
 
@@ -44,21 +45,17 @@ def daily_pnl(pnl: DataFrame) -> DataFrame:
     ``level_id``: 0 book and desk, 1 book total, 2 desk total, 3 day total.
     """
 
-    def total(name):
-        return F.coalesce(F.sum(name), F.lit(0))
-
-    change = F.coalesce("mtm_value_current_usd", F.lit(0)) - F.coalesce("mtm_value_prev_usd", F.lit(0))
-    d, b, k = F.col("file_date"), F.col("book_id"), F.col("desk_id")
-    return (
-        pnl.groupingSets([[d, b, k], [d, b], [d, k], [d]], d, b, k)
-        .agg(
-            F.grouping_id().alias("level_id"),
-            total("pnl_usd").alias("pnl_usd"),
-            total("rebate_income_usd").alias("rebate_usd"),
-            total("fee_income_usd").alias("fee_usd"),
-            F.coalesce(F.sum(change), F.lit(0)).alias("mtm_change_usd"),
-        )
-    )
+    def part(name):
+        return F.coalesce(name, F.lit(0))
+
+    sums = {
+        "pnl_usd": part("pnl_usd"),
+        "rebate_usd": part("rebate_income_usd"),
+        "fee_usd": part("fee_income_usd"),
+        "mtm_change_usd": part("mtm_value_current_usd") - part("mtm_value_prev_usd"),
+    }
+    day, book, desk = levels = ["file_date", "book_id", "desk_id"]
+    return subtotals(pnl, "sets", levels, sums, [levels, [day, book], [day, desk], [day]])
 
 
 def collateral(positions: DataFrame, by: Sequence[str] = ("file_date", "collateral_type")) -> DataFrame:
@@ -83,10 +80,6 @@ def settlement(positions: DataFrame, date: Column) -> DataFrame:
 
 def trend(df: DataFrame, date: str, grain: str, levels: Sequence[str], value: str) -> DataFrame:
     """Value per period with subtotals up the business hierarchy."""
-    period = F.to_date(F.date_trunc(grain, F.col(date)))
-    return (
-        df.withColumn("period", period)
-        .rollup("period", *levels)
-        .agg(F.grouping_id().alias("level_id"), F.sum(value).alias("value"))
-        .filter(F.col("period").isNotNull())
-    )
+    dated = df.withColumn("period", F.to_date(F.date_trunc(grain, F.col(date))))
+    sets = [["period", *levels[:n]] for n in range(len(levels), -1, -1)]
+    return subtotals(dated, "sets", ["period", *levels], {"value": F.col(value)}, sets)

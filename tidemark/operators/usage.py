@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import epoch_seconds
 from tidemark.operators.windows import moving
-from tidemark.plans.ordering import join_keys, keyed_neighbor, keyed_row_number, keyed_running
+from tidemark.plans.ordering import check_hot, join_keys, keyed_neighbor, keyed_row_number, keyed_running
 
 # Price per call, plans, service-level surcharges and rate limits.
 PRICES = {
@@ -201,6 +201,7 @@ def error_rates(calls: DataFrame, most: float, at_least: int = 10, failed: Colum
 
 def sequential_scans(calls: DataFrame, at_least: int, order: Sequence, limit=None) -> DataFrame:
     """Runs of calls in which a partner asks for customer ids one after the other."""
+    limit = check_hot(calls, ["partner_id"], limit)
     stepped = keyed_neighbor(calls, ["partner_id"], order, "customer_id", "_prev", -1, limit)
     breaks = F.when(F.col("customer_id") == F.col("_prev") + 1, 0).otherwise(1)
     runs = keyed_running(stepped.withColumn("_break", breaks), ["partner_id"], order, "_break", "_run", "sum", limit)

@@ -55,7 +55,7 @@ def top_n(df, by, order, n, ties=True, name="rnk") -> DataFrame:
 
 def neighbors(df, by, order, cols: Sequence[str], default=None, limit=None) -> DataFrame:
     """``prev_<col>`` and ``next_<col>`` inside the key."""
-    out = df
+    out, limit = df, ordering.check_hot(df, by, limit)
     for col in cols:
         for name, step in ((f"prev_{col}", -1), (f"next_{col}", 1)):
             out = ordering.keyed_neighbor(out, by, order, col, name, step, limit)

@@ -26,6 +26,8 @@ from tidemark.plans.scratch import materialize
 
 # Rows of one key a single task may sort in a window.
 HOT_ROWS = 2_000_000
+# As a limit: the caller has already found that no key is hot.
+CHECKED = float("inf")
 # Rows a side may have before it loses its broadcast hint.
 BROADCAST_ROWS = 100_000
 
@@ -125,6 +127,18 @@ def global_row_number(df: DataFrame, order: Sequence[Spec], name: str = "rn") ->
     )
 
 
+def check_hot(df: DataFrame, by: Sequence[str], limit: int | None = None):
+    """Limit for several scans of the same keys, so that they are counted once.
+
+    Also right for anything derived from ``df`` that has no more rows per key.
+    """
+    limit = HOT_ROWS if limit is None else limit
+    if limit == CHECKED:
+        return limit
+    largest = df.groupBy(*by).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0]
+    return CHECKED if (largest or 0) <= limit else limit
+
+
 def split_hot(df: DataFrame, by: Sequence[str], limit: int | None = None):
     """``None`` if every key fits one task, else ``(cold, hot)`` parts of ``df``.
 
@@ -132,6 +146,8 @@ def split_hot(df: DataFrame, by: Sequence[str], limit: int | None = None):
     ``BROADCAST_ROWS``.
     """
     limit = HOT_ROWS if limit is None else limit
+    if limit == CHECKED:
+        return None
     hot = df.groupBy(*by).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit).drop("_n")
     n_hot = hot.count()
     if n_hot == 0:
