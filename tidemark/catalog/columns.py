@@ -15,7 +15,7 @@ from tidemark.functions import personal, scalars, tokens
 )
 def _(spark, sf):
     return Tables(spark, sf).part.select(
-        "p_partkey", F.length("p_name").alias("len"), scalars.initial("p_name").alias("initial"),
+        "p_partkey", F.length("p_name").cast("long").alias("len"), scalars.initial("p_name").alias("initial"),
         F.concat_ws("/", "p_brand", "p_type").alias("label"), F.startswith("p_name", F.lit("red")).alias("red"),
         (F.trim("p_name") == "").alias("blank"),
     )

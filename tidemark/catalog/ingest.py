@@ -36,7 +36,7 @@ def _(spark, sf):
     return _item_sums(files.read_delimited(spark, path, schema, "|"))
 
 
-@query("s02_fixed_width", _ITEM_SUMS.format(bad="0"))
+@query("s02_fixed_width", _ITEM_SUMS.format(bad="CAST(0 AS BIGINT)"))
 def _(spark, sf):
     path = scratch_path(spark, "fixed") + "/lending_positions_20240115.txt"
     layout = [("l_orderkey", 1, 12, "long"), ("l_extendedprice", 13, 16, "decimal(18,2)"), ("l_returnflag", 29, 1, "string")]

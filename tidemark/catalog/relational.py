@@ -181,11 +181,11 @@ def _(spark, sf):
 )
 def _(spark, sf):
     t = Tables(spark, sf)
-    months = F.sequence(F.lit(1), F.lit(12))
+    months = F.sequence(F.lit(1), F.lit(12)).cast("array<bigint>")
     all_cells = joins.spine(t.customer, ["c_mktsegment"], "month", months)
     pending = t.orders.filter("o_orderstatus = 'P'").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     counts = agg.frequency(
-        pending.select("c_mktsegment", F.month("o_orderdate").alias("month")), "c_mktsegment", "month"
+        pending.select("c_mktsegment", F.month("o_orderdate").cast("long").alias("month")), "c_mktsegment", "month"
     )
     return all_cells.join(counts, ["c_mktsegment", "month"], "left").na.fill(0, ["n"])
 
@@ -633,7 +633,7 @@ def _(spark, sf):
     """SELECT p_partkey, p_name, length(p_name) AS len FROM part ORDER BY len, p_name, p_partkey""",
 )
 def _(spark, sf):
-    part = Tables(spark, sf).part.select("p_partkey", "p_name", F.length("p_name").alias("len"))
+    part = Tables(spark, sf).part.select("p_partkey", "p_name", F.length("p_name").cast("long").alias("len"))
     return sorting.sort_by(part, ["len", "p_name", "p_partkey"])
 
 

@@ -45,11 +45,15 @@ def top_n(df, by, order, n, ties=True, name="rnk") -> DataFrame:
     per key. With ties that holds for the distinct values, which then select rows.
     """
     window = Window.partitionBy(*by).orderBy(*sort_columns(order))
-    place = F.row_number().over(window)
+
+    def first_n(rows):
+        kept = rows.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)
+        return kept.withColumn(name, F.col(name).cast("long"))
+
     if not ties:
-        return df.withColumn(name, place).filter(F.col(name) <= n)
+        return first_n(df)
     peers = names(order)
-    best = df.select(*by, *peers).distinct().withColumn(name, place).filter(F.col(name) <= n)
+    best = first_n(df.select(*by, *peers).distinct())
     return join_keys(df, best, [*by, *peers])
 
 
@@ -135,7 +139,7 @@ def _bucket(rn: Column, total: Column, n: int) -> Column:
     wide = extra * (size + 1)
     in_wide = F.floor((rn - 1) / (size + 1)) + 1
     in_narrow = extra + F.floor((rn - 1 - wide) / F.nullif(size, F.lit(0))) + 1
-    return F.when(rn <= wide, in_wide).otherwise(in_narrow).cast("int")
+    return F.when(rn <= wide, in_wide).otherwise(in_narrow).cast("long")
 
 
 def ntile(df, n, order, by: Sequence[str] = (), name="tile", limit=None) -> DataFrame:
