@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,12 +84,29 @@ def _(spark, sf):
 def _(spark, sf):
     root = scratch_path(spark, "quarantine")
     checked = quality.validate(positions(spark, sf), [quality.not_before("settle_date", "trade_date")])
-    _, rejected = quality.split(checked, keep=False)
+    _, rejected = quality.split(checked)
     publish.write_quarantine(rejected.withColumn("file_type", F.lit("positions")), root)
     found = spark.read.parquet(root)
     return frequency(found.select(F.col("file_date").cast("string").alias("file_date")), "file_date")
 
 
+@query(
+    "s06_file_meta",
+    """SELECT o_orderpriority[1:1] AS part, 'pnl' AS file_type, '2024-02-0' || o_orderpriority[1:1] AS file_date, count(*) AS n,
+         true AS has_size, true AS is_parquet FROM orders GROUP BY 1, 3""",
+)
+def _(spark, sf):
+    root = scratch_path(spark, "meta")
+    orders = Tables(spark, sf).orders.select("o_orderkey", F.substring("o_orderpriority", 1, 1).alias("part"))
+    named = orders.withColumn("file", F.concat(F.lit("lending_pnl_2024020"), "part", F.lit(".parquet")))
+    publish.replace_slice(named, root, ["file"])
+    meta = files.with_file_meta(spark.read.parquet(root))
+    return meta.groupBy("part", "file_type", F.col("file_date").cast("string").alias("file_date")).agg(
+        F.count("*").alias("n"), F.bool_and(F.col("file_size") > 0).alias("has_size"),
+        F.bool_and(F.col("file_name").endswith(".parquet")).alias("is_parquet"),
+    )
+
+
 @query(
     "s07_unprocessed",
     """WITH f AS (SELECT DISTINCT event_type, CAST(ts AS DATE) AS d FROM events),
@@ -105,9 +124,9 @@ def _(spark, sf):
     return intake.unprocessed(named.select("file_key").distinct(), ledger)
 
 
-@query("s08_generated", "SELECT n, n * n AS value FROM (SELECT unnest(range(0, (SELECT count(*) FROM nation))) AS n)")
+@query("s08_generated", "SELECT n, n * n AS value FROM (SELECT unnest(range(0, (SELECT count(*) FROM orders))) AS n)")
 def _(spark, sf):
-    rows = Tables(spark, sf).nation.count()
+    rows = Tables(spark, sf).orders.count()
     return generate.generated(spark, rows, F.col("n") * F.col("n"))
 
 
@@ -125,6 +144,35 @@ def _(spark, sf):
     )
 
 
+@query(
+    "s10_serving_copy",
+    """SELECT CAST(date_trunc('year', o_orderdate) AS DATE)::VARCHAR AS file_date, o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+       FROM orders WHERE year(o_orderdate) <> 1996 OR o_orderstatus = 'F' GROUP BY 1, 2""",
+)
+def _(spark, sf):
+    root = scratch_path(spark, "serving")
+    orders = Tables(spark, sf).orders.withColumn("file_date", F.trunc(F.to_date("o_orderdate"), "year").cast("string"))
+
+    def report(rows):
+        return rows.groupBy("file_date", "o_custkey").agg(F.sum(money("o_totalprice")).alias("total"))
+
+    publish.publish_slice(report(orders), root, ["file_date"], "build-1", published_at="2024-01-15 06:00:00")
+    redone = orders.filter("file_date = '1996-01-01' AND o_orderstatus = 'F'")
+    named = orders.filter("file_date = '1996-01-01'")
+    publish.publish_slice(report(redone), root, ["file_date"], "build-2", named, "2024-01-16 06:00:00")
+    out = publish.read_published(spark, root, ["file_date"])
+    return out.select(F.col("file_date").cast("string").alias("file_date"), "o_custkey", F.col("total").cast("double").alias("total"))
+
+
+@query("s11_retention", "SELECT o_orderkey, strftime(o_orderdate, '%Y') || '-01-01' AS file_date FROM orders WHERE year(o_orderdate) >= 1995")
+def _(spark, sf):
+    root = scratch_path(spark, "landing")
+    year = F.trunc(F.to_date("o_orderdate"), "year").cast("string")
+    publish.replace_slice(Tables(spark, sf).orders.select("o_orderkey", year.alias("file_date")), root, ["file_date"])
+    publish.expire_partitions(spark, root, 365, dt.date(1996, 1, 1), dry_run=False)
+    return spark.read.parquet(root).withColumn("file_date", F.col("file_date").cast("string"))
+
+
 # ---------------------------------------------------------------- validation
 
 
@@ -173,7 +221,7 @@ def _(spark, sf):
         UNION ALL SELECT 'rejected', count(*) FROM ({_REASONS}) WHERE reasons <> ''""",
 )
 def _(spark, sf):
-    valid, rejected = quality.split(_checked(spark, sf), keep=False)
+    valid, rejected = quality.split(_checked(spark, sf), keep=True)
     counts = [p.agg(F.lit(n).alias("part"), F.count("*").alias("n")) for n, p in (("valid", valid), ("rejected", rejected))]
     return counts[0].unionByName(counts[1])
 

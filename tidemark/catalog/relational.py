@@ -103,6 +103,12 @@ def _(spark, sf):
     return named[0].unionByName(named[1]).unionByName(named[2])
 
 
+@query("p09_observe", "SELECT event_id, value FROM events WHERE event_type = 'view'")
+def _(spark, sf):
+    views = Tables(spark, sf).events.filter("event_type = 'view'").select("event_id", "value")
+    return rows.observed(views, "views", seen=F.count("*"), largest=F.max("value"))
+
+
 @query(
     "p10_mask",
     """SELECT c_custkey, regexp_replace(regexp_replace(regexp_replace(c_name, '[A-Z]', 'X', 'g'),

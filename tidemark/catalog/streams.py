@@ -85,14 +85,14 @@ def _(spark, sf):
 
 @query("t05_once", "SELECT event_id, value FROM events")
 def _(spark, sf):
-    events = Tables(spark, sf).events.select("event_id", "value")
+    events = Tables(spark, sf).events.select("event_id", "value", F.to_date("ts").alias("day"))
     twice = events.withColumn("part", F.pmod("event_id", F.lit(2))).unionByName(
         events.withColumn("part", F.pmod(F.col("event_id") + 1, F.lit(2)))
     )
     stream = _in_files(spark, twice, F.col("part"), 2)
     root = scratch_path(spark, "once")
-    _run(stream.drop("part"), flows.once_sink(root, "event_id"))
-    return flows.read_once(spark, root)
+    _run(stream.drop("part"), flows.once_sink(root, "event_id", "day"))
+    return flows.read_once(spark, root).drop("day")
 
 
 @query("t05_dedupe", "SELECT event_id, user_id FROM events")

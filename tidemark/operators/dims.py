@@ -46,7 +46,9 @@ def scd2(
     The history of touched keys is laid out again from old and new versions: equal
     neighbours merge and every version ends where the next begins. So several
     changes per key, late effective dates and replays need no special case, and a
-    replay changes nothing. Of two versions with the same date the delta's wins.
+    replay changes nothing. Of two versions with the same date the delta's wins. A
+    late change lasts until the next stored version; observations that confirmed a
+    state without changing it are not stored.
     """
     columns = [key, *attrs, "effective_from"]
     old = current.select(*columns, F.lit(0).alias("_new"))

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.windows import top_n
-from tidemark.plans.ordering import join_keys
+from tidemark.plans.ordering import join_keys, keyed_neighbor
 from tidemark.plans.skew import paged_lists
 
 
@@ -66,18 +66,12 @@ def asof_dim_join(
     return fact.join(versions, valid, how).drop("_dim_key")
 
 
-def overlapping_ranges(dim: DataFrame, key: str, start: str, end: str) -> DataFrame:
+def overlapping_ranges(dim: DataFrame, key: str, start: str, end: str, limit=None) -> DataFrame:
     """Versions that begin before the previous version of their key has ended."""
-    window = Window.partitionBy(key).orderBy(start)
-    return (
-        dim.withColumn("_prev_end", F.lag(end).over(window))
-        .withColumn("_prev_start", F.lag(start).over(window))
-        .filter(
-            F.col("_prev_start").isNotNull()
-            & (F.col("_prev_end").isNull() | (F.col("_prev_end") > F.col(start)))
-        )
-        .drop("_prev_end", "_prev_start")
-    )
+    span = dim.withColumn("_span", F.struct(F.col(start).alias("start"), F.col(end).alias("end")))
+    stepped = keyed_neighbor(span, [key], [start], "_span", "_prev", -1, limit)
+    still_open = F.col("_prev.end").isNull() | (F.col("_prev.end") > F.col(start))
+    return stepped.filter(F.col("_prev").isNotNull() & still_open).drop("_span", "_prev")
 
 
 def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]], how: str = "inner") -> DataFrame:

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import file_checksum
 from tidemark.operators.windows import moving
 from tidemark.plans.ordering import join_keys, keyed_neighbor
+from tidemark.plans.scratch import materialize
 
 REASONS = "reject_reasons"
 
@@ -92,10 +92,11 @@ def validate(df: DataFrame, rules: Sequence[Rule], unique: Sequence[Sequence[str
     return out
 
 
-def split(checked: DataFrame, keep: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected). The checked frame is kept for the two writes that follow."""
+def split(checked: DataFrame, keep: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected). With ``keep`` the checked rows are written once and both parts
+    read that table; otherwise each part runs the checks again."""
     if keep:
-        checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
+        checked = materialize(checked, "checked")
     good = F.size(REASONS) == 0
     return checked.filter(good).drop(REASONS), checked.filter(~good)
 

@@ -15,19 +15,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def salted_agg(
-    df: DataFrame,
-    by: Sequence[str],
-    partial: Sequence[Column],
-    final: Sequence[Column],
-    salt: Column,
-    salts: int = 64,
-) -> DataFrame:
-    """Two-step aggregation for functions that do not shrink before the exchange."""
-    first = df.groupBy(*by, F.pmod(F.xxhash64(salt), F.lit(salts)).alias("_salt")).agg(*partial)
-    return first.groupBy(*by).agg(*final)
-
-
 def paged_lists(
     df: DataFrame,
     by: Sequence[str],

@@ -29,7 +29,8 @@ def from_log(log: DataFrame, schema, topic: str | None = None) -> DataFrame:
 def write_log(df: DataFrame, root: str, partitions: int = 8) -> None:
     """File form of the log, spread over ``partitions`` by key as a broker would."""
     place = F.pmod(F.xxhash64("key"), F.lit(partitions)).alias("partition")
-    df.withColumn("partition", place).write.mode("append").partitionBy("topic", "partition").parquet(root)
+    placed = df.withColumn("partition", place).hint("rebalance", F.col("topic"), F.col("partition"))
+    placed.write.mode("append").partitionBy("topic", "partition").parquet(root)
 
 
 def read_log(spark: SparkSession, root: str) -> DataFrame:

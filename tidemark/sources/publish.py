@@ -22,6 +22,12 @@ def _paths(root: str) -> tuple[str, str]:
     return f"{root}/data", f"{root}/ledger"
 
 
+def _by_slice(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of a slice together, so that a slice has few files; Spark splits large
+    slices and merges small ones by their measured size."""
+    return df.hint("rebalance", *[F.col(k) for k in keys])
+
+
 def _with_job(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField("job_id", T.StringType())])
 
@@ -36,13 +42,8 @@ def publish_slice(
 ) -> None:
     """Replace the slices of ``df`` (and of ``slices``, which may be empty now)."""
     data, ledger = _paths(root)
-    (
-        df.withColumn("job_id", F.lit(job_id))
-        .repartition(*keys, F.pmod(F.xxhash64(*df.columns), F.lit(8)))
-        .write.mode("append")
-        .partitionBy(*keys, "job_id")
-        .parquet(data)
-    )
+    tagged = df.withColumn("job_id", F.lit(job_id))
+    _by_slice(tagged, keys).write.mode("append").partitionBy(*keys, "job_id").parquet(data)
     spark = df.sparkSession
     written = spark.read.schema(_with_job(df.schema)).parquet(data).filter(F.col("job_id") == job_id)
     counts = written.groupBy(*keys).agg(F.count("*").alias("row_count"))
@@ -80,7 +81,8 @@ def replace_slice(df: DataFrame, root: str, keys: Sequence[str], slices: Sequenc
     Not atomic for readers. Spark leaves partitions without incoming rows alone, so
     slices that became empty are named in ``slices`` and removed.
     """
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(root)
+    writer = _by_slice(df, keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*keys).parquet(root)
     for values in slices:
         wanted = df
         for name, value in values.items():
@@ -91,7 +93,7 @@ def replace_slice(df: DataFrame, root: str, keys: Sequence[str], slices: Sequenc
 
 def write_quarantine(df: DataFrame, root: str, keys: Sequence[str] = ("file_type", "file_date")) -> None:
     """Rejected rows with their reasons, by file type and date."""
-    df.write.mode("append").partitionBy(*keys).parquet(root)
+    _by_slice(df, keys).write.mode("append").partitionBy(*keys).parquet(root)
 
 
 def _hadoop(spark: SparkSession, path: str):

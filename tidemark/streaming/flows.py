@@ -144,8 +144,12 @@ def read_upserted(spark: SparkSession, root: str, schema) -> DataFrame:
     return read_published(spark, root, ["bucket"], stored).drop("bucket")
 
 
-def once_sink(root: str, id: str) -> Callable[[DataFrame, int], None]:
-    """Append-only sink that lets every id in once, across batches and restarts."""
+def once_sink(root: str, id: str, day: str | None = None) -> Callable[[DataFrame, int], None]:
+    """Append-only sink that lets every id in once, across batches and restarts.
+
+    With ``day`` (a date that is the same on every copy of a message) the earlier ids
+    of only the batch's days are read.
+    """
 
     def each(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
@@ -153,8 +157,12 @@ def once_sink(root: str, id: str) -> Callable[[DataFrame, int], None]:
         fresh = batch.dropDuplicates([id])
         seen = _table(spark, target)
         if seen is not None:
-            fresh = fresh.join(seen.filter(F.col("epoch") < epoch).select(id), id, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{target}/epoch={epoch}")
+            seen = seen.filter(F.col("epoch") < epoch)
+            if day:
+                seen = seen.join(batch.select(day).distinct(), day, "left_semi")
+            fresh = fresh.join(seen.select(id), id, "left_anti")
+        writer = fresh.write.mode("overwrite")
+        (writer.partitionBy(day) if day else writer).parquet(f"{target}/epoch={epoch}")
 
     return each
 
