@@ -100,6 +100,16 @@ def test_failed_publish_stays_invisible(spark, tmp_path):
     assert [r.v for r in publish.read_published(spark, root, ["k"]).collect()] == [1]
 
 
+def test_slice_keys_keep_type_and_nulls(spark, tmp_path):
+    root = str(tmp_path / "typed")
+    df = spark.createDataFrame([("001", 1), (None, 2), ("2024-01-01", 3)], "k string, v int")
+    publish.publish_slice(df, root, ["k"], "job-1", published_at="2024-01-01 00:00:00")
+    publish.publish_slice(df.filter("v = 1"), root, ["k"], "job-2", df.filter("v <> 3"), "2024-01-02 00:00:00")
+    assert {(r.k, r.v) for r in publish.read_published(spark, root, ["k"]).collect()} == {("001", 1), ("2024-01-01", 3)}
+    publish.publish_slice(df.filter("v = 2"), root, ["k"], "job-3", published_at="2024-01-03 00:00:00")
+    assert {r.v for r in publish.read_published(spark, root, ["k"]).collect()} == {1, 2, 3}
+
+
 def test_retention_and_slices(spark, tmp_path):
     root = str(tmp_path / "landing")
     days = [dt.date(2024, 1, d) for d in (1, 10, 20)]
@@ -231,7 +241,7 @@ def test_latest_survives_restart_and_order(spark, tmp_path):
         spark.createDataFrame(quotes[i::3], schema).coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(schema).parquet(source)
         flows.start(stream, checkpoint, each=flows.upsert_sink(root, ["symbol"], ["seq"], 4)).awaitTermination()
-    table = flows.read_upserted(spark, root, stream.schema)
+    table = flows.read_upserted(spark, root)
     assert {r.symbol: (r.seq, r.price) for r in table.collect()} == want
 
 
@@ -273,6 +283,39 @@ def test_status_rollup(spark):
     assert {(r.job_id, r.partition_id): r.status for r in partitions.collect()}[("J1", 2)] == "COMPLETED"
 
 
+def test_ops_views(spark):
+    t = dt.datetime(2024, 1, 15, 12)
+    m = dt.timedelta(minutes=1)
+    jobs = spark.createDataFrame([("F", "COMPLETED", t, t + m), ("F", "FAILED", t, t + 3 * m)], "feed_id string, status string, created_at timestamp, updated_at timestamp")
+    parts = spark.createDataFrame([(1, "IN_PROGRESS", t), (2, "IN_PROGRESS", t + 90 * m), (3, "COMPLETED", t)], "partition_id int, status string, updated_at timestamp")
+    stages = spark.createDataFrame([("ENRICH", 2, t, t + m), ("ENRICH", 0, t, t + 2 * m)], "stage_name string, retry_count int, started_at timestamp, completed_at timestamp")
+    dead = spark.createDataFrame([("POISON",), ("POISON",)], "failure_type string")
+    views = workflow.ops_views(jobs, parts, stages, dead, now=F.lit(t + 100 * m))
+    assert views["jobs_by_status"].count() == 2
+    assert tuple(views["feed_sla"].first()) == ("F", 2, 120.0, 180)
+    assert [r.partition_id for r in views["stuck_partitions"].collect()] == [1]
+    assert tuple(views["stage_latency"].first()) == ("ENRICH", 90.0, 120)
+    assert tuple(views["retry_trend"].first()) == ("ENRICH", 2, 2)
+    assert tuple(views["dead_by_type"].first()) == ("POISON", 2)
+
+
+def test_evolution_lineage_and_names(spark):
+    df = spark.createDataFrame([(1, "Ada King", ""), (2, "Bob", "Ray")], "id int, first_name string, last_name string")
+    fixed, changes = workflow.split_name(df, "first_name")
+    assert {(r.first_name, r.last_name) for r in fixed.collect()} == {("Ada", "King"), ("Bob", "Ray")}
+    assert [(r.id, r.old_value) for r in changes.collect()] == [(1, "Ada King")]
+    traced = workflow.with_lineage(df, "job-1", "feed", ["id"])
+    assert traced.select("record_id").distinct().count() == 2
+
+
+def test_generated_sources(spark):
+    from tidemark.sources import generate
+
+    assert [r.n for r in generate.numbers(spark, 1, 4).collect()] == [1, 2, 3]
+    assert generate.numbers(spark, 1, 4, closed=True).count() == 4
+    assert generate.empty(spark, "a int").count() == 0
+
+
 def test_partition_plan(spark):
     plan = workflow.plan_partitions(spark.range(120).select("id"), ["id"], 50).orderBy("partition_id").collect()
     assert [(r.record_start, r.record_end) for r in plan] == [(1, 50), (51, 100), (101, 120)]

@@ -50,7 +50,7 @@ def _(spark, sf):
     sums = stream.groupBy("l_suppkey").agg(F.count("*").alias("n"), F.sum("price").alias("value"))
     root = scratch_path(spark, "report")
     _run(sums, flows.upsert_sink(root, ["l_suppkey"], ["n"], 8), "update")
-    return flows.read_upserted(spark, root, sums.schema).withColumn("value", F.col("value").cast("double"))
+    return flows.read_upserted(spark, root).withColumn("value", F.col("value").cast("double"))
 
 
 _LATEST = """SELECT user_id, event_id, event_type, value FROM events
@@ -70,7 +70,7 @@ def _(spark, sf):
     stream = _in_files(spark, events, 3 - F.floor(F.dayofmonth("ts") / 8))
     root = scratch_path(spark, "latest")
     _run(stream, flows.upsert_sink(root, ["user_id"], ["ts", "event_id"], 8))
-    return flows.read_upserted(spark, root, events.schema).drop("ts")
+    return flows.read_upserted(spark, root).drop("ts")
 
 
 @query(
@@ -110,7 +110,7 @@ def _(spark, sf):
     early = events.filter(F.dayofmonth("ts") <= 15)
     for epoch, batch in ((0, early), (1, events.filter(F.dayofmonth("ts") > 15)), (1, events), (0, early)):
         sink(batch, epoch)
-    return flows.read_upserted(spark, root, events.schema).drop("ts")
+    return flows.read_upserted(spark, root).drop("ts")
 
 
 @query(

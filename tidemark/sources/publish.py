@@ -28,10 +28,6 @@ def _by_slice(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(k) for k in keys])
 
 
-def _with_job(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField("job_id", T.StringType())])
-
-
 def publish_slice(
     df: DataFrame,
     root: str,
@@ -45,15 +41,16 @@ def publish_slice(
     tagged = df.withColumn("job_id", F.lit(job_id))
     _by_slice(tagged, keys).write.mode("append").partitionBy(*keys, "job_id").parquet(data)
     spark = df.sparkSession
-    written = spark.read.schema(_with_job(df.schema)).parquet(data).filter(F.col("job_id") == job_id)
+    written = spark.read.schema(tagged.schema).parquet(data).filter(F.col("job_id") == job_id)
     counts = written.groupBy(*keys).agg(F.count("*").alias("row_count"))
     if slices is not None:
-        counts = slices.select(*keys).distinct().join(counts, list(keys), "full")
+        named = slices.select(*keys, F.lit(0).cast("long").alias("row_count"))
+        counts = named.unionByName(counts).groupBy(*keys).agg(F.sum("row_count").alias("row_count"))
     stamp = F.current_timestamp() if published_at is None else F.lit(published_at).cast("timestamp")
     rows = counts.select(
         *keys,
         F.lit(job_id).alias("job_id"),
-        F.coalesce("row_count", F.lit(0)).alias("row_count"),
+        "row_count",
         F.lit("SUCCESS").alias("status"),
         stamp.alias("published_at"),
     )
@@ -67,12 +64,20 @@ def current_jobs(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFra
     return ledger.groupBy(*keys).agg(latest.alias("job_id"))
 
 
-def read_published(spark: SparkSession, root: str, keys: Sequence[str], schema=None) -> DataFrame:
+def read_published(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
     """All current slices. The small ledger prunes the data folders at run time."""
-    reader = spark.read if schema is None else spark.read.schema(_with_job(schema))
-    data = reader.parquet(_paths(root)[0])
-    jobs = broadcast_if_small(current_jobs(spark, root, keys))
-    return data.join(jobs, [*keys, "job_id"], "left_semi").drop("job_id")
+    data, ledger = _paths(root)
+    # Folder names have no types; the ledger has kept those of the slice keys.
+    kinds = {f.name: f.dataType for f in spark.read.parquet(ledger).schema}
+    found = spark.read.parquet(data).schema
+    schema = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in found])
+    rows = spark.read.schema(schema).parquet(data)
+    jobs = current_jobs(spark, root, keys).withColumnRenamed("job_id", "_job")
+    jobs = broadcast_if_small(jobs.select("_job", *[F.col(k).alias(f"_key_{k}") for k in keys]))
+    cond = F.col("job_id") == F.col("_job")
+    for key in keys:
+        cond = cond & F.col(key).eqNullSafe(F.col(f"_key_{key}"))
+    return rows.join(jobs, cond, "left_semi").drop("job_id")
 
 
 def replace_slice(df: DataFrame, root: str, keys: Sequence[str], slices: Sequence[dict] = ()) -> None:

@@ -128,7 +128,7 @@ def upsert_sink(
                 return
             rows = fresh
             if ledger is not None:
-                old = read_published(spark, root, ["bucket"], fresh.schema)
+                old = read_published(spark, root, ["bucket"]).select(*fresh.columns)
                 rows = fresh.unionByName(old.join(F.broadcast(touched), "bucket", "left_semi"))
             merged = latest_by_key(rows, key, order)
             publish_slice(merged, root, ["bucket"], f"epoch-{epoch:012d}-{uuid.uuid4().hex}", touched)
@@ -138,10 +138,9 @@ def upsert_sink(
     return each
 
 
-def read_upserted(spark: SparkSession, root: str, schema) -> DataFrame:
+def read_upserted(spark: SparkSession, root: str) -> DataFrame:
     """Current rows of an ``upsert_sink`` table."""
-    stored = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
-    return read_published(spark, root, ["bucket"], stored).drop("bucket")
+    return read_published(spark, root, ["bucket"]).drop("bucket")
 
 
 def once_sink(root: str, id: str, day: str | None = None) -> Callable[[DataFrame, int], None]:
