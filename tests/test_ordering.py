@@ -72,6 +72,19 @@ def test_global(skewed):
     got = ordering.global_running(skewed, ["v", "id"], "v", "s")
     upto = Window.orderBy("v", "id").rowsBetween(Window.unboundedPreceding, 0)
     assert rows_of(got, "id", "s") == rows_of(skewed.withColumn("s", F.sum("v").over(upto)), "id", "s")
+    fine = skewed.withColumn("d", F.when(F.col("v") > 5, F.col("x").cast("decimal(18,4)") / 8).cast("decimal(18,4)"))
+    got = ordering.global_running(fine, ["v", "id"], "d", "s")
+    assert rows_of(got, "id", "s") == rows_of(fine.withColumn("s", F.sum("d").over(upto)), "id", "s")
+
+
+def test_empty_global(spark):
+    none = spark.createDataFrame([], "id long, v int")
+    assert ordering.global_row_number(none, ["id"]).count() == 0
+    assert ordering.global_running(none, ["id"], "v").count() == 0
+    assert windows.ntile(none, 4, ["id"]).count() == 0
+
+
+def test_global_ranks(skewed):
     for kind, fn in (("rank", F.rank()), ("dense", F.dense_rank())):
         got = windows.global_rank(skewed, ["v"], kind, "r")
         want = skewed.withColumn("r", fn.over(Window.orderBy("v")))

@@ -17,10 +17,10 @@ an ordinary window.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.plans.scratch import materialize
 
@@ -94,25 +94,20 @@ def lay_out(df: DataFrame, order: Sequence[Spec], label: str = "ordered") -> Dat
     return materialize(laid, label)
 
 
-def _offset_type(rows) -> str:
-    kinds = {type(before) for _, before in rows if before}
-    if Decimal in kinds:
-        return "decimal(38,2)"
-    return "double" if float in kinds else "long"
-
-
 def _offsets(laid: DataFrame, amount: Column) -> DataFrame:
-    """One row per range partition: the sum of ``amount`` over all earlier ones.
+    """One row per range partition: the sum of ``amount`` over all earlier ones, or null.
 
     The collected rows are partitions, not data rows, so their number is fixed by
     the exchange.
     """
-    sums = sorted(laid.groupBy(_PART).agg(amount.alias("n")).collect())
-    rows, before = [], 0
-    for part, n in sums:
+    sums = laid.groupBy(_PART).agg(amount.alias("_before"))
+    rows, before = [], None
+    for part, n in sorted(sums.collect()):
         rows.append((part, before))
-        before = before + (n or 0)
-    return laid.sparkSession.createDataFrame(rows, f"{_PART} long, _before {_offset_type(rows)}")
+        if n is not None:
+            before = n if before is None else before + n
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in sums.schema])
+    return laid.sparkSession.createDataFrame(rows, schema)
 
 
 def global_row_number(df: DataFrame, order: Sequence[Spec], name: str = "rn") -> DataFrame:
@@ -122,7 +117,7 @@ def global_row_number(df: DataFrame, order: Sequence[Spec], name: str = "rn") ->
     local = F.col(_POS).bitwiseAND(F.lit((1 << 33) - 1))
     return (
         laid.join(before, _PART)
-        .withColumn(name, F.col("_before") + local + 1)
+        .withColumn(name, F.coalesce("_before", F.lit(0)) + local + 1)
         .drop(_POS, _PART, "_before")
     )
 
@@ -228,10 +223,11 @@ def global_running(df, order, value: str, name="running") -> DataFrame:
     before = F.broadcast(_offsets(laid, F.sum(value)))
     frame = Window.partitionBy(_PART).orderBy(_POS)
     here = F.sum(value).over(frame.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    earlier = F.col("_before")
     return (
         laid.withColumn(name, here)
         .join(before, _PART)
-        .withColumn(name, F.col("_before") + F.col(name))
+        .withColumn(name, F.coalesce(earlier + F.col(name), earlier, F.col(name)))
         .drop(_POS, _PART, "_before")
     )
 
