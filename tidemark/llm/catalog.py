@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing, sharding
+from tidemark.llm import classifier, mixing, packing, rules, sharding
 
 QUERIES = {
+    "op2_sum_of_squares_packing": packing.pack_query,
     "op6_byte_shards": sharding.byte_shards_query,
+    "op8_subword_classifier": classifier.classify_query,
+    "op9_decision_list": rules.rules_query,
     "op10_low_discrepancy_mix": mixing.mix_query,
 }
 
