@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import classifier, mixing, packing, rules, sharding
+from tidemark.llm import classifier, minhash, mixing, packing, rules, sharding
 
 QUERIES = {
     "op2_sum_of_squares_packing": packing.pack_query,
+    "op4_hamming_minhash": minhash.minhash_query,
     "op6_byte_shards": sharding.byte_shards_query,
     "op8_subword_classifier": classifier.classify_query,
     "op9_decision_list": rules.rules_query,
@@ -13,5 +14,6 @@ QUERIES = {
 }
 
 SQL = {
+    "op4_hamming_minhash": minhash.MINHASH_SQL,
     "op10_low_discrepancy_mix": mixing.MIX_SQL,
 }
