@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import table
+from tidemark.llm.common import hashed_sample, table
 
 
 @dataclass(frozen=True)
@@ -146,7 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", s: Settings = S
     Only to bound the driver's memory, texts of more than ``s.longest`` characters are not trained on."""
     labelled = labels.where(F.col("quality").isNotNull() & ~held_out(key))
     labelled = labelled.groupBy(key).agg(F.min("quality").alias("_quality"))
-    chosen = labelled.orderBy(F.xxhash64(key), key).limit(s.sample)
+    chosen = hashed_sample(labelled, key, s.sample)
     texts = docs.select(key, "text").where(F.coalesce(F.length("text"), F.lit(0)) <= s.longest)
     rows = chosen.join(texts, key).select(key, "text", "_quality").toPandas().sort_values([key, "text"])
     return train([t or "" for t in rows["text"]], rows["_quality"].to_numpy(np.int64), s)

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import hashed_sample, table
 from tidemark.llm.textstats import BASE, add_counts
 from tidemark.plans.scratch import materialize
 
@@ -170,11 +170,9 @@ def fit_rules(counts: DataFrame, labels: DataFrame, key: str = "doc_id", sample:
     rows = (
         counts.where(~base_failed())
         .join(labelled, key)
-        .select(*[statistic(n).alias(n) for n in RATIOS], "_quality", F.xxhash64(key).alias("_at"))
-        .orderBy("_at", *RATIOS)
-        .limit(sample)
-        .toPandas()
+        .select(key, *[statistic(n).alias(n) for n in RATIOS], "_quality")
     )
+    rows = hashed_sample(materialize(rows, "labelled"), key, sample).toPandas()
     if rows.empty:
         return []
     values = {n: rows[n].to_numpy(float) for n in RATIOS}
