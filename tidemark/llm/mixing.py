@@ -177,6 +177,18 @@ def mix(
     return per_doc, mixed.select("slot", F.col(key), "pass", "first_word", "words", "_row")
 
 
+def mixed_documents(docs: DataFrame, key: str = "doc_id", source: str = "source", **options) -> DataFrame:
+    """``docs`` with each row as often as the mix takes it, in whole passes; all columns are kept.
+
+    A source's coverage is one stretch of its line, so at most one document per source is taken in part; it
+    counts as a whole pass from half on. ``key`` must be unique."""
+    taken, _ = mix(docs, key, source, **options)
+    passes = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
+    often = taken.select(F.col(key).alias("_mix_key"), passes.alias("_mix_passes")).where("_mix_passes > 0")
+    drawn = docs.join(often, docs[key] == often["_mix_key"])
+    return drawn.withColumn("_mix_pass", F.explode(F.sequence(F.lit(1), "_mix_passes"))).select(*[docs[c] for c in docs.columns])
+
+
 def mix_query(spark, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents"))[0].drop("_row")
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import hashed_sample, table
-from tidemark.llm.textstats import BASE, add_counts
+from tidemark.llm.textstats import BASE, add_counts, filter_by_counts
 from tidemark.plans.scratch import materialize
 
 # Statistic: (count, count it is divided by); an empty divisor counts as one.
@@ -192,6 +192,15 @@ def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", **options) ->
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0)), rules
 
 
+def filter_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+    """The documents that neither the base rules nor the learned list reject, with all their columns.
+
+    The list is learned first; then every text is judged where it lies, so texts are not shuffled."""
+    counts = materialize(add_counts(docs, key), "quality-counts")
+    rules = fit_rules(counts, labels, key, **options)
+    return filter_by_counts(docs, ~base_failed() & (reject_rule(rules) == 0))
+
+
 def rules_query(spark, folder: str) -> DataFrame:
     judged, _ = judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return judged.select("doc_id", *BASE, "base_failed", "kept", "rule")

@@ -6,7 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SYMBOLS = "#*$%&|<>"
@@ -59,15 +60,26 @@ def text_counts(text: str | None) -> tuple[int, ...]:
     )
 
 
+def _counter(text: str, carried: list[str]):
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = pd.DataFrame([text_counts(t) for t in pdf[text]], columns=COUNTS, index=pdf.index)
+            yield pd.concat([pdf[carried], rows], axis=1)
+
+    return count
+
+
 def add_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key`` and the counts of ``text`` as longs. Only these two columns are read."""
     schema = T.StructType([docs.schema[key], *[T.StructField(c, T.LongType()) for c in COUNTS]])
+    return docs.select(key, text).mapInPandas(_counter(text, [key]), schema)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = [text_counts(t) for t in pdf[text]]
-            out = pd.DataFrame(rows, columns=COUNTS, index=pdf.index)
-            out.insert(0, key, pdf[key])
-            yield out
 
-    return docs.select(key, text).mapInPandas(count, schema)
+def filter_by_counts(docs: DataFrame, keep: Column, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` for which ``keep``, an expression of the counts, holds; columns of any name are kept."""
+    names = docs.columns
+    carried = [f"_{i}" for i in range(len(names))]
+    fields = [T.StructField(c, f.dataType) for c, f in zip(carried, docs.schema.fields)]
+    schema = T.StructType([*fields, *[T.StructField(c, T.LongType()) for c in COUNTS]])
+    counted = docs.toDF(*carried).mapInPandas(_counter(carried[names.index(text)], carried), schema)
+    return counted.where(keep).select(*[F.col(c).alias(n) for c, n in zip(carried, names)])
