@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog import Tables, query
 from tidemark.catalog.windowed import _CLICKS, clicks
+from tidemark.operators import windows
 from tidemark.operators.aggregates import frequency, money
 from tidemark.operators.quality import Rule, one_of
 from tidemark.plans.scratch import scratch_path
@@ -117,15 +118,15 @@ def _(spark, sf):
     "t07_trailing_stream",
     f"""WITH c AS ({_CLICKS}) SELECT a.event_id, CAST(sum(b.clicks) AS DOUBLE) AS trailing FROM c a JOIN c b
        ON a.event_type = b.event_type AND b.t >= a.t - 29 AND (b.t < a.t OR (b.t = a.t AND b.event_id <= a.event_id))
-       WHERE a.t <= (SELECT max(t) - 6 FROM c) GROUP BY a.event_id""",
+       GROUP BY a.event_id""",
 )
 def _(spark, sf):
     events = clicks(spark, sf).select("event_id", "event_type", "t", "clicks")
     # Up to five time units out of order.
     part = F.least(F.floor((F.col("t") + F.col("event_id") % 5) / 1080), F.lit(3))
-    root = scratch_path(spark, "trailing")
-    _run(_in_files(spark, events, part), flows.trailing_sum_sink(root, ["event_type"], "t", "clicks", "event_id", 30, 6, 144))
-    out = flows.read_trailing(spark, root)
+    # The flow keeps every event; the sum is taken on what has arrived, so nothing is late.
+    arrived = flows.drain(_in_files(spark, events, part))
+    out = windows.trailing_agg(arrived, "t", "clicks", 30, "event_id", key=["event_type"], name="trailing")
     return out.select("event_id", F.col("trailing").cast("double").alias("trailing"))
 
 
@@ -133,14 +134,16 @@ def _(spark, sf):
     "t08_sliding",
     """WITH w AS (SELECT date_trunc('hour', ts) - to_hours(CAST(i AS INT)) AS s, event_type, value FROM events, (SELECT unnest(range(0, 3)) AS i))
        SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total
-       FROM w WHERE s + INTERVAL 3 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY 1, 2""",
+       FROM w GROUP BY 1, 2""",
 )
 def _(spark, sf):
-    events = _stream(spark, sf).select("ts", "event_type", money("value").alias("value"))
-    slid = flows.sliding(
-        events, ["event_type"], "ts", "3 hours", "1 hour", "1 hour", F.count("*").alias("n"), F.sum("value").alias("total")
-    )
-    out = flows.drain(slid)
+    events = Tables(spark, sf).events.select("ts", "event_id", "event_type", money("value").alias("value"))
+    # Deliveries out of time order.
+    stream = _in_files(spark, events, F.pmod(F.xxhash64("event_id"), F.lit(3)), 3)
+    root, by = scratch_path(spark, "sliding"), ["start", "end", "event_type"]
+    sums = {"n": F.count("*"), "total": F.sum("value")}
+    _run(stream, flows.partial_sink(root, lambda df: flows.sliding(df, ["event_type"], "ts", "3 hours", "1 hour", sums)))
+    out = flows.read_partials(spark, root, by, list(sums))
     return out.select(
         F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n", F.col("total").cast("double").alias("total")
     )
@@ -149,10 +152,14 @@ def _(spark, sf):
 @query(
     "t09_meter",
     """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS period, user_id, event_type, count(*) AS calls FROM events
-       WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events) GROUP BY ALL""",
+       GROUP BY ALL""",
 )
 def _(spark, sf):
-    out = flows.drain(flows.meter(_stream(spark, sf), ["user_id", "event_type"]))
+    events = Tables(spark, sf).events.select("ts", "event_id", "user_id", "event_type")
+    stream = _in_files(spark, events, F.pmod(F.xxhash64("event_id"), F.lit(3)), 3)
+    root, by = scratch_path(spark, "meter"), ["user_id", "event_type"]
+    _run(stream, flows.partial_sink(root, lambda df: flows.meter(df, by)))
+    out = flows.read_partials(spark, root, ["period", *by], ["calls"])
     return out.withColumn("period", F.date_format("period", "yyyy-MM-dd HH:mm:ss"))
 
 
@@ -187,9 +194,14 @@ def _(spark, sf):
     return keyed.shard_audit(events, F.col("event_type"), F.month("ts").cast("long"), F.col("props"))
 
 
-@query("t12_placement")
+@query(
+    "t12_hot_keys",
+    """WITH k AS (SELECT user_id, count(*) AS rows FROM events GROUP BY user_id), s AS (SELECT sum(rows) AS total, count(*) AS keys FROM k)
+       SELECT user_id, rows, rows / CAST(total AS DOUBLE) AS share, rows * keys / CAST(total AS DOUBLE) AS skew FROM k, s
+       QUALIFY row_number() OVER (ORDER BY rows DESC, user_id) <= 20""",
+)
 def _(spark, sf):
-    return keyed.placement(Tables(spark, sf).events, "user_id", 12)
+    return keyed.hot_keys(Tables(spark, sf).events, "user_id", 20)
 
 
 @query(
@@ -205,11 +217,12 @@ def _(spark, sf):
 @query(
     "t14_replay",
     """SELECT user_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value, arg_max(event_type, event_id) AS event_type, count(*) AS events
-       FROM events WHERE event_id <= 6000 GROUP BY user_id""",
+       FROM events WHERE event_id <= (SELECT (min(event_id) + max(event_id)) // 2 FROM events) GROUP BY user_id""",
 )
 def _(spark, sf):
     events = Tables(spark, sf).events.withColumn("value", money("value"))
-    out = keyed.replay(events, ["user_id"], "event_id", 6000, ["value"], ["event_type"])
+    middle = events.agg(F.expr("(min(event_id) + max(event_id)) div 2")).first()[0]
+    out = keyed.replay(events, ["user_id"], "event_id", middle, ["value"], ["event_type"])
     return out.withColumn("value", F.col("value").cast("double"))
 
 

@@ -1,16 +1,19 @@
 """Slice replacement, quarantine and retention on plain parquet.
 
-``publish_slice`` is the safe form: data of a run goes under its own ``job_id``
-folder and becomes visible by one small append to the ledger. Readers take the
-latest published run of every slice, so they never see half a slice, a failed run
-stays invisible, and an empty re-delivery empties its slice.
+``publish_slice`` is the safe form: data of a run goes into a folder of this
+attempt alone and becomes visible by one small append to the ledger, which names the
+attempt. Readers take the latest published run of every slice, so they never see half
+a slice, a failed attempt stays invisible, a repeated ``job_id`` changes nothing, and
+an empty re-delivery empties its slice.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +25,16 @@ def _paths(root: str) -> tuple[str, str]:
     return f"{root}/data", f"{root}/ledger"
 
 
+def read_ledger(spark: SparkSession, root: str) -> DataFrame | None:
+    """The ledger, or None before anything was published."""
+    try:
+        return spark.read.parquet(_paths(root)[1])
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def _by_slice(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of a slice together, so that a slice has few files; Spark splits large
     slices and merges small ones by their measured size."""
@@ -36,12 +49,19 @@ def publish_slice(
     slices: DataFrame | None = None,
     published_at=None,
 ) -> None:
-    """Replace the slices of ``df`` (and of ``slices``, which may be empty now)."""
+    """Replace the slices of ``df`` (and of ``slices``, which may be empty now).
+
+    A ``job_id`` that the ledger already holds is not run again."""
     data, ledger = _paths(root)
-    tagged = df.withColumn("job_id", F.lit(job_id))
-    _by_slice(tagged, keys).write.mode("append").partitionBy(*keys, "job_id").parquet(data)
     spark = df.sparkSession
-    written = spark.read.schema(tagged.schema).parquet(data).filter(F.col("job_id") == job_id)
+    published = read_ledger(spark, root)
+    if published is not None and not published.filter(F.col("job_id") == job_id).isEmpty():
+        return
+    # Only this attempt's folder is read back, however many runs the table has seen.
+    attempt = uuid.uuid4().hex
+    folder = f"{data}/attempt={attempt}"
+    _by_slice(df, keys).write.partitionBy(*keys).parquet(folder)
+    written = spark.read.schema(df.schema).parquet(folder)
     counts = written.groupBy(*keys).agg(F.count("*").alias("row_count"))
     if slices is not None:
         named = slices.select(*keys, F.lit(0).cast("long").alias("row_count"))
@@ -50,6 +70,7 @@ def publish_slice(
     rows = counts.select(
         *keys,
         F.lit(job_id).alias("job_id"),
+        F.lit(attempt).alias("attempt"),
         "row_count",
         F.lit("SUCCESS").alias("status"),
         stamp.alias("published_at"),
@@ -58,10 +79,10 @@ def publish_slice(
 
 
 def current_jobs(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
-    """The run that currently stands for each slice."""
+    """The run and attempt that currently stand for each slice."""
     ledger = spark.read.parquet(_paths(root)[1]).filter("status = 'SUCCESS'")
-    latest = F.max_by("job_id", F.struct("published_at", "job_id"))
-    return ledger.groupBy(*keys).agg(latest.alias("job_id"))
+    latest = F.max_by(F.struct("job_id", "attempt"), F.struct("published_at", "job_id", "attempt"))
+    return ledger.groupBy(*keys).agg(latest.alias("_run")).select(*keys, "_run.*")
 
 
 def read_published(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
@@ -72,12 +93,12 @@ def read_published(spark: SparkSession, root: str, keys: Sequence[str]) -> DataF
     found = spark.read.parquet(data).schema
     schema = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in found])
     rows = spark.read.schema(schema).parquet(data)
-    jobs = current_jobs(spark, root, keys).withColumnRenamed("job_id", "_job")
-    jobs = broadcast_if_small(jobs.select("_job", *[F.col(k).alias(f"_key_{k}") for k in keys]))
-    cond = F.col("job_id") == F.col("_job")
+    jobs = current_jobs(spark, root, keys).withColumnRenamed("attempt", "_attempt")
+    jobs = broadcast_if_small(jobs.select("_attempt", *[F.col(k).alias(f"_key_{k}") for k in keys]))
+    cond = F.col("attempt") == F.col("_attempt")
     for key in keys:
         cond = cond & F.col(key).eqNullSafe(F.col(f"_key_{key}"))
-    return rows.join(jobs, cond, "left_semi").drop("job_id")
+    return rows.join(jobs, cond, "left_semi").drop("attempt")
 
 
 def replace_slice(df: DataFrame, root: str, keys: Sequence[str], slices: Sequence[dict] = ()) -> None:

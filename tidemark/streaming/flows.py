@@ -6,16 +6,13 @@ row, so a replayed epoch changes nothing.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.windows import trailing_agg
 from tidemark.plans.scratch import scratch_path
 from tidemark.sources.publish import publish_slice, read_published
 from tidemark.streaming.keyed import latest_by_key
@@ -54,17 +51,34 @@ def with_event_time(df: DataFrame, at: str, late: str) -> DataFrame:
     return df.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, late)
 
 
-def meter(calls: DataFrame, by: Sequence[str], at: str = "ts", grain: str = "1 hour", late: str = "2 hours"):
-    """Tumbling usage counts per key."""
-    windows = with_event_time(calls, at, late).groupBy(F.window(at, grain), *by)
+def meter(calls: DataFrame, by: Sequence[str], at: str = "ts", grain: str = "1 hour") -> DataFrame:
+    """Usage counts per tumbling window and key of a batch or micro-batch."""
+    windows = calls.withColumn(at, F.col(at).cast("timestamp")).groupBy(F.window(at, grain), *by)
     return windows.agg(F.count("*").alias("calls")).select(F.col("window.start").alias("period"), *by, "calls")
 
 
-def sliding(df: DataFrame, by, at: str, length: str, slide: str, late: str, *aggs: Column) -> DataFrame:
-    """Sliding-window aggregates per key."""
-    windows = with_event_time(df, at, late).groupBy(F.window(at, length, slide), *by).agg(*aggs)
-    rest = [c for c in windows.columns if c != "window"]
-    return windows.select(F.col("window.start").alias("start"), F.col("window.end").alias("end"), *rest)
+def sliding(df: DataFrame, by: Sequence[str], at: str, length: str, slide: str, sums: dict[str, Column]) -> DataFrame:
+    """Sums per sliding window and key of a batch or micro-batch."""
+    windows = df.withColumn(at, F.col(at).cast("timestamp")).groupBy(F.window(at, length, slide), *by)
+    out = windows.agg(*[value.alias(name) for name, value in sums.items()])
+    return out.select(F.col("window.start").alias("start"), F.col("window.end").alias("end"), *by, *sums)
+
+
+def partial_sink(root: str, aggregate: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """Sink that keeps the counts and sums of each micro-batch under its epoch.
+
+    ``read_partials`` adds them up, so rows may arrive in any order and at any time: there
+    is no watermark, no state, and nothing late to drop. A replayed epoch overwrites itself."""
+
+    def each(batch: DataFrame, epoch: int) -> None:
+        aggregate(batch).write.mode("overwrite").parquet(f"{root}/epoch={epoch}")
+
+    return each
+
+
+def read_partials(spark: SparkSession, root: str, by: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """Totals over all epochs, windows still open included."""
+    return spark.read.parquet(root).groupBy(*by).agg(*[F.sum(c).alias(c) for c in sums])
 
 
 def dedupe(df: DataFrame, id: str, at: str, within: str) -> DataFrame:
@@ -106,20 +120,20 @@ def _table(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def upsert_sink(
-    root: str, key: Sequence[str], order: Sequence[str], buckets: int = 256
+    root: str, key: Sequence[str], order: Sequence[str], buckets: int = 256, flow: str = "flow"
 ) -> Callable[[DataFrame, int], None]:
     """Sink that keeps the newest row per key in a table cut into key buckets.
 
-    A micro-batch rewrites only the buckets it touches and publishes them together.
+    A micro-batch rewrites only the buckets it touches and publishes them together. Each flow
+    into the table needs a ``flow`` name of its own, kept over restarts: epochs are counted per flow.
     """
 
     def each(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
+        job = f"{flow}-epoch-{epoch:012d}"
         ledger = _table(spark, f"{root}/ledger")
-        if ledger is not None:
-            done = F.col("job_id").startswith(f"epoch-{epoch:012d}-")
-            if not ledger.filter(done).isEmpty():
-                return
+        if ledger is not None and not ledger.filter(F.col("job_id") == job).isEmpty():
+            return
         place = F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
         fresh = latest_by_key(batch, key, order).withColumn("bucket", place).persist()
         touched = fresh.select("bucket").distinct()
@@ -131,7 +145,7 @@ def upsert_sink(
                 old = read_published(spark, root, ["bucket"]).select(*fresh.columns)
                 rows = fresh.unionByName(old.join(F.broadcast(touched), "bucket", "left_semi"))
             merged = latest_by_key(rows, key, order)
-            publish_slice(merged, root, ["bucket"], f"epoch-{epoch:012d}-{uuid.uuid4().hex}", touched)
+            publish_slice(merged, root, ["bucket"], job, touched)
         finally:
             fresh.unpersist()
 
@@ -143,11 +157,11 @@ def read_upserted(spark: SparkSession, root: str) -> DataFrame:
     return read_published(spark, root, ["bucket"]).drop("bucket")
 
 
-def once_sink(root: str, id: str, day: str | None = None) -> Callable[[DataFrame, int], None]:
-    """Append-only sink that lets every id in once, across batches and restarts.
+def once_sink(root: str, id: str, day: str, flow: str = "flow") -> Callable[[DataFrame, int], None]:
+    """Append-only sink that lets every id in once, across batches, restarts and flows.
 
-    With ``day`` (a date that is the same on every copy of a message) the earlier ids
-    of only the batch's days are read.
+    ``day`` is a date that is the same on every copy of a message: only the earlier ids of the
+    batch's days are read. Each flow needs a ``flow`` name of its own.
     """
 
     def each(batch: DataFrame, epoch: int) -> None:
@@ -156,18 +170,16 @@ def once_sink(root: str, id: str, day: str | None = None) -> Callable[[DataFrame
         fresh = batch.dropDuplicates([id])
         seen = _table(spark, target)
         if seen is not None:
-            seen = seen.filter(F.col("epoch") < epoch)
-            if day:
-                seen = seen.join(batch.select(day).distinct(), day, "left_semi")
+            seen = seen.filter((F.col("flow") != flow) | (F.col("epoch") < epoch))
+            seen = seen.join(batch.select(day).distinct(), day, "left_semi")
             fresh = fresh.join(seen.select(id), id, "left_anti")
-        writer = fresh.write.mode("overwrite")
-        (writer.partitionBy(day) if day else writer).parquet(f"{target}/epoch={epoch}")
+        fresh.write.mode("overwrite").partitionBy(day).parquet(f"{target}/flow={flow}/epoch={epoch}")
 
     return each
 
 
 def read_once(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/rows").drop("epoch")
+    return spark.read.parquet(f"{root}/rows").drop("flow", "epoch")
 
 
 def dead_letter_sink(split: Callable[[DataFrame], tuple[DataFrame, DataFrame]], good_path: str, dead_path: str):
@@ -183,63 +195,3 @@ def dead_letter_sink(split: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
             kept.unpersist()
 
     return each
-
-
-def trailing_sum_sink(
-    root: str, key: Sequence[str], t: str, val: str, seq: str, k: int, lateness: int, tile: int = 86_400, limit=None
-) -> Callable[[DataFrame, int], None]:
-    """Sink that emits, for every event, the sum over its key's events in ``[t-k+1, t]``.
-
-    An event is emitted once no earlier one can still arrive (``lateness`` behind the
-    newest time seen), so the result does not depend on arrival order and equals the
-    batch operator. Events wait in time tiles on disk, not in a per-key state: a
-    batch reads only tiles it needs and sums them with the batch plan, which splits
-    hot keys. Events behind the mark go to ``late``. All paths are named by epoch and
-    overwritten by a replay.
-    """
-
-    def each(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        newest, emitted = _progress(spark, root, epoch)
-        columns = batch.columns
-        kept = batch.persist()
-        try:
-            top = kept.agg(F.max(t)).first()[0]
-            if top is None and newest is None:
-                return
-            newest = max(v for v in (newest, top) if v is not None)
-            on_time = F.lit(True) if emitted is None else F.col(t) > emitted
-            tiled = kept.filter(on_time).withColumn("tile", F.floor(F.col(t) / tile))
-            # Partitioned by tile inside the epoch: a rerun overwrites just this epoch.
-            tiled.write.mode("overwrite").partitionBy("tile").parquet(f"{root}/events/epoch={epoch}")
-            kept.filter(~on_time).write.mode("overwrite").parquet(f"{root}/late/epoch={epoch}")
-        finally:
-            kept.unpersist()
-        mark = newest - lateness
-        schema = T.StructType([*tiled.schema.fields, T.StructField("epoch", T.LongType())])
-        stored = spark.read.schema(schema).option("basePath", f"{root}/events").parquet(f"{root}/events")
-        stored = stored.filter((F.col("epoch") <= epoch) & (F.col(t) <= mark))
-        if emitted is not None:
-            reach = emitted - k + 1
-            stored = stored.filter((F.col("tile") >= F.floor(F.lit(reach) / tile)) & (F.col(t) > reach))
-        summed = trailing_agg(stored.select(*columns), t, val, k, seq, key=key, name="trailing", limit=limit)
-        if emitted is not None:
-            summed = summed.filter(F.col(t) > emitted)
-        summed.write.mode("overwrite").parquet(f"{root}/out/epoch={epoch}")
-        mark = mark if emitted is None else max(mark, emitted)
-        state = spark.range(1).select(F.lit(newest).cast("long").alias("newest"), F.lit(mark).cast("long").alias("emitted"))
-        state.write.mode("overwrite").parquet(f"{root}/progress/epoch={epoch}")
-
-    return each
-
-
-def _progress(spark: SparkSession, root: str, epoch: int):
-    """Newest time seen and last time emitted before ``epoch``: one row per epoch is read."""
-    rows = _table(spark, f"{root}/progress")
-    if rows is None:
-        return None, None
-    return tuple(rows.filter(F.col("epoch") < epoch).agg(F.max("newest"), F.max("emitted")).first())
-
-
-def read_trailing(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/out").drop("epoch")

@@ -64,25 +64,14 @@ def with_throttle(load: DataFrame) -> DataFrame:
     return load.withColumn("throttled_by", reason).withColumn("throttled", reason.isNotNull())
 
 
-def placement(df: DataFrame, key: str, partitions: int) -> DataFrame:
-    """Rows per partition under key-hash placement, with the share of its hottest key."""
-    keys = df.groupBy(key).agg(F.count("*").alias("_n"))
-    place = F.pmod(F.xxhash64(key), F.lit(partitions)).alias("partition")
-    return (
-        keys.groupBy(place)
-        .agg(
-            F.sum("_n").alias("rows"),
-            F.count("*").alias("keys"),
-            F.max_by(key, F.struct("_n", key)).alias("hot_key"),
-            F.max("_n").alias("hot_rows"),
-        )
-        .withColumn("hot_share", F.col("hot_rows") / F.col("rows"))
-    )
-
-
-def skew_factor(placed: DataFrame) -> DataFrame:
-    """Largest partition against the mean one."""
-    return placed.agg((F.max("rows") / F.avg("rows")).alias("skew"))
+def hot_keys(df: DataFrame, key: str, k: int) -> DataFrame:
+    """The ``k`` keys with most rows: their share of all rows and how far they exceed the mean key."""
+    keys = df.groupBy(key).agg(F.count("*").alias("rows"))
+    total = keys.agg(F.sum("rows").cast("double").alias("_total"), F.count("*").alias("_keys"))
+    top = keys.orderBy(F.desc("rows"), key).limit(k)
+    # One row of totals, as two scalars.
+    rows, names = total.select("_total").scalar(), total.select("_keys").scalar()
+    return top.withColumns({"share": F.col("rows") / rows, "skew": F.col("rows") * names / rows})
 
 
 def order_check(df: DataFrame, key: Sequence[str], arrival: Sequence, seq: str, limit=None) -> DataFrame:
