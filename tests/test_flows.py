@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators import dims, joins, policy, quality, retrieval, usage, windows, workflow
+from tidemark.functions import scalars
+from tidemark.operators import dims, joins, policy, quality, reports, retrieval, rows, usage, windows, workflow
 from tidemark.operators.policy import Field, Policy, When
 from tidemark.sources import files, intake, log, publish
 from tidemark.streaming import flows, keyed
@@ -94,10 +95,13 @@ def test_failed_publish_stays_invisible(spark, tmp_path):
     root = str(tmp_path / "t")
     first = spark.createDataFrame([("a", 1)], "k string, v int")
     publish.publish_slice(first, root, ["k"], "job-1")
-    spark.createDataFrame([("a", 9, "job-2")], "k string, v int, job_id string").write.mode("append").partitionBy(
-        "k", "job_id"
-    ).parquet(f"{root}/data")
+    # The data of an attempt that died before its ledger row, and the same job started again.
+    df = spark.createDataFrame([("a", 9)], "k string, v int")
+    df.write.partitionBy("k").parquet(f"{root}/data/attempt=0123456789e00000")
     assert [r.v for r in publish.read_published(spark, root, ["k"]).collect()] == [1]
+    for _ in range(2):
+        publish.publish_slice(df, root, ["k"], "job-2")
+        assert [r.v for r in publish.read_published(spark, root, ["k"]).collect()] == [9]
 
 
 def test_slice_keys_keep_type_and_nulls(spark, tmp_path):
@@ -195,37 +199,98 @@ def test_hierarchy_stops_at_cycles(spark):
     assert out == {1: (0, [1]), 2: (1, [1, 2]), 3: (2, [1, 2, 3])}
 
 
+def test_hierarchy_of_any_depth(spark):
+    df = spark.createDataFrame([(i, i - 1 if i else None) for i in range(41)], "id int, parent int")
+    assert dims.hierarchy(df, "id", "parent").count() == 41
+    with pytest.raises(ValueError):
+        dims.hierarchy(df, "id", "parent", max_depth=32)
+
+
+def test_null_keys_are_keys(spark):
+    old = spark.createDataFrame([(None, "x"), (1, "y")], "k int, v string")
+    new = spark.createDataFrame([(None, "z")], "k int, v string")
+    assert {tuple(r) for r in dims.upsert(old, new, ["k"]).collect()} == {(None, "z"), (1, "y")}
+    history = dims.open_versions(old.withColumn("day", F.lit("2024-01-01")), "k", ["v"], "day")
+    history = dims.scd2(history, new.withColumn("day", F.lit("2024-01-02")), "k", ["v"], "day")
+    assert {(r.k, r.v) for r in history.filter("is_current").collect()} == {(None, "z"), (1, "y")}
+    df = spark.createDataFrame([(None, 1, 5), (None, 2, 0), (None, 3, 5)], "k int, seq int, v int")
+    assert [r.seq for r in rows.take_while(df, F.col("v") > 1, ["seq"], ["k"]).collect()] == [1]
+    loans = spark.createDataFrame([(None, "a", 3), (None, "b", 1)], "day string, who string, loan_value_usd int")
+    shares = reports.exposure(loans, ["who"], within=["day"]).collect()
+    assert {r.who: float(r.share_pct) for r in shares} == {"a": 75.0, "b": 25.0}
+
+
+def test_surrogates_and_checksums_mark_nulls(spark):
+    df = spark.createDataFrame([("a", None), (None, "a"), ("a", "")], "x string, y string")
+    assert dims.surrogate(df, ["x", "y"]).select("sk").distinct().count() == 3
+    sums = [df.limit(1), df.filter("x IS NULL")]
+    assert len({d.agg(scalars.file_checksum(["x", "y"])).first()[0] for d in sums}) == 2
+
+
+def test_partner_without_quota_stays(spark):
+    calls = spark.createDataFrame([("p", dt.datetime(2024, 1, 1)), ("q", dt.datetime(2024, 1, 2))], "partner_id string, ts timestamp_ntz")
+    quotas = spark.createDataFrame([("p", 10)], "partner_id string, quota int")
+    assert {r.partner_id: r.state for r in usage.quota_state(calls, quotas).collect()} == {"p": "ok", "q": "no_quota"}
+
+
+def test_policies_fail_closed_on_missing_fields(spark):
+    requests = spark.createDataFrame(
+        [(1, None, None, None), (2, "open", "me", "me"), (3, "suspended", "me", "you"), (4, "1.0", None, "x")],
+        "id int, status string, owner string, caller string",
+    )
+
+    def decided(*conditions):
+        rules = [policy.Policy("p", "permit", conditions=conditions)]
+        return [r.id for r in policy.evaluate_policies(requests, rules).filter("decision = 'ALLOW'").orderBy("id").collect()]
+
+    assert decided(policy.When("status", "ne", "suspended")) == [2, 4]
+    assert decided(policy.When("owner", "eq", policy.Field("caller"))) == [2]
+    assert decided(policy.When("nothing", "eq", policy.Field("absent"))) == []
+    assert decided(policy.When("nothing", "ne", "x")) == []
+    assert decided(policy.When("status", "eq", 1)) == [4]
+    assert decided(policy.When("status", "missing")) == [1]
+    rules = [policy.Policy("all", "permit"), policy.Policy("no", "forbid", conditions=[policy.When("owner", "ne", policy.Field("caller"))])]
+    assert [r.id for r in policy.evaluate_policies(requests, rules).filter("decision = 'DENY'").collect()] == [3]
+
+
 # ---------------------------------------------------------------- streams
 
 
-def test_trailing_stream_survives_restart(spark, tmp_path):
+def test_partials_of_unordered_files_lose_nothing(spark, tmp_path):
+    """Files one per batch, newest first, over a restart: every call is counted, open windows too."""
     rng = random.Random(11)
-    events = [(i, rng.choice("ab"), i // 4 + rng.randrange(3), rng.randrange(9)) for i in range(240)]
-    schema = "seq long, k string, t long, x long"
+    start = dt.datetime(2024, 1, 1)
+    calls = [(rng.choice("ab"), start + dt.timedelta(minutes=rng.randrange(60 * 24 * 9))) for _ in range(400)]
+    calls.sort(key=lambda c: c[1], reverse=True)
+    schema = "k string, ts timestamp_ntz"
     source, root, checkpoint = (str(tmp_path / n) for n in ("in", "out", "state"))
-
-    def run(rows):
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+    sink = flows.partial_sink(root, lambda df: flows.meter(df, ["k"]))
+    for part in range(4):
+        spark.createDataFrame(calls[part * 100 : part * 100 + 100], schema).coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
-        sink = flows.trailing_sum_sink(root, ["k"], "t", "x", "seq", 5, 3, tile=8, limit=20)
         flows.start(stream, checkpoint, each=sink).awaitTermination()
-
-    for start in (0, 80, 160):
-        part = events[start : start + 80]
-        rng.shuffle(part)
-        run(part)
-    run([(999, "z", 10_000, 0)])
-    got = {r.seq: r.trailing for r in flows.read_trailing(spark, root).collect()}
-    df = spark.createDataFrame(events, schema)
-    want = {r.seq: r.trailing for r in windows.trailing_agg(df, "t", "x", 5, "seq", key=["k"]).collect()}
-    assert got == want
-    # A replayed epoch changes nothing, an event behind the mark is set aside.
-    sink = flows.trailing_sum_sink(root, ["k"], "t", "x", "seq", 5, 3, tile=8)
-    run([(1000, "a", 3, 1)])
-    assert {r.seq: r.trailing for r in flows.read_trailing(spark, root).collect()} == want
-    assert [r.seq for r in spark.read.parquet(f"{root}/late").collect()] == [1000]
-    sink(spark.createDataFrame([(1000, "a", 3, 1)], schema), 4)
-    assert {r.seq: r.trailing for r in flows.read_trailing(spark, root).collect()} == want
+    got = {(r.k, r.period): r.calls for r in flows.read_partials(spark, root, ["period", "k"], ["calls"]).collect()}
+    want = {}
+    for k, at in calls:
+        hour = (k, at.replace(minute=0))
+        want[hour] = want.get(hour, 0) + 1
+    assert {(k, p.replace(tzinfo=None)): n for (k, p), n in got.items()} == want
+    # A replayed epoch overwrites itself.
+    sink(spark.createDataFrame(calls[:100], schema), 0)
+    assert flows.read_partials(spark, root, ["k"], ["calls"]).agg(F.sum("calls")).first()[0] == 400
+
+
+def test_two_flows_into_one_table(spark, tmp_path):
+    root, schema = str(tmp_path / "t"), "k string, seq long"
+    for flow, row in (("east", ("a", 1)), ("west", ("b", 1)), ("west", ("b", 9))):
+        flows.upsert_sink(root, ["k"], ["seq"], 4, flow)(spark.createDataFrame([row], schema), 0)
+    # The last call replays epoch 0 of its flow and changes nothing.
+    assert {(r.k, r.seq) for r in flows.read_upserted(spark, root).collect()} == {("a", 1), ("b", 1)}
+    root = str(tmp_path / "o")
+    for flow, ids in (("east", [1, 2]), ("west", [2, 3]), ("west", [2, 3])):
+        df = spark.createDataFrame([(i, "2024-01-01") for i in ids], "id int, day string")
+        flows.once_sink(root, "id", "day", flow)(df, 0)
+    assert sorted(r.id for r in flows.read_once(spark, root).collect()) == [1, 2, 3]
 
 
 def test_latest_survives_restart_and_order(spark, tmp_path):
@@ -248,9 +313,10 @@ def test_latest_survives_restart_and_order(spark, tmp_path):
 def test_once_sink_across_restarts(spark, tmp_path):
     source, root, checkpoint = (str(tmp_path / n) for n in ("in", "out", "state"))
     for ids in ([1, 2, 2], [2, 3], [1, 4]):
-        spark.createDataFrame([(i,) for i in ids], "id int").coalesce(1).write.mode("append").parquet(source)
-        stream = spark.readStream.schema("id int").parquet(source)
-        flows.start(stream, checkpoint, each=flows.once_sink(root, "id")).awaitTermination()
+        df = spark.createDataFrame([(i, f"2024-01-0{i}") for i in ids], "id int, day string")
+        df.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema("id int, day string").parquet(source)
+        flows.start(stream, checkpoint, each=flows.once_sink(root, "id", "day")).awaitTermination()
     assert sorted(r.id for r in flows.read_once(spark, root).collect()) == [1, 2, 3, 4]
 
 
@@ -450,3 +516,22 @@ def test_fusion(spark):
     b = spark.createDataFrame([(1, 20, 1), (1, 30, 2)], "query_id int, id int, rnk int")
     out = [(r.id, round(r.score, 6)) for r in retrieval.fuse(a, b, id="id").orderBy("rnk").collect()]
     assert out == [(20, round(1 / 62 + 1 / 61, 6)), (10, round(1 / 61, 6)), (30, round(1 / 62, 6))]
+
+
+def test_wrong_headers_and_empty_files(spark, tmp_path):
+    schema = T.StructType.fromDDL("a int, b int")
+    for name, text in {"x_1": "a,b\n1,2\n", "x_2": "b,a\n1,2\n3,4\n", "x_3": "a,b\n", "x_4": '"A", b\n5,6,7\n'}.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part.csv").write_text(text)
+    paths = [str(tmp_path / f"x_{i}") for i in range(1, 5)]
+    wrong = files.wrong_headers(spark, paths, schema)
+    assert [r.header for r in wrong.collect()] == ["b,a"]
+    read = files.mark_headers(files.read_delimited(spark, paths, schema), wrong)
+    checked = quality.validate(read, [quality.well_headed(), quality.whole_row()]).cache()
+    reasons = sorted((r.a, tuple(r.reject_reasons)) for r in checked.collect())
+    assert reasons == [(1, ()), (1, ("file:header",)), (3, ("file:header",)), (5, ("row:columns",))]
+    listed = files.list_files(spark, paths)
+    audit = quality.audit(checked, ["file_path"], ["a", "b"], "job", files=listed).collect()
+    assert sorted((r.file_path[-10], r.read_count, r.status) for r in audit) == [
+        ("1", 1, "SUCCESS"), ("2", 2, "FAILED"), ("3", 0, "SUCCESS"), ("4", 1, "FAILED"),
+    ]

@@ -78,14 +78,15 @@ def _(spark, sf):
 
 @query(
     "m03_quota",
-    f"""WITH r AS (SELECT partner_id, ts, count(*) OVER (PARTITION BY partner_id ORDER BY ts) AS used, 950 + partner_id * 10 AS quota FROM ({CALLS})),
+    f"""WITH r AS (SELECT partner_id, ts, count(*) OVER (PARTITION BY partner_id ORDER BY ts) AS used, CASE WHEN partner_id % 4 <> 3 THEN 950 + partner_id * 10 END AS quota FROM ({CALLS})),
        q AS (SELECT partner_id, max(used) AS calls, max(quota) AS quota, min(ts) FILTER (used / quota >= 0.9) AS w, min(ts) FILTER (used / quota >= 1) AS e FROM r GROUP BY partner_id)
        SELECT partner_id, calls, quota, strftime(w, '%Y-%m-%d %H:%M:%S') AS warned_at, strftime(e, '%Y-%m-%d %H:%M:%S') AS exceeded_at,
-         CASE WHEN e IS NOT NULL THEN 'exceeded' WHEN w IS NOT NULL THEN 'warning' ELSE 'ok' END AS state FROM q""",
+         CASE WHEN e IS NOT NULL THEN 'exceeded' WHEN w IS NOT NULL THEN 'warning' WHEN quota IS NULL THEN 'no_quota' ELSE 'ok' END AS state FROM q""",
 )
 def _(spark, sf):
     made = calls(spark, sf)
-    quotas = made.select("partner_id").distinct().withColumn("quota", 950 + F.col("partner_id") * 10)
+    # Some partners have no quota.
+    quotas = made.filter("partner_id % 4 <> 3").select("partner_id").distinct().withColumn("quota", 950 + F.col("partner_id") * 10)
     out = usage.quota_state(made, quotas).drop("month")
     return out.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("warned_at", "exceeded_at")})
 
@@ -123,6 +124,22 @@ def _(spark, sf):
     return usage.decide(_as_requests(spark, sf), consents(spark, sf)).select("request_id", "decision")
 
 
+@query(
+    "m05_rate_limited",
+    f"""WITH r AS (SELECT * REPLACE (date_trunc('day', ts) AS ts), event_id % 17 <> 0 AS valid FROM ({CALLS})),
+       h AS (SELECT r.event_id, bool_or(list_contains(string_split(c.scopes, ','), r.api)) AS scoped FROM r JOIN ({CONSENTS}) c
+         ON r.customer_id = c.customer_id AND r.partner_id = c.partner_id WHERE {_COVERED} GROUP BY r.event_id)
+       SELECT r.event_id AS request_id, CASE WHEN NOT valid THEN '401 invalid_token' WHEN scoped IS NULL THEN '403 consent_revoked'
+         WHEN NOT scoped THEN '403 insufficient_scope' WHEN row_number() OVER (PARTITION BY partner_id, ts ORDER BY r.event_id) > 20 THEN '429 rate_limited'
+         ELSE 'ALLOW' END AS decision FROM r LEFT JOIN h ON r.event_id = h.event_id""",
+)
+def _(spark, sf):
+    """All requests of a day at one moment, more than the rate lets through."""
+    at = F.date_trunc("day", F.col("requested_at")).cast("timestamp_ntz")
+    requests = _as_requests(spark, sf).withColumn("requested_at", at).withColumn("token_expires_at", at)
+    return usage.decide(requests, consents(spark, sf), per_second=20).select("request_id", "decision")
+
+
 @query(
     "m06_post_revocation",
     f"""SELECT * FROM (SELECT a.event_id, CASE WHEN a.ts > c.revoked_at THEN 'violation' WHEN a.ts + INTERVAL 6 HOUR > c.revoked_at THEN 'in_flight' END AS state

@@ -11,7 +11,7 @@ from tidemark.catalog import Tables, query
 from tidemark.catalog.shapes import PNL, POSITIONS, pnl, positions
 from tidemark.operators import quality, workflow
 from tidemark.operators.aggregates import frequency, money
-from tidemark.plans.scratch import scratch_path
+from tidemark.plans.scratch import materialize, scratch_path
 from tidemark.sources import files, generate, intake, log, publish
 
 # ---------------------------------------------------------------- sources and sinks
@@ -72,7 +72,9 @@ def _(spark, sf):
     # A corrected delivery: F lost rows, P came back empty, O was not delivered again.
     again = orders.filter("o_orderstatus = 'F' AND o_totalprice < 200000")
     redone = orders.filter("o_orderstatus IN ('F', 'P')")
-    publish.publish_slice(again, root, ["o_orderstatus"], "job-2", redone, published_at="2024-01-15 09:00:00")
+    # The first job is run again, too: it has been published and changes nothing.
+    for job, df, at in (("job-2", again, "09:00:00"), ("job-2", again, "09:30:00"), ("job-1", orders, "10:00:00")):
+        publish.publish_slice(df, root, ["o_orderstatus"], job, redone, published_at=f"2024-01-15 {at}")
     return publish.read_published(spark, root, ["o_orderstatus"])
 
 
@@ -120,7 +122,8 @@ def _(spark, sf):
         F.lit("app").alias("source"), F.col("event_type").alias("file_type"),
         F.to_date("ts").cast("string").alias("file_date"), F.lit("f").alias("file_name"), "value",
     ).withColumn("file_key", intake.idempotency_key())
-    ledger = named.filter("value > 150").select("file_key", F.lit("SUCCESS").alias("status"))
+    status = F.when(F.col("value") > 180, "PARTIAL").otherwise("SUCCESS")
+    ledger = named.filter("value > 150").select("file_key", status.alias("status"))
     return intake.unprocessed(named.select("file_key").distinct(), ledger)
 
 
@@ -238,13 +241,58 @@ def _(spark, sf):
     "q04_audit",
     f"""SELECT CAST(file_date AS VARCHAR) AS file_date, count(*) AS read_count, count(*) FILTER (reasons <> '') AS reject_count,
          count(*) FILTER (reasons = '') AS record_count, CASE WHEN count(*) FILTER (reasons <> '') = 0 THEN 'SUCCESS'
-         WHEN count(*) FILTER (reasons = '') = 0 THEN 'FAILED' ELSE 'PARTIAL' END AS status, 'job-7' AS job_id
+         WHEN count(*) FILTER (reasons = '') = 0 THEN 'FAILED' ELSE 'PARTIAL' END AS status, 'job-7' AS job_id,
+         count(*) || ':' || CAST(sum(CAST('0x' || md5(length(loan_id) || ':' || loan_id || coalesce(length(security_id) || ':' || security_id, '~')
+           || coalesce(length(CAST(quantity AS DECIMAL(18,4))::VARCHAR) || ':' || CAST(quantity AS DECIMAL(18,4))::VARCHAR, '~'))[1:15] AS BIGINT)) AS VARCHAR) AS checksum
        FROM ({_REASONS}) GROUP BY 1""",
 )
 def _(spark, sf):
     checked = _checked(spark, sf).withColumn("file_date", F.col("file_date").cast("string"))
-    audit = quality.audit(checked, ["file_date"], ["loan_id", "security_id", "loan_value_usd"], "job-7", "2024-01-15")
-    return audit.drop("checksum", "processed_at")
+    checked = checked.withColumn("quantity", F.col("quantity").cast("decimal(18,4)"))
+    audit = quality.audit(checked, ["file_date"], ["loan_id", "security_id", "quantity"], "job-7", "2024-01-15")
+    return audit.drop("processed_at")
+
+
+@query(
+    "q04_deliveries",
+    """WITH f AS (SELECT DISTINCT o_orderpriority AS kind FROM orders),
+       x AS (SELECT o_orderpriority AS kind, o_orderkey, CASE WHEN o_orderpriority[1:1] = '1' THEN 'file:header' WHEN o_orderkey % 11 = 0 THEN 'row:columns' ELSE '' END AS reason
+         FROM orders WHERE o_orderpriority[1:1] <> '5')
+       SELECT kind, count(o_orderkey) AS read_count, count(*) FILTER (reason <> '') AS reject_count, count(*) FILTER (reason LIKE '%header%') AS wrong_header,
+         CASE WHEN count(*) FILTER (reason <> '') = 0 THEN 'SUCCESS' WHEN count(*) FILTER (reason <> '') = count(*) THEN 'FAILED' ELSE 'PARTIAL' END AS status
+       FROM f LEFT JOIN x USING (kind) GROUP BY kind""",
+)
+def _(spark, sf):
+    """Files by priority: one with its columns exchanged, one without rows, others with ragged rows."""
+    orders = Tables(spark, sf).orders.select(F.col("o_orderpriority").alias("kind"), "o_orderkey", "o_totalprice")
+    root = scratch_path(spark, "deliveries")
+    kinds = sorted(r[0] for r in orders.select("kind").distinct().collect())
+    for i, kind in enumerate(kinds):
+        # A delivery is one file with one header, so its lines are numbered and written together.
+        own = orders.filter(F.col("kind") == kind)
+        extra = F.when(F.col("o_orderkey") % 11 == 0, "|more").otherwise("")
+        line = F.concat_ws("|", "kind", "o_orderkey", F.col("o_totalprice").cast("decimal(18,2)"))
+        lines = own.select(F.lit(1).alias("n"), F.concat(line, extra).alias("value"))
+        if kind.startswith("1"):
+            lines = own.select(F.lit(1).alias("n"), F.concat_ws("|", "kind", F.col("o_totalprice").cast("long"), "o_orderkey").alias("value"))
+        if kind.startswith("5"):
+            lines = lines.limit(0)
+        names = "kind|price|order_id" if kind.startswith("1") else "kind|order_id|price"
+        header = spark.createDataFrame([(0, names)], "n int, value string")
+        header.unionByName(lines).coalesce(1).sortWithinPartitions("n").select("value").write.text(f"{root}/orders_{i}")
+    schema = T.StructType.fromDDL("kind string, order_id long, price decimal(18,2)")
+    paths = [f"{root}/orders_{i}" for i in range(len(kinds))]
+    rows = files.read_delimited(spark, paths, schema, "|")
+    rows = files.mark_headers(rows, files.wrong_headers(spark, paths, schema, "|"))
+    checked = materialize(quality.validate(rows, [quality.well_headed(), quality.whole_row()]), "checked")
+    folder = F.regexp_extract("file_path", r"orders_(\d+)", 1).cast("int")
+    names = spark.createDataFrame(list(enumerate(kinds)), "_no int, _kind string")
+    checked = checked.withColumn("_no", folder).join(names, "_no").withColumn("kind", F.col("_kind"))
+    listed = files.list_files(spark, paths).withColumn("_no", folder).join(names, "_no").select(F.col("_kind").alias("kind"))
+    wrong = checked.groupBy("kind").agg(F.count_if("_wrong_header").alias("wrong_header"))
+    audit = quality.audit(checked, ["kind"], ["order_id"], "job-8", "2024-01-15", listed)
+    audit = audit.join(wrong, "kind", "left").fillna(0, ["wrong_header"])
+    return audit.select("kind", "read_count", "reject_count", "wrong_header", "status")
 
 
 _STATES = ["PENDING", "SUCCESS", "PARTIAL", "FAILED"]
@@ -348,15 +396,14 @@ def _(spark, sf):
     "q10_completeness",
     """WITH r AS (SELECT CAST(ts AS DATE) AS d, event_type AS t, count(*) AS n FROM events WHERE value > 100 GROUP BY 1, 2)
        SELECT CAST(c.d AS VARCHAR) AS file_date, y.t AS file_type, coalesce(n, 0) AS received, coalesce(n, 0) >= 2 AS complete
-       FROM (SELECT CAST(unnest(range(DATE '2024-01-01', DATE '2024-02-01', INTERVAL 1 DAY)) AS DATE) AS d) c,
-         (VALUES ('click'), ('purchase')) y(t) LEFT JOIN r ON r.d = c.d AND r.t = y.t""",
+       FROM (SELECT CAST(unnest(range((SELECT min(CAST(ts AS DATE)) FROM events), (SELECT max(CAST(ts AS DATE)) + INTERVAL 1 DAY FROM events), INTERVAL 1 DAY)) AS DATE) AS d) c,
+         (SELECT DISTINCT event_type AS t FROM events) y LEFT JOIN r ON r.d = c.d AND r.t = y.t""",
 )
 def _(spark, sf):
-    received = Tables(spark, sf).events.filter("value > 100").select(
-        F.to_date("ts").alias("file_date"), F.col("event_type").alias("file_type")
-    )
-    first, last = (F.lit(d).cast("date") for d in ("2024-01-01", "2024-01-31"))
-    days = quality.completeness(received, ["click", "purchase"], first, last, 2)
+    events = Tables(spark, sf).events.select("value", F.to_date("ts").alias("file_date"), F.col("event_type").alias("file_type"))
+    seen = events.agg(F.min("file_date"), F.max("file_date"), F.collect_set("file_type")).first()
+    first, last = (F.lit(d).cast("date") for d in seen[:2])
+    days = quality.completeness(events.filter("value > 100"), sorted(seen[2]), first, last, 2)
     return days.withColumn("file_date", F.col("file_date").cast("string"))
 
 
@@ -455,6 +502,15 @@ def _(spark, sf):
     return workflow.plan_partitions(orders, ["o_orderdate", "o_orderkey"], 500)
 
 
+@query(
+    "q15_hash_partitions",
+    """SELECT CAST('0x' || md5(length(CAST(o_custkey AS VARCHAR)) || ':' || o_custkey)[1:15] AS BIGINT) % 12 AS partition_id, count(*) AS records
+       FROM orders GROUP BY 1""",
+)
+def _(spark, sf):
+    return workflow.hash_partitions(Tables(spark, sf).orders, ["o_custkey"], 12)
+
+
 def _stage_rows(spark, sf):
     status = F.when(F.col("l_quantity") < 3, "FAILED").when(F.col("l_quantity") > 48, "IN_PROGRESS").otherwise("COMPLETED")
     t = Tables(spark, sf)
@@ -492,10 +548,63 @@ def _(spark, sf):
     return workflow.ops_views(stages=_stage_rows(spark, sf))["retry_trend"]
 
 
-@query("q17_jobs_by_status", f"SELECT status, count(*) AS n FROM ({_RECORD_ROWS}) GROUP BY status")
+@query(
+    "q17_jobs_by_status",
+    f"""SELECT CASE WHEN done = total THEN 'COMPLETED' WHEN failed = total THEN 'FAILED' WHEN failed + done < total THEN 'IN_PROGRESS'
+         ELSE 'PARTIALLY_FAILED' END AS status, count(*) AS n FROM (SELECT job_id, count(*) AS total, count(*) FILTER (status = 'FAILED') AS failed,
+         count(*) FILTER (status = 'COMPLETED') AS done FROM ({_RECORD_ROWS}) GROUP BY job_id) GROUP BY 1""",
+)
+def _(spark, sf):
+    jobs = workflow.rollup_status(_stage_rows(spark, sf))[2]
+    return workflow.ops_views(jobs=jobs)["jobs_by_status"]
+
+
+@query(
+    "q17_feed_sla",
+    """SELECT o_orderpriority AS feed_id, count(*) AS jobs, round(avg(s), 6) AS mean_seconds, max(s) AS worst_seconds FROM (SELECT o_orderpriority,
+         date_diff('second', CAST(o_orderdate AS TIMESTAMP), CAST(l_shipdate AS TIMESTAMP)) AS s FROM orders JOIN lineitem ON l_orderkey = o_orderkey) GROUP BY 1""",
+)
 def _(spark, sf):
-    records, _, _ = workflow.rollup_status(_stage_rows(spark, sf))
-    return workflow.ops_views(jobs=records)["jobs_by_status"]
+    t = Tables(spark, sf)
+    at = {"created_at": F.col("o_orderdate").cast("timestamp_ntz"), "updated_at": F.col("l_shipdate").cast("timestamp_ntz")}
+    jobs = t.orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_orderpriority").alias("feed_id"), F.lit("COMPLETED").alias("status"), *[c.alias(n) for n, c in at.items()]
+    )
+    return workflow.ops_views(jobs=jobs)["feed_sla"].withColumn("mean_seconds", F.round("mean_seconds", 6))
+
+
+@query(
+    "q17_stuck_partitions",
+    """WITH n AS (SELECT max(ts) AS now FROM events) SELECT event_id, date_diff('minute', ts, now) AS idle_minutes FROM events, n
+       WHERE event_type = 'view' AND date_diff('minute', ts, now) > 1440""",
+)
+def _(spark, sf):
+    events = Tables(spark, sf).events
+    now = events.agg(F.max(F.date_trunc("minute", F.col("ts")))).first()[0]
+    state = F.when(F.col("event_type") == "view", "IN_PROGRESS").otherwise("COMPLETED")
+    partitions = events.select("event_id", state.alias("status"), F.date_trunc("minute", F.col("ts")).alias("updated_at"))
+    stuck = workflow.ops_views(partitions=partitions, now=F.lit(now), stuck_minutes=1440)["stuck_partitions"]
+    return stuck.select("event_id", "idle_minutes")
+
+
+@query(
+    "q17_stage_latency",
+    """SELECT 'S' || l_linenumber AS stage_name, round(avg(s), 6) AS mean_seconds, max(s) AS worst_seconds FROM (SELECT l_linenumber,
+         date_diff('second', CAST(o_orderdate AS TIMESTAMP), CAST(l_shipdate AS TIMESTAMP)) AS s FROM orders JOIN lineitem ON l_orderkey = o_orderkey) GROUP BY 1""",
+)
+def _(spark, sf):
+    t = Tables(spark, sf)
+    stages = t.orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.concat(F.lit("S"), "l_linenumber").alias("stage_name"), F.lit(0).alias("retry_count"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("started_at"), F.col("l_shipdate").cast("timestamp_ntz").alias("completed_at"),
+    )
+    return workflow.ops_views(stages=stages)["stage_latency"].withColumn("mean_seconds", F.round("mean_seconds", 6))
+
+
+@query("q17_dead_by_type", "SELECT event_type AS failure_type, count(*) AS n FROM events WHERE value > 150 GROUP BY 1")
+def _(spark, sf):
+    dead = Tables(spark, sf).events.filter("value > 150").select(F.col("event_type").alias("failure_type"))
+    return workflow.ops_views(dead=dead)["dead_by_type"]
 
 
 @query(
@@ -517,6 +626,26 @@ def _(spark, sf):
     return workflow.split_name(people, "first_name")[0]
 
 
+@query(
+    "q19_changes",
+    """SELECT p_partkey, p_name AS old_value, split_part(p_name, ' ', 1) AS first_name FROM part WHERE strpos(p_name, ' ') > 0""",
+)
+def _(spark, sf):
+    people = Tables(spark, sf).part.select("p_partkey", F.col("p_name").alias("first_name"), F.lit("").alias("last_name"))
+    return workflow.split_name(people, "first_name")[1].select("p_partkey", "old_value", "first_name")
+
+
+@query(
+    "q21_lineage",
+    """SELECT o_orderkey, 'job-9' AS lineage_job, 'orders' AS lineage_source,
+         sha256(length(CAST(o_orderkey AS VARCHAR)) || ':' || o_orderkey || coalesce(length(CAST(nullif(o_custkey % 5, 0) AS VARCHAR)) || ':' || nullif(o_custkey % 5, 0), '~')) AS record_id
+       FROM orders""",
+)
+def _(spark, sf):
+    orders = Tables(spark, sf).orders.select("o_orderkey", F.nullif(F.col("o_custkey") % 5, F.lit(0)).alias("group"))
+    return workflow.with_lineage(orders, "job-9", "orders", ["o_orderkey", "group"]).drop("group")
+
+
 _LIFE = ["New", "Validated", "Routed", "Live", "Partially filled", "Filled", "Cancelled", "Rejected", "Expired"]
 
 

@@ -407,7 +407,7 @@ def _(spark, sf):
     """SELECT l_returnflag, l_linestatus, count(l_quantity) AS n,
          CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS total,
          CAST(min(l_quantity) AS DOUBLE) AS lowest, CAST(max(l_quantity) AS DOUBLE) AS highest,
-         CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / count(l_quantity) AS mean
+         round(CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / count(l_quantity), 6) AS mean
        FROM lineitem GROUP BY l_returnflag, l_linestatus""",
 )
 def _(spark, sf):
@@ -415,8 +415,7 @@ def _(spark, sf):
     stats = agg.summary_stats(items, "q", ["l_returnflag", "l_linestatus"])
     return stats.select(
         "l_returnflag", "l_linestatus", "n",
-        *[F.col(c).cast("double").alias(c) for c in ("total", "lowest", "highest")],
-        (F.col("total").cast("double") / F.col("n")).alias("mean"),
+        *[F.col(c).cast("double").alias(c) for c in ("total", "lowest", "highest", "mean")],
     )
 
 

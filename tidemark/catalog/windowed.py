@@ -219,12 +219,15 @@ def _(spark, sf):
 
 @query(
     "w15_hits_at",
-    f"""WITH c AS ({_CLICKS}) SELECT q.t, count(c.t) AS hits FROM (SELECT unnest(range(0, 4320, 7)) AS t) q
+    f"""WITH c AS ({_CLICKS}) SELECT q.t, count(c.t) AS hits FROM (SELECT unnest(range(0, (SELECT max(t) FROM c) + 31, 7)) AS t) q
        LEFT JOIN c ON c.t BETWEEN q.t - 29 AND q.t GROUP BY q.t""",
 )
 def _(spark, sf):
-    times = spark.range(0, 4320, 7).select(F.col("id").alias("t"))
-    return windows.hits_at(clicks(spark, sf), times, "t", 30, width=144)
+    hits = clicks(spark, sf)
+    # Until no window reaches the last hit any more.
+    last = hits.agg(F.max("t")).first()[0]
+    times = spark.range(0, last + 31, 7).select(F.col("id").alias("t"))
+    return windows.hits_at(hits, times, "t", 30, width=144)
 
 
 @query(

@@ -59,8 +59,16 @@ def attribute_hash(cols: Sequence[str]) -> Column:
     return F.sha2(F.to_json(F.struct(*cols), options), 256)
 
 
+def row_text(cols: Sequence[str]) -> Column:
+    """The values as one text that keeps nulls, places and borders apart: length, colon, value, or a tilde for null."""
+    text = [F.col(c).cast("string") for c in cols]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("~")) for t in text]
+    return F.concat(*parts)
+
+
 def row_checksum(cols: Sequence[str]) -> Column:
-    return F.xxhash64(*cols)
+    """60 bits of a hash of the row's values; a value moved to another column changes it."""
+    return F.conv(F.substring(F.md5(row_text(cols)), 1, 15), 16, 10).cast("long")
 
 
 def file_checksum(cols: Sequence[str]) -> Column:
@@ -69,4 +77,4 @@ def file_checksum(cols: Sequence[str]) -> Column:
     The sum of row hashes tells repeated rows apart, which a plain xor would cancel.
     """
     total = F.sum(row_checksum(cols).cast("decimal(38,0)"))
-    return F.concat_ws(":", F.count("*"), F.coalesce(total, F.lit(0)))
+    return F.concat_ws(":", F.count("*"), F.coalesce(total, F.lit(0).cast("decimal(38,0)")))

@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.plans.ordering import check_hot, keyed_neighbor
+from tidemark.functions.scalars import row_checksum
+from tidemark.plans.ordering import check_hot, join_keys, keyed_neighbor
 from tidemark.plans.scratch import materialize
 
 
@@ -17,7 +18,7 @@ def upsert(current: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFra
     ``delta`` must not repeat a key; see ``repeated_keys``. To limit the rewrite, pass
     only the touched partitions as ``current``.
     """
-    return current.join(delta, list(keys), "left_anti").unionByName(delta.select(*current.columns))
+    return join_keys(current, delta, keys, "left_anti").unionByName(delta.select(*current.columns))
 
 
 def repeated_keys(delta: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -27,7 +28,7 @@ def repeated_keys(delta: DataFrame, keys: Sequence[str]) -> DataFrame:
 def scd1(current: DataFrame, delta: DataFrame, slice_keys: Sequence[str]) -> DataFrame:
     """Slices named in ``delta`` are replaced whole, so vanished rows vanish."""
     touched = delta.select(*slice_keys).distinct()
-    return current.join(touched, list(slice_keys), "left_anti").unionByName(delta.select(*current.columns))
+    return join_keys(current, touched, slice_keys, "left_anti").unionByName(delta.select(*current.columns))
 
 
 def open_versions(delta: DataFrame, key: str, attrs: Sequence[str], effective: str) -> DataFrame:
@@ -54,7 +55,7 @@ def scd2(
     old = current.select(*columns, F.lit(0).alias("_new"))
     fresh = delta.select(key, *attrs, F.col(effective).alias("effective_from"), F.lit(1).alias("_new"))
     touched = delta.select(key).distinct()
-    versions = old.join(touched, key, "left_semi").unionByName(fresh)
+    versions = join_keys(old, touched, [key], "left_semi").unionByName(fresh)
     # Among repeated delta rows of one date the largest state wins, so that reruns agree.
     best = F.max(F.struct("_new", F.struct(*attrs).alias("_state")))
     versions = (
@@ -68,7 +69,7 @@ def scd2(
     versions = versions.filter(F.col("_prev").isNull() | ~F.col("_prev").eqNullSafe(F.col("_state")))
     versions = versions.select(key, "effective_from", "_state.*")
     versions = keyed_neighbor(versions, [key], order, "effective_from", "effective_to", 1, limit)
-    kept = current.join(touched, key, "left_anti").select(*columns, "effective_to")
+    kept = join_keys(current, touched, [key], "left_anti").select(*columns, "effective_to")
     return kept.unionByName(versions.select(*columns, "effective_to")).withColumn(
         "is_current", F.col("effective_to").isNull()
     )
@@ -90,8 +91,10 @@ def scd3(current: DataFrame, delta: DataFrame, key: str, attrs: Sequence[str]) -
 
 
 def surrogate(df: DataFrame, cols: Sequence[str], name: str = "sk") -> DataFrame:
-    """Key that only depends on the row's natural key, so reruns give the same."""
-    return df.withColumn(name, F.xxhash64(*cols))
+    """Key that only depends on the row's natural key, so reruns give the same.
+
+    Nulls are marked, so that a value moved to another column changes the key."""
+    return df.withColumn(name, row_checksum(cols))
 
 
 def surrogate_collisions(df: DataFrame, cols: Sequence[str], name: str = "sk") -> DataFrame:
@@ -108,12 +111,13 @@ def broken_dependencies(wide: DataFrame, key: str, attrs: Sequence[str]) -> Data
     return wide.select(key, *attrs).distinct().groupBy(key).agg(F.count("*").alias("n")).filter("n > 1")
 
 
-def hierarchy(df: DataFrame, id: str, parent: str, max_depth: int = 32) -> DataFrame:
+def hierarchy(df: DataFrame, id: str, parent: str, max_depth: int | None = None) -> DataFrame:
     """Depth, root and path of every node reachable from a root.
 
     One join per level; each level is written, so the plan does not grow and lost
     executors do not repeat earlier levels. A node that is already on its path is
-    not followed again, and ``max_depth`` bounds the number of levels.
+    not followed again, so the walk ends at the deepest level. A tree deeper than
+    ``max_depth`` is an error, never cut.
     """
     edges = df.select(F.col(id).alias("_id"), F.col(parent).alias("_parent"))
     level = edges.filter(F.col("_parent").isNull()).select(
@@ -123,8 +127,9 @@ def hierarchy(df: DataFrame, id: str, parent: str, max_depth: int = 32) -> DataF
         F.array("_id").alias("path"),
     )
     level = materialize(level, "hierarchy")
-    result = level
-    for depth in range(1, max_depth + 1):
+    result, depth = level, 0
+    while True:
+        depth += 1
         below = edges.join(level, edges["_parent"] == level[id])
         below = below.filter(~F.array_contains("path", F.col("_id"))).select(
             F.col("_id").alias(id),
@@ -134,6 +139,7 @@ def hierarchy(df: DataFrame, id: str, parent: str, max_depth: int = 32) -> DataF
         )
         level = materialize(below, "hierarchy")
         if level.isEmpty():
-            break
+            return result
+        if max_depth is not None and depth > max_depth:
+            raise ValueError(f"{id} has nodes below level {max_depth}")
         result = result.unionByName(level)
-    return result

@@ -25,7 +25,10 @@ class Field:
 
 @dataclass(frozen=True)
 class When:
-    """``op``: gt, ge, lt, le, between (value = (low, high)), eq, ne, outside."""
+    """``op``: gt, ge, lt, le, between (value = (low, high)), eq, ne, outside, missing, present.
+
+    A comparison with a missing field on either side does not hold, ``ne`` included;
+    ``missing`` and ``present`` ask for a null by name. Numbers are equal as numbers."""
 
     path: str
     op: str
@@ -71,8 +74,12 @@ def _compiled(schema: T.StructType, cond: When) -> Column:
         return value.try_cast("double")
 
     if cond.op in ("eq", "ne"):
-        equal = left.cast("string").eqNullSafe(right(cond.value).cast("string"))
-        return equal if cond.op == "eq" else ~equal
+        other = right(cond.value)
+        both_numbers = number(left).isNotNull() & number(other).isNotNull()
+        equal = F.when(both_numbers, number(left) == number(other)).otherwise(left.cast("string") == other.cast("string"))
+        return F.coalesce(equal if cond.op == "eq" else ~equal, F.lit(False))
+    if cond.op in ("missing", "present"):
+        return left.isNull() if cond.op == "missing" else left.isNotNull()
     if cond.op in ("between", "outside"):
         low, high = (number(right(v)) for v in cond.value)
         inside = (number(left) >= low) & (number(left) <= high)

@@ -55,6 +55,16 @@ def well_typed(column: str) -> Rule:
     return Rule(column, "type", ~F.array_contains("_bad_types", column))
 
 
+def whole_row() -> Rule:
+    """The row has as many values as the schema has columns (see ``sources.files``)."""
+    return Rule("row", "columns", F.col("_ragged").isNull())
+
+
+def well_headed() -> Rule:
+    """The row's file names its columns as the schema does (see ``sources.files.mark_headers``)."""
+    return Rule("file", "header", ~F.col("_wrong_header"))
+
+
 def at_least(column: str, bound, strict: bool = False) -> Rule:
     value = F.col(column)
     return Rule(column, f"min_{bound}", value > bound if strict else value >= bound)
@@ -75,6 +85,8 @@ def validate(df: DataFrame, rules: Sequence[Rule], unique: Sequence[Sequence[str
     with very many rows is never gathered in one task.
     """
     failed = [F.when(~r.ok, F.lit(f"{r.column}:{r.name}")) for r in rules]
+    # Read once for the repeated keys and once for the rows, not planned from its sources twice.
+    df = materialize(df, "unchecked") if unique else df
     out = df.withColumn(REASONS, F.array_compact(F.array(*failed)))
     for keys in unique:
         complete = F.lit(True)
@@ -92,9 +104,9 @@ def validate(df: DataFrame, rules: Sequence[Rule], unique: Sequence[Sequence[str
     return out
 
 
-def split(checked: DataFrame, keep: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected). With ``keep`` the checked rows are written once and both parts
-    read that table; otherwise each part runs the checks again."""
+def split(checked: DataFrame, keep: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected). The checked rows are written once and both parts read that
+    table; without ``keep`` each part runs the checks again."""
     if keep:
         checked = materialize(checked, "checked")
     good = F.size(REASONS) == 0
@@ -106,8 +118,13 @@ def reject_counts(checked: DataFrame) -> DataFrame:
     return checked.select(F.explode(REASONS).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
 
 
-def audit(checked: DataFrame, by: Sequence[str], data_columns: Sequence[str], job_id: str, at=None) -> DataFrame:
-    """One audit row per file: counts, order-free checksum and status."""
+def audit(
+    checked: DataFrame, by: Sequence[str], data_columns: Sequence[str], job_id: str, at=None, files: DataFrame | None = None
+) -> DataFrame:
+    """One audit row per file: counts, order-free checksum and status.
+
+    ``files`` lists what was delivered by the columns ``by``; a file without rows then has
+    a row with zero counts and the status SUCCESS."""
     stamp = F.current_timestamp() if at is None else F.lit(at).cast("timestamp_ntz")
     rejected = F.count_if(F.size(REASONS) > 0)
     counted = checked.groupBy(*by).agg(
@@ -115,6 +132,9 @@ def audit(checked: DataFrame, by: Sequence[str], data_columns: Sequence[str], jo
         rejected.alias("reject_count"),
         file_checksum(data_columns).alias("checksum"),
     )
+    if files is not None:
+        listed = join_keys(files.select(*by).distinct(), counted, by, "left")
+        counted = listed.fillna(0, ["read_count", "reject_count"]).fillna("0:0", ["checksum"])
     valid = F.col("read_count") - F.col("reject_count")
     status = F.when(F.col("reject_count") == 0, "SUCCESS").when(valid == 0, "FAILED").otherwise("PARTIAL")
     return counted.withColumns(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.aggregates import subtotals
 from tidemark.operators.windows import top_n
+from tidemark.plans.ordering import join_keys
 
 
 def daily_positions(positions: DataFrame, date=None) -> DataFrame:
@@ -31,7 +32,7 @@ def exposure(df: DataFrame, by: Sequence[str], value: str = "loan_value_usd", wi
     groups = df.groupBy(*within, *by).agg(F.sum(value).alias("exposure_usd"), F.count("*").alias("loans"))
     if within:
         totals = groups.groupBy(*within).agg(F.sum("exposure_usd").alias("_total"))
-        groups = groups.join(totals, list(within))
+        groups = join_keys(groups, totals, within)
         total = F.col("_total")
     else:
         total = groups.agg(F.sum("exposure_usd")).scalar()

@@ -7,6 +7,8 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.plans.ordering import join_keys
+
 
 def explode_list(df: DataFrame, col: str, keep_empty: bool = False) -> DataFrame:
     """One row per element of an array column; nested arrays are flattened first."""
@@ -43,7 +45,7 @@ def take_while(
         before = _holds(place < stop) | F.isnull(stop)
         return df.filter(~before if drop else before)
     stops = failing.groupBy(*partition_by).agg(F.min(place).alias("_stop"))
-    joined = df.join(stops, list(partition_by), "left")
+    joined = join_keys(df, stops, partition_by, "left")
     before = F.col("_stop").isNull() | (place < F.col("_stop"))
     return joined.filter(~before if drop else before).select(*df.columns)
 

@@ -81,12 +81,13 @@ def quota_state(calls: DataFrame, quotas: DataFrame, at: str = "ts", limit=None)
     """Per partner and month: calls, state and when the warning and the quota were reached.
 
     ``quotas``: partner_id, quota. The running count goes over one row per time, so
-    that many calls of one moment are one step.
+    that many calls of one moment are one step. A partner without a quota keeps its
+    calls and has the state ``no_quota``.
     """
     month = F.date_trunc("month", F.col(at)).cast("timestamp_ntz")
     steps = calls.groupBy("partner_id", month.alias("month"), at).agg(F.count("*").alias("_n"))
     steps = keyed_running(steps, ["partner_id", "month"], [at], "_n", "_used", "sum", limit)
-    steps = steps.join(quotas, "partner_id")
+    steps = steps.join(quotas, "partner_id", "left")
     share = F.col("_used") / F.col("quota")
     return (
         steps.groupBy("partner_id", "month")
@@ -98,7 +99,8 @@ def quota_state(calls: DataFrame, quotas: DataFrame, at: str = "ts", limit=None)
         )
         .withColumn(
             "state",
-            F.when(F.col("exceeded_at").isNotNull(), "exceeded")
+            F.when(F.col("quota").isNull(), "no_quota")
+            .when(F.col("exceeded_at").isNotNull(), "exceeded")
             .when(F.col("warned_at").isNotNull(), "warning")
             .otherwise("ok"),
         )

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import parse
+from tidemark.functions.scalars import parse, row_checksum, row_text
 from tidemark.operators.joins import enrich
 from tidemark.operators.quality import REASONS, validate
 from tidemark.plans.ordering import global_row_number, keyed_running
@@ -105,7 +105,7 @@ def plan_partitions(df: DataFrame, order: Sequence, size: int = 50_000) -> DataF
 
 def hash_partitions(df: DataFrame, keys: Sequence[str], count: int) -> DataFrame:
     """Partition sizes if rows were placed by key hash."""
-    return df.groupBy(F.pmod(F.xxhash64(*keys), F.lit(count)).alias("partition_id")).agg(F.count("*").alias("records"))
+    return df.groupBy((row_checksum(keys) % count).alias("partition_id")).agg(F.count("*").alias("records"))
 
 
 def rollup_status(stages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -244,11 +244,11 @@ def limit_checks(orders: DataFrame, max_size, max_position, by, order, amount: s
 
 
 def with_lineage(df: DataFrame, job_id: str, source: str, keys: Sequence[str]) -> DataFrame:
-    """Where a record came from: run, source and a stable record id."""
+    """Where a record came from: run, source and a stable record id that keeps nulls and borders apart."""
     return df.withColumns(
         {
             "lineage_job": F.lit(job_id),
             "lineage_source": F.lit(source),
-            "record_id": F.sha2(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]), 256),
+            "record_id": F.sha2(row_text(keys), 256),
         }
     )

@@ -46,6 +46,39 @@ def read_delimited(spark: SparkSession, path, schema: T.StructType, sep: str = "
     return _typed(with_file_meta(raw), schema, [RAGGED, *FILE_COLUMNS])
 
 
+WRONG_HEADER = "_wrong_header"
+
+
+def wrong_headers(spark: SparkSession, path, schema: T.StructType, sep: str = ",") -> DataFrame:
+    """Files whose header does not name the schema's columns in order: ``file_path``, ``header``.
+
+    Trailing optional columns may be missing; case and blanks around names do not matter."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("_at")
+    )
+    # Lines of one file are numbered in its order, also across its splits.
+    first = lines.groupBy("file_path").agg(F.min_by("value", "_at").alias("header"))
+    names = F.transform(F.split("header", f"\\Q{sep}\\E", -1), lambda n: F.lower(F.trim(F.regexp_replace(n, '^"|"$', ""))))
+    wanted = F.array(*[F.lit(f.name.lower()) for f in schema])
+    least = 1 + max((i for i, f in enumerate(schema) if not f.nullable), default=-1)
+    right = (F.size(names) >= max(least, 1)) & (names == F.slice(wanted, 1, F.size(names)))
+    return first.filter(~right)
+
+
+def mark_headers(df: DataFrame, wrong: DataFrame) -> DataFrame:
+    """Add ``_wrong_header`` to the rows of a delimited scan; see ``quality.well_headed``."""
+    marked = wrong.select("file_path", F.lit(True).alias(WRONG_HEADER))
+    return df.join(marked, "file_path", "left").withColumn(WRONG_HEADER, F.coalesce(WRONG_HEADER, F.lit(False)))
+
+
+def list_files(spark: SparkSession, path, glob: str | None = None) -> DataFrame:
+    """One row per file of a folder, empty ones included, with the columns of ``with_file_meta``."""
+    reader = spark.read.format("binaryFile")
+    reader = reader.option("pathGlobFilter", glob) if glob else reader
+    # Contents are not read: only columns of the listing are asked for.
+    return with_file_meta(reader.load(path).select("path", "_metadata")).select(*FILE_COLUMNS)
+
+
 def read_fixed_width(spark: SparkSession, path, layout: Sequence[tuple[str, int, int, str]]) -> DataFrame:
     """``layout``: (name, first position from 1, length, type)."""
     lines = with_file_meta(spark.read.text(path))

@@ -20,6 +20,6 @@ def idempotency_key(*cols: str):
 
 
 def unprocessed(listing: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Listed files whose key has no successful ledger row."""
-    done = ledger.filter("status = 'SUCCESS'").select("file_key")
+    """Listed files whose key has no finished ledger row; a file loaded in part is finished."""
+    done = ledger.filter("status IN ('SUCCESS', 'PARTIAL')").select("file_key")
     return listing.join(done, "file_key", "left_anti")
