@@ -10,12 +10,18 @@ then confirmed on the full shingle sets.
 Equal sets are one representative first. Inside a key's bucket every member is
 compared with the bucket's smallest id only; after the components of those links
 are known, only members of different components are still compared, in blocks.
+
+Before the full sets are read, a parity sketch (Mitzenmacher, Pagh and Pham, 2014)
+rules pairs out: each element flips one bit, so two sketches differ in at most as many
+bits as the sets in elements. That bound never rules out a link, and what passes
+is linked or very nearly so; inside a block it works without writing pairs out.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -59,12 +65,33 @@ def chunk_keys(signatures: np.ndarray) -> np.ndarray:
     return np.stack(keys, axis=1).view(np.int64)
 
 
+def sketch(found: np.ndarray) -> bytes:
+    """Parity of the elements per cell, with at least two cells (a power of two) per element."""
+    cells = 1 << max(6, (2 * len(found) - 1).bit_length())
+    places = (found >> np.uint64(7)).astype(np.int64) & (cells - 1)
+    return np.packbits((np.bincount(places, minlength=cells) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def fold(words: np.ndarray, size: int) -> np.ndarray:
+    """The same sketch with fewer cells: halves are combined until ``size`` 64-bit words are left."""
+    while words.shape[-1] > size:
+        half = words.shape[-1] // 2
+        words = words[..., :half] ^ words[..., half:]
+    return words
+
+
+def most_apart(total, percent: int):
+    """Largest symmetric difference of two linked sets with ``total`` elements together."""
+    return total * (100 - percent) // (100 + percent)
+
+
 def signatures(docs: DataFrame, width: int, chunks: int, key: str = "doc_id") -> DataFrame:
-    """``id``, ``n_shingles``, ``digest`` of the set (null if empty) and ``sig`` (binary)."""
+    """``id``, ``n_shingles``, ``digest`` of the set (null if empty), ``sig`` and ``sketch`` (binary)."""
     schema = T.StructType(
         [
             T.StructField("id", docs.schema[key].dataType), T.StructField("n_shingles", T.LongType()),
             T.StructField("digest", T.BinaryType()), T.StructField("sig", T.BinaryType()),
+            T.StructField("sketch", T.BinaryType()),
         ]
     )
     factors = _functions(chunks * CHUNK)
@@ -76,9 +103,9 @@ def signatures(docs: DataFrame, width: int, chunks: int, key: str = "doc_id") ->
                 found = shingles(text, width)
                 if len(found):
                     digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
-                    rows.append((name, len(found), digest, signature(found, factors).tobytes()))
+                    rows.append((name, len(found), digest, signature(found, factors).tobytes(), sketch(found)))
                 else:
-                    rows.append((name, 0, None, None))
+                    rows.append((name, 0, None, None, None))
             yield pd.DataFrame(rows, columns=schema.names).astype({"id": pdf[key].dtype})
 
     return docs.select(key, "text").mapInPandas(run, schema)
@@ -96,21 +123,31 @@ def _keys(reps: DataFrame) -> DataFrame:
     return reps.select("id", "sig").mapInPandas(run, "key long, id long")
 
 
-def _distance(a: str, b: str) -> F.Column:
-    """Differing symbols of two signatures: a symbol is four digits of the hexadecimal text."""
-    symbols = lambda c: F.split(F.regexp_replace(F.hex(c), "(.{4})(?=.)", "$1,"), ",")
-    return F.size(F.filter(F.arrays_zip(symbols(a).alias("x"), symbols(b).alias("y")), lambda z: z["x"] != z["y"]))
+def _may_link(pdf: pd.DataFrame, percent: int, most: int) -> np.ndarray:
+    """Which pairs neither sizes, signatures nor sketches rule out."""
+    keep = np.zeros(len(pdf), bool)
+    columns = (pdf[c] for c in ("na", "nb", "sa", "sb", "ka", "kb"))
+    for i, (na, nb, sa, sb, ka, kb) in enumerate(zip(*columns)):
+        if 100 * min(na, nb) < percent * max(na, nb):
+            continue
+        if (np.frombuffer(sa, np.uint16) != np.frombuffer(sb, np.uint16)).sum() > most:
+            continue
+        x, y = np.frombuffer(ka, np.uint64), np.frombuffer(kb, np.uint64)
+        size = min(len(x), len(y))
+        keep[i] = np.bitwise_count(fold(x, size) ^ fold(y, size)).sum() <= most_apart(na + nb, percent)
+    return keep
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, sigs: DataFrame, width: int, percent: int, most: int, key: str) -> DataFrame:
-    """Those distinct ``a``, ``b`` with 100 * shared >= percent * union; signatures first, then the full sets."""
-    a = sigs.select(F.col("id").alias("a"), F.col("sig").alias("sa"), F.col("n_shingles").alias("na"))
-    b = sigs.select(F.col("id").alias("b"), F.col("sig").alias("sb"), F.col("n_shingles").alias("nb"))
-    # Sets of too different sizes cannot be that similar.
-    sizes = (F.least("na", "nb") * 100) >= (F.greatest("na", "nb") * percent)
-    close = pairs.join(a, "a").join(b, "b").where(sizes)
-    close = materialize(close.where(_distance("sa", "sb") <= most).select("a", "b"), "close-pairs")
+    """Those distinct ``a``, ``b`` with 100 * shared >= percent * union; signatures and sketches first, then the full sets."""
+    a = sigs.select(F.col("id").alias("a"), F.col("sig").alias("sa"), F.col("sketch").alias("ka"), F.col("n_shingles").alias("na"))
+    b = sigs.select(F.col("id").alias("b"), F.col("sig").alias("sb"), F.col("sketch").alias("kb"), F.col("n_shingles").alias("nb"))
 
+    def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.loc[_may_link(pdf, percent, most), ["a", "b"]]
+
+    close = materialize(pairs.join(a, "a").join(b, "b").mapInPandas(test, "a long, b long"), "close-pairs")
     wanted = close.select(F.col("a").alias("id")).unionByName(close.select(F.col("b").alias("id"))).distinct()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -129,26 +166,50 @@ def confirm(pairs: DataFrame, docs: DataFrame, sigs: DataFrame, width: int, perc
     return materialize(both.where(100 * shared >= percent * union).select("a", "b"), "links")
 
 
-def _cross_pairs(pdf: pd.DataFrame, most: int) -> pd.DataFrame | None:
-    """Pairs of one block pair that are in different components and close in signature."""
+def _cross_pairs(pdf: pd.DataFrame, percent: int, most: int, each: int) -> pd.DataFrame | None:
+    """Pairs of one block pair that are in different components and that nothing rules out.
+
+    Of two components the ``each`` closest pairs; a row with equal ids says that there are more."""
     if len(pdf) < 2:
         return None
-    ids, parts, side = pdf["id"].to_numpy(), pdf["component_id"].to_numpy(), pdf["_side"].to_numpy()
-    sigs = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(len(pdf), -1)
+    ids, parts, side, sizes = (pdf[c].to_numpy() for c in ("id", "component_id", "_side", "n_shingles"))
+    names, number = np.unique(parts, return_inverse=True)
+    if len(names) < 2:
+        return None
+    # Of two components one is not the largest, so rows of the others are enough to start from.
+    others = number != np.bincount(number).argmax()
     within = pdf["_i"].iat[0] == pdf["_j"].iat[0]
+    sigs = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(len(pdf), -1)
+    raw = [np.frombuffer(k, np.uint64) for k in pdf["sketch"]]
+    lengths = np.array([len(k) for k in raw])
+    shapes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     found = []
-    for r in range(len(pdf)):
-        others = parts != parts[r]
-        others &= (ids > ids[r]) if within else (side == 1)
-        if not within and side[r]:
-            continue
-        other = np.flatnonzero(others)
-        if not len(other):
-            continue
-        other = other[(sigs[other] != sigs[r]).sum(axis=1) <= most]
-        if len(other):
-            found.append(pd.DataFrame({"a": np.minimum(ids[r], ids[other]), "b": np.maximum(ids[r], ids[other])}))
-    return pd.concat(found, ignore_index=True).drop_duplicates() if found else None
+    for r in np.flatnonzero(others):
+        mask = (number != number[r]) & (~others | (ids > ids[r]))
+        mask &= (100 * np.minimum(sizes, sizes[r]) >= percent * np.maximum(sizes, sizes[r]))
+        if not within:
+            mask &= side != side[r]
+        mask[mask] = (sigs[mask] != sigs[r]).sum(axis=1) <= most
+        for at in np.unique(np.minimum(lengths[mask], lengths[r])):
+            if at not in shapes:
+                rows = np.flatnonzero(lengths >= at)
+                shapes[at] = rows, np.stack([fold(raw[i], at) for i in rows])
+            rows, table_ = shapes[at]
+            chosen = mask[rows] & (np.minimum(lengths[rows], lengths[r]) == at)
+            apart = np.bitwise_count(table_[chosen] ^ fold(raw[r], at)).sum(axis=1)
+            near = rows[chosen]
+            ok = apart <= most_apart(sizes[near] + sizes[r], percent)
+            if ok.any():
+                near = near[ok]
+                pair = np.sort(np.stack([ids[near], np.full(len(near), ids[r])]), axis=0)
+                both = np.sort(np.stack([parts[near], np.full(len(near), parts[r])]), axis=0)
+                found.append(pd.DataFrame({"a": pair[0], "b": pair[1], "x": both[0], "y": both[1], "apart": apart[ok]}))
+    if not found:
+        return None
+    rows = pd.concat(found, ignore_index=True).sort_values(["x", "y", "apart", "a", "b"])
+    first = rows.groupby(["x", "y"]).cumcount() < each
+    out = rows.loc[first, ["a", "b"]]
+    return out if first.all() else pd.concat([out, pd.DataFrame({"a": [0], "b": [0]})])
 
 
 def near_duplicates(
@@ -165,7 +226,7 @@ def near_duplicates(
     most = 2 * chunks - 1
     sigs = materialize(signatures(docs, width, chunks, key), "signatures")
     named = sigs.where("digest IS NOT NULL AND id IS NOT NULL")
-    reps = named.groupBy("digest").agg(F.min(F.struct("id", "sig", "n_shingles")).alias("r")).select("digest", "r.*")
+    reps = named.groupBy("digest").agg(F.min(F.struct("id", "sig", "sketch", "n_shingles")).alias("r")).select("digest", "r.*")
     reps = materialize(reps, "representatives")
 
     keys = _keys(reps)
@@ -175,17 +236,21 @@ def near_duplicates(
     links = confirm(stars, docs, reps, width, percent, most, key)
     found = materialize(connected_components(links), "components")
 
-    placed = members.join(found, "id", "left")
-    placed = placed.withColumn("component_id", F.coalesce("component_id", "id"))
-    mixed = placed.groupBy("key").agg(F.min("component_id").alias("x"), F.max("component_id").alias("y"))
-    # With two members, the one pair is a star and has been looked at.
-    mixed = mixed.where("x <> y").select("key")
-    rows = placed.where("n > 2").join(mixed, "key").select("key", "id", "component_id", "n")
-    rows = block_pairs(rows.join(reps.select("id", "sig"), "id"), "id", "n")
-    rest = map_sorted_groups(rows, ["key", "_i", "_j"], lambda pdf: _cross_pairs(pdf, most), "a long, b long")
-    rest = materialize(rest.distinct().join(stars, ["a", "b"], "left_anti"), "cross-pairs")
-    more = confirm(rest, docs, reps, width, percent, most, key)
-    found = materialize(connected_components(links.unionByName(more)), "components")
+    each, more = 8, True
+    while more:
+        placed = members.where("n > 2").join(found, "id", "left")
+        placed = materialize(placed.withColumn("component_id", F.coalesce("component_id", "id")), "placed")
+        mixed = placed.groupBy("key").agg(F.min("component_id").alias("x"), F.max("component_id").alias("y"))
+        mixed = materialize(mixed.where("x <> y").select("key"), "mixed")
+        rows = placed.join(mixed, "key").join(reps.select("id", "sig", "sketch", "n_shingles"), "id")
+        rows = block_pairs(rows.select("key", "id", "component_id", "n", "sig", "sketch", "n_shingles"), "id", "n")
+        compare = partial(_cross_pairs, percent=percent, most=most, each=each)
+        rest = materialize(map_sorted_groups(rows, ["key", "_i", "_j"], compare, "a long, b long").distinct(), "cross-pairs")
+        # Where two components had more pairs than were tried, they are looked at again unless joined by now.
+        more = not rest.where("a = b").isEmpty()
+        links = links.unionByName(confirm(rest.where("a <> b"), docs, reps, width, percent, most, key))
+        found = materialize(connected_components(links), "components")
+        each *= 16
 
     of_set = reps.join(found, "id", "left").select("digest", F.coalesce("component_id", "id").alias("component_id"))
     out = sigs.join(of_set, "digest", "left")
