@@ -476,7 +476,7 @@ def test_blank_text_has_no_chunk(spark):
 def test_knn_against_brute_force(spark, monkeypatch, cells):
     if cells:
         monkeypatch.setattr(retrieval, "MAX_QUERIES", 4)
-        monkeypatch.setattr(retrieval, "CELL_ROWS", 90)
+        monkeypatch.setattr(retrieval, "CELL_BYTES", 90 * 8 * 12)
     rng = np.random.default_rng(1)
     vectors, asked = rng.normal(size=(250, 8)), rng.normal(size=(11, 8))
     vectors[7] = vectors[3]

@@ -11,7 +11,7 @@ from tidemark.functions.scalars import parse, row_checksum, row_text
 from tidemark.operators.joins import enrich
 from tidemark.operators.quality import REASONS, validate
 from tidemark.plans.ordering import global_row_number, keyed_running
-from tidemark.plans.scratch import materialize
+from tidemark.plans.scratch import materialize, scratch_path
 
 # What becomes of a failure class.
 FAILURE_ACTIONS = {
@@ -27,29 +27,30 @@ def run_stages(
     df: DataFrame,
     workflow: Sequence[Mapping],
     refs: Mapping[str, DataFrame] | None = None,
-    keep_outputs: bool = False,
+    keep_outputs: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Run the listed stages; returns (finished rows, rows left behind with stage and reasons).
 
     Stage kinds: ``validate`` (rules), ``filter`` (condition), ``enrich`` (ref, key),
-    ``transform`` (columns), ``finalize`` (columns to keep). ``keep_outputs`` writes
-    each stage's output, so that later stages survive lost executors without
-    repeating earlier ones.
+    ``transform`` (columns), ``finalize`` (columns to keep). A stage that drops rows marks
+    them, writes all rows once, and splits the written table; so nothing runs twice, and later
+    stages survive lost executors. Without ``keep_outputs`` the plan stays one piece.
     """
+    written = (lambda frame, name: materialize(frame, f"stage-{name.lower()}")) if keep_outputs else (lambda frame, _: frame)
     current, left = df, []
     for stage in workflow:
         kind, name = stage["kind"], stage.get("name", stage["kind"].upper())
         dropped = None
         if kind == "validate":
-            checked = validate(current, stage["rules"], stage.get("unique", ()))
+            checked = written(validate(current, stage["rules"], stage.get("unique", ())), name)
             dropped = checked.filter(F.size(REASONS) > 0)
             current = checked.filter(F.size(REASONS) == 0).drop(REASONS)
         elif kind == "filter":
-            passes = F.coalesce(stage["condition"], F.lit(False))
-            dropped = current.filter(~passes).withColumn(REASONS, F.array(F.lit(f"{name}:filtered")))
-            current = current.filter(passes)
+            marked = written(current.withColumn("_passes", F.coalesce(stage["condition"], F.lit(False))), name)
+            dropped = marked.filter("NOT _passes").drop("_passes").withColumn(REASONS, F.array(F.lit(f"{name}:filtered")))
+            current = marked.filter("_passes").drop("_passes")
         elif kind == "enrich":
-            looked = enrich(current, stage["key"], (refs or {})[stage["ref"]], "_reason")
+            looked = written(enrich(current, stage["key"], (refs or {})[stage["ref"]], "_reason"), name)
             dropped = looked.filter(F.col("_reason").isNotNull()).withColumn(REASONS, F.array("_reason"))
             dropped = dropped.drop("_reason")
             current = looked.filter(F.col("_reason").isNull()).drop("_reason")
@@ -61,8 +62,6 @@ def run_stages(
             raise ValueError(f"unknown stage kind {kind}")
         if dropped is not None:
             left.append(dropped.withColumn("stage", F.lit(name)))
-        if keep_outputs:
-            current = materialize(current, f"stage-{name.lower()}")
     rest = left[0] if left else current.limit(0).withColumns({REASONS: F.array().cast("array<string>"), "stage": F.lit("")})
     for frame in left[1:]:
         rest = rest.unionByName(frame, allowMissingColumns=True)
@@ -70,11 +69,16 @@ def run_stages(
 
 
 def branch(df: DataFrame, routes: Mapping[str, tuple[Column, Callable[[DataFrame], DataFrame]]]):
-    """Send rows to the first matching route; merge the results. (merged, unmatched rows)."""
+    """Send rows to the first matching route; merge the results. (merged, unmatched rows).
+
+    The routed rows are written once, by route, so a route reads its own rows only."""
     choice = F.lit(None).cast("string")
     for name, (cond, _) in reversed(list(routes.items())):
         choice = F.when(cond, F.lit(name)).otherwise(choice)
-    routed = df.withColumn("route", choice)
+    path = scratch_path(df.sparkSession, "routed")
+    kinds = df.withColumn("route", choice)
+    kinds.write.partitionBy("route").parquet(path)
+    routed = df.sparkSession.read.schema(kinds.schema).parquet(path)
     merged = None
     for name, (_, step) in routes.items():
         part = step(routed.filter(F.col("route") == name))
