@@ -23,13 +23,13 @@ from tidemark.llm.common import table
 from tidemark.plans.scratch import materialize
 
 # Words a task remembers before it starts its memory anew.
-MEMORY = 600_000
+MEMORY = 700_000
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """Bin and offset of each length (1 to ``capacity``), placed in the given order.
 
-    Ties go to the fullest bin, and to the bin opened last among equals."""
+    Ties go to the fullest bin, and among equals to the one used last; a new bin is the last choice."""
     free = np.zeros(capacity + 1, np.int64)  # N(g); a bin without free space does not count
     stacks: list[list[int]] = [[] for _ in range(capacity + 1)]
     bins = np.empty(len(lengths), np.int64)
@@ -42,7 +42,7 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
         best = int(change.argmin()) if len(change) else 0
         cost = change[best] if len(change) else np.iinfo(np.int64).max
         anew = 2 * free[capacity - size] - 1 if size < capacity else -2
-        if cost <= anew + 1 and cost != np.iinfo(np.int64).max:
+        if cost <= anew and cost != np.iinfo(np.int64).max:
             gap = size + best
             at = stacks[gap].pop()
             free[gap] -= 1
@@ -65,8 +65,23 @@ def pack_group(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarr
     return bins, offsets
 
 
-def _remembered(path: str) -> tuple[object, dict[bytes, bytes]]:
-    """The tokenizer and the words already encoded, kept for the life of a Python worker."""
+def _pieces_pattern(tokenizer):
+    """The pattern that cuts lower-cased words, if the tokenizer works that way; else null.
+
+    It has to lower-case, keep the matches of one pattern, and map bytes to characters."""
+    import json
+
+    import regex
+
+    spec = json.loads(tokenizer.to_str())
+    steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+    folds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+    cuts = [p["type"] for p in steps] == ["Split", "ByteLevel"] and steps[0]["behavior"] == "Removed" and steps[0]["invert"]
+    return regex.compile(steps[0]["pattern"]["Regex"]) if folds and cuts and not steps[1]["add_prefix_space"] else None
+
+
+def _remembered(path: str):
+    """The tokenizer, its pattern, and the words and pieces already encoded, for the life of a Python worker."""
     import os
     import sys
     import types
@@ -78,24 +93,48 @@ def _remembered(path: str) -> tuple[object, dict[bytes, bytes]]:
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
-        holder.__dict__[path] = (tokenizer, {})
+        holder.__dict__[path] = (tokenizer, _pieces_pattern(tokenizer), {}, {})
     return holder.__dict__[path]
 
 
+def _encode_fresh(fresh: list[bytes], path: str) -> None:
+    tokenizer, pattern, words, parts = _remembered(path)
+    if len(words) + len(fresh) > MEMORY:
+        words.clear()
+    if len(parts) > MEMORY:
+        parts.clear()
+    model, whole = tokenizer.model, []
+    for w in fresh:
+        text = w.decode()
+        # Printable ASCII is its own normal form and byte mapping, so the model can be asked for each part.
+        if pattern is None or not (text.isascii() and text.isprintable()):
+            whole.append(w)
+            continue
+        ids = b""
+        for part in pattern.findall(text.lower()):
+            known = parts.get(part)
+            if known is None:
+                known = parts[part] = np.array([t.id for t in model.tokenize(part)], "<u4").tobytes()
+            ids += known
+        words[w] = ids
+    done = tokenizer.encode_batch_fast([w.decode() for w in whole], add_special_tokens=False)
+    words.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(whole, done))
+
+
 def encode(texts: list[str | None], path: str) -> list[bytes]:
     """Token ids of each text as little-endian unsigned 32-bit numbers.
 
     The tokenizer never joins characters across white space, so words are encoded one by one and remembered."""
-    tokenizer, known = _remembered(path)
-    split = [(t or "").encode("utf-8", "replace").split() for t in texts]
-    if len(known) > MEMORY:
-        known.clear()
-    fresh = list({w for words in split for w in words if w not in known})
-    for at in range(0, len(fresh), 10_000):
-        part = fresh[at : at + 10_000]
-        done = tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-        known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, done))
-    return [b"".join([known[w] for w in words]) for words in split]
+    known = _remembered(path)[2]
+    out = []
+    for at in range(0, len(texts), 64):
+        split = [(t or "").encode("utf-8", "replace").split() for t in texts[at : at + 64]]
+        fresh = list({w for words in split for w in words if w not in known})
+        _encode_fresh(fresh, path)
+        if len(known) <= len(fresh):  # cleared: the batch's other words are gone too
+            _encode_fresh([w for w in {w for words in split for w in words} if w not in known], path)
+        out += [b"".join([known[w] for w in words]) for words in split]
+    return out
 
 
 def tokenize(
@@ -152,14 +191,18 @@ def pack(pieces: DataFrame, capacity: int = 4096, group: int = 8192, loose: int
     opened again and their pieces packed once more, among the loose pieces of all groups. Every piece
     is placed whole; lengths are from 1 to ``capacity``. Columns ``sequence_id`` and ``offset`` are replaced."""
     kept = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
-    pieces = materialize(pieces.select(*kept).withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    # Columns travel under other names, so that none can clash.
+    carried = [F.col(c).alias(f"_{i}") for i, c in enumerate(kept)]
+    pieces = pieces.select(*carried, F.col("length").alias("length"))
+    pieces = materialize(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     first = materialize(_pack_round(pieces, capacity, group, 0), "packed")
     again = _pack_round(first.where(F.col("_free") > loose), capacity, group, 1)
     places = first.where(F.col("_free") <= loose).unionByName(again)
     # Round, group and bin in one number: a group has at most as many bins as pieces.
     sequence = F.col("_group") * 2 + F.col("_round")
     places = places.select("_row", (sequence * F.lit(1 << 32) + F.col("_bin")).alias("sequence_id"), "offset")
-    return pieces.join(places, "_row").select(*kept, "sequence_id", "offset")
+    named = [F.col(f"_{i}").alias(c) for i, c in enumerate(kept)]
+    return pieces.join(places, "_row").select(*named, "sequence_id", "offset")
 
 
 def sequences(packed: DataFrame) -> DataFrame:
