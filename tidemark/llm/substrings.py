@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import table
-from tidemark.llm.wordhash import run_hashes, word_hashes
+from tidemark.llm.wordhash import mix, run_hashes, word_hashes
 from tidemark.plans.scratch import materialize
 
 ANCHOR = 6
@@ -44,6 +44,13 @@ def anchors(words: np.ndarray, width: int, anchor: int) -> tuple[np.ndarray, np.
     return np.minimum(low[:count], low[span - reach : span - reach + count]), runs
 
 
+def _new(values: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before."""
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return new
+
+
 def _raw(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
@@ -64,8 +71,10 @@ def outlines(docs: DataFrame, width: int, anchor: int, key: str) -> DataFrame:
                 raw = _raw(text)
                 split = raw.split()
                 lowest, runs = anchors(word_hashes(raw), width, anchor)
-                own, counts = np.unique(runs[np.isin(runs, lowest)], return_counts=True)
-                listed = np.repeat(own, np.minimum(counts, 2)).view(np.int64)
+                own = np.unique(lowest[np.flatnonzero(_new(lowest))])
+                at = np.minimum(np.searchsorted(own, runs), max(len(own) - 1, 0))
+                counts = np.bincount(at[own[at] == runs], minlength=len(own)) if len(own) else own
+                listed = np.repeat(own, np.minimum(counts, 2).astype(np.int64)).view(np.int64)
                 rows.append((name, len(split), hashlib.sha256(b" ".join(split)).hexdigest(), listed))
             yield pd.DataFrame(rows, columns=schema.names).astype({"id": pdf[key].dtype})
 
@@ -78,56 +87,79 @@ def paths(docs: DataFrame, width: int, anchor: int) -> DataFrame:
     ``inner``: an edge occurs twice within the path."""
     schema = "anchor long, path long, id long, start long, n long, inner boolean, edges array<long>"
 
+    def of_text(name: int, text: str | None, found: list[int]) -> pd.DataFrame | None:
+        words = word_hashes(_raw(text))
+        lowest, _ = anchors(words, width, anchor)
+        if not len(lowest):
+            return None
+        # Edges are hashed apart from anchors, so that the two together have 128 bits.
+        edges = run_hashes(mix(words + np.uint64(0x632BE59BD9B4E019)), width)
+        start = np.flatnonzero(_new(lowest))
+        size = np.diff(np.append(start, len(lowest)))
+        place = np.arange(len(lowest)) - np.repeat(start, size)
+        powers = np.cumprod(np.full(int(size.max()) + 1, 0xD6E8FEB86659FD93, np.uint64))
+        content = mix(np.add.reduceat(edges * powers[place], start))
+        path = np.repeat(np.arange(len(start)), size)
+        order = np.lexsort((edges, path))
+        twice = (edges[order][1:] == edges[order][:-1]) & (path[order][1:] == path[order][:-1])
+        inner = np.zeros(len(start), bool)
+        inner[path[order][1:][twice]] = True
+        names = lowest[start].view(np.int64)
+        kept = np.flatnonzero(np.isin(names, np.asarray(found, np.int64)))
+        signed = edges.view(np.int64)
+        return pd.DataFrame(
+            {
+                "anchor": names[kept], "path": content.view(np.int64)[kept], "id": name, "start": start[kept],
+                "n": size[kept], "inner": inner[kept],
+                "edges": [signed[start[k] : start[k] + size[k]] for k in kept],
+            }
+        )
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
-            for name, text, found in zip(pdf["id"], pdf["text"], pdf["found"]):
-                words = word_hashes(_raw(text), seed=1)
-                lowest, _ = anchors(word_hashes(_raw(text)), width, anchor)
-                edges = run_hashes(words, width).view(np.int64)
-                names = lowest.view(np.int64)
-                wanted = np.isin(names, np.asarray(found, np.int64))
-                cuts = np.concatenate([[0], np.flatnonzero(names[1:] != names[:-1]) + 1, [len(names)]])
-                for a, b in zip(cuts[:-1], cuts[1:]):
-                    if a < b and wanted[a]:
-                        own = edges[a:b]
-                        content = hashlib.blake2b(own.tobytes(), digest_size=8).digest()
-                        inner = b - a > 1 and len(np.unique(own)) < b - a
-                        rows.append((names[a], int.from_bytes(content, "little", signed=True), name, a, b - a, inner, own))
-            yield pd.DataFrame(rows, columns=["anchor", "path", "id", "start", "n", "inner", "edges"])
+            for at in range(0, len(pdf), 500):
+                part = pdf.iloc[at : at + 500]
+                rows = [of_text(*r) for r in zip(part["id"], part["text"], part["found"])]
+                rows = [r for r in rows if r is not None and len(r)]
+                if rows:
+                    yield pd.concat(rows, ignore_index=True)
 
     return docs.select("id", "text", "found").mapInPandas(run, schema)
 
 
-def repeated_runs(docs: DataFrame, outline: DataFrame, width: int, anchor: int, key: str) -> tuple[DataFrame, DataFrame]:
+def repeated_runs(
+    docs: DataFrame, outline: DataFrame, width: int, anchor: int, key: str, unique: bool
+) -> tuple[DataFrame, DataFrame]:
     """(``id``, ``ranges`` of edges that start earlier elsewhere) and (``id``, ``text``) of the documents looked at.
 
     ``outline`` lists the documents to compare, without later exact copies."""
-    listed = outline.select("id", F.explode("anchors").alias("anchor"))
+    listed = outline.select(F.explode("anchors").alias("anchor"))
     often = listed.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor")
     often = materialize(often, "anchors-often")
-    shared = listed.distinct().join(often, "anchor")
+    shared = outline.select("id", F.explode(F.array_distinct("anchors")).alias("anchor")).join(often, "anchor")
     wanted = shared.groupBy("id").agg(F.collect_list("anchor").alias("found"))
-    texts = docs.select(F.col(key).alias("id"), "text")
-    texts = materialize(texts.join(wanted, "id"), "texts-shared")
+    texts = docs.select(F.col(key).alias("id"), "text").join(wanted, "id")
+    texts = materialize(texts if unique else texts.dropDuplicates(["id"]), "texts-shared")
 
     found = materialize(paths(texts, width, anchor), "paths")
     place = F.struct("id", "start")
-    first = found.groupBy("anchor", "path", "n").agg(F.min(place).alias("first"), F.max("inner").alias("inner_"))
+    by = ["anchor", "path", "n"]
+    first = found.groupBy(*by).agg(F.min(place).alias("first"), F.max("inner").alias("inner"))
     first = materialize(first, "paths-first")
-    per_anchor = first.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.max("inner_").alias("x"))
-    meeting = materialize(per_anchor.where("c > 1 OR x").select("anchor"), "anchors-meeting")
-
-    slim = found.select("anchor", "path", "n", "id", "start").join(first.drop("inner_"), ["anchor", "path", "n"])
+    slim = found.select(*by, "id", "start").join(first.drop("inner"), by)
     later = slim.where(F.struct("id", "start") != F.col("first")).select("id", "start", "n")
 
-    ends = first.join(meeting, "anchor").select("anchor", "path", "n", "first.id", "first.start")
-    ends = ends.join(found.select("anchor", "path", "n", "id", "start", "edges"), ["anchor", "path", "n", "id", "start"])
+    # Edges of the first instances, where paths of different content meet or one repeats itself.
+    per_anchor = first.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.max("inner").alias("x"))
+    meeting = materialize(per_anchor.where("c > 1 OR x").select("anchor"), "anchors-meeting")
+    ends = first.join(meeting, "anchor").select(*by, "first.id", "first.start")
+    ends = ends.join(found.select(*by, "id", "start", "edges"), [*by, "id", "start"])
+    ends = materialize(ends.select("anchor", "id", "start", "edges"), "paths-meeting")
     edges = ends.select("anchor", "id", "start", F.posexplode("edges").alias("at", "edge"))
     edges = edges.select("anchor", "edge", "id", (F.col("start") + F.col("at")).alias("start"))
-    edges = materialize(edges.distinct(), "edges")
-    first_edge = materialize(edges.groupBy("anchor", "edge").agg(F.min(place).alias("first")), "edges-first")
-    single = edges.join(first_edge, ["anchor", "edge"]).where(F.struct("id", "start") != F.col("first"))
+    shared_edges = edges.groupBy("anchor", "edge").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c"))
+    shared_edges = materialize(shared_edges.where("c > 1").drop("c"), "edges-first")
+    single = edges.join(shared_edges, ["anchor", "edge"]).where(F.struct("id", "start") != F.col("first"))
     ranges = later.unionByName(single.select("id", "start", F.lit(1).cast("long").alias("n")))
     return ranges.groupBy("id").agg(F.collect_list(F.struct("start", "n")).alias("ranges")), texts
 
@@ -164,9 +196,12 @@ def remove_repeats(docs: DataFrame, width: int = 20, key: str = "doc_id", anchor
     long_enough = outline.where((F.col("n_words") >= width) & F.col("id").isNotNull())
     # Texts with the same words as an earlier one go whole and take no further part.
     whole = materialize(long_enough.groupBy("whole").agg(F.min("id").alias("first")), "whole-first")
-    compared = long_enough.join(whole, "whole").where("id = first").dropDuplicates(["id"])
-    ranges, texts = repeated_runs(docs, compared, width, anchor, key)
-    cut = _cut(texts.dropDuplicates(["id"]).join(ranges, "id").select("id", "text", "ranges"), width)
+    compared = long_enough.join(whole, "whole").where("id = first")
+    unique = long_enough.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    compared = compared if unique else compared.dropDuplicates(["id"])
+    compared = materialize(compared.select("id", "anchors"), "compared")
+    ranges, texts = repeated_runs(docs, compared, width, anchor, key, unique)
+    cut = _cut(texts.select("id", "text").join(ranges, "id"), width)
 
     out = outline.drop("anchors").join(whole, "whole", "left").join(cut, "id", "left")
     copy = (F.col("n_words") >= width) & (F.col("id") > F.col("first"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_BASE = np.uint64(0x9E3779B97F4A7C55)
+_BASE = np.array([0x9E3779B97F4A7C55], np.uint64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -48,14 +48,21 @@ def word_hashes(raw: bytes, lower: bool = False, seed: int = 0) -> np.ndarray:
 
 
 def run_hashes(words: np.ndarray, width: int) -> np.ndarray:
-    """One hash per run of ``width`` consecutive words."""
+    """One hash per run of ``width`` consecutive words: a polynomial, built from runs of powers of two."""
     count = len(words) - width + 1
     if count <= 0:
         return np.empty(0, np.uint64)
-    out = words[:count].copy()
-    for i in range(1, width):
-        out = out * _BASE + words[i : i + count]
-    return mix(out + np.uint64(width))
+    out, done, power, size, factor = None, 0, words, 1, _BASE
+    while True:
+        if width & size:
+            # The run so far, followed by ``size`` more words.
+            out = power[:count] if out is None else out * factor + power[done : done + count]
+            done += size
+        if done == width:
+            return mix(out + np.uint64(width))
+        power = power[: len(power) - size] * factor + power[size:]
+        size *= 2
+        factor = factor * factor
 
 
 def shingles(text: str | None, width: int) -> np.ndarray:
