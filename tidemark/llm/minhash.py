@@ -236,7 +236,7 @@ def near_duplicates(
     links = confirm(stars, docs, reps, width, percent, most, key)
     found = materialize(connected_components(links), "components")
 
-    each, more = 64, True
+    each, more = 1024, True
     while more:
         placed = members.where("n > 2").join(found, "id", "left")
         placed = materialize(placed.withColumn("component_id", F.coalesce("component_id", "id")), "placed")
