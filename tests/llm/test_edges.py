@@ -392,3 +392,29 @@ def test_components(spark):
     found = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
     low = brute.components({x for e in edges for x in e}, edges)
     assert {r["id"]: r["component_id"] for r in found} == {i: c for i, c in low.items() if i != c}
+
+
+def page_texts(spark, sources, host="c.example"):
+    rows = [(i, f"https://{host}/{i}", h) for i, h in enumerate(sources)]
+    found = pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r["text"] for r in sorted(found, key=lambda r: r["page_id"])]
+
+
+def test_page_template_decides_over_tags(spark):
+    """Teasers as articles, beside a main text in a plain element or in an article of its own, are not the article."""
+    story = lambda i: (f"<p>{f'story {i} goes on and on ' * 8}</p><p>{f'and ends with {i * i} ' * 5}</p>")
+    cards = lambda i: "".join(f"<article class=card><p>teaser {i * 7 + k} of another</p></article>" for k in range(3))
+    lines = lambda i: "\n".join([(f"story {i} goes on and on " * 8).strip(), (f"and ends with {i * i} " * 5).strip()])
+    for page in (
+        "<body><main><div class=text>{}</div>{}</main></body>",
+        "<body><div class=wrap><div class=text>{}</div>{}</div></body>",
+        "<body><main><article class=post>{}</article>{}</main></body>",
+    ):
+        found = page_texts(spark, [page.format(story(i), cards(i)) for i in range(12)])
+        assert found == [lines(i) for i in range(12)], page
+    # Posts with ids of their own.
+    posts = [f"<body><main><article id=post-{i} class='post n{i}'>{story(i)}</article>{cards(i)}</main></body>" for i in range(12)]
+    assert page_texts(spark, posts) == [lines(i) for i in range(12)]
+    # Pages without the template's slot, without tags and without a source are read by their marks or give nothing.
+    odd = [f"<body><div class=text>{story(i)}</div>{cards(i)}</body>" for i in range(30)]
+    assert page_texts(spark, [*odd, "", None, "plain"]) == [*[lines(i) for i in range(30)], "", "", "plain"]

@@ -5,8 +5,9 @@ occurrence vector of a token is how often it occurs on each page of the host; to
 with equal vectors form an equivalence class. The class that occurs once on every
 page is the root of the template; other frequent classes nest in its slots, by the
 elements their paths lead through. Text that shares a class with tags is page
-furniture. Of the remaining slots those of the article are extracted: what the page
-marks as article or main, or else the root element with most varying text.
+furniture. Of the remaining slots those of the article are extracted: the root element
+with most varying text, without the teasers in it. Article and main elements are
+evidence for that choice; they decide alone only where a host has no template.
 
 Vectors never travel: each is a 64-bit sum of (page, count) hashes that adds up in any
 order, so a host of any size is summed before the shuffle.
@@ -60,6 +61,10 @@ TAG = re.compile(
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 ARTICLE, MAIN = 2, 1
+# Path steps of articles and mains.
+ARTICLE_STEP = r"article(?:[.#@]|$)|.*@article$"
+REGION_STEP = r"(?:article|main)(?:[.#@]|$)|.*@(?:article|main)$"
+IS_ARTICLE = re.compile(ARTICLE_STEP, re.S)
 
 
 @dataclass
@@ -90,7 +95,7 @@ class Page:
 
 def _label(name: str, rest: str) -> tuple[str, bool, int]:
     """Path step of a start tag, whether it marks furniture, and the region it opens."""
-    marks, region, step = name in FURNITURE, 0, name
+    marks, region, step, said = name in FURNITURE, 0, name, ""
     if name == "article":
         region = ARTICLE
     elif name == "main":
@@ -104,9 +109,11 @@ def _label(name: str, rest: str) -> tuple[str, bool, int]:
                 step += ("." if kind == "class" else "#") + value
             if kind == "role" and value in ("main", "article") or kind == "itemprop" and value == "articleBody":
                 region = MAIN if value == "main" else ARTICLE
+                said = "@main" if value == "main" else "@article"
             if kind == "hidden" or kind == "aria-hidden" and value == "true":
                 marks = True
-    return step, marks, region
+    # A slash would look like another step.
+    return step.replace("/", "\\") + said, marks, region
 
 
 def parse(source: str | None) -> Page:
@@ -197,77 +204,143 @@ def _host(url: str | None) -> str:
 
 
 def page_tokens(pages: DataFrame, key: str) -> DataFrame:
-    """Summed tokens: ``host``, ``token``, ``path`` (of a tag; null for text), ``pages``, ``total``, ``vector``, ``mass``."""
-    schema = "host string, token long, path string, pages long, total long, vector long, mass long"
+    """Summed tokens: ``host``, ``token``, ``path`` (of a tag; null for text), ``at`` (the tag of a text), ``pages``, ``total``,
+    ``vector`` and ``mass``. Pages without tags have no say in a template."""
+    schema = "host string, token long, path string, at long, pages long, total long, vector long, mass long"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             sums: dict[tuple, list[int]] = {}
             for name, url, source in zip(pdf[key], pdf["url"], pdf["html"]):
                 host, page = _host(url), parse(source)
-                text = Counter((b.path, b.text) for b in page.blocks)
-                mass = Counter()
+                if not page.tags:
+                    continue
+                text, mass, chars = Counter(), Counter(), Counter()
                 for b in page.blocks:
-                    mass[b.path] += 0 if b.furniture else max(0, len(b.text) - 2 * b.linked)
-                found = [(_number("tag", p), p, n, mass[p]) for p, n in Counter(page.tags).items()]
-                found += [(_number("text", *t), None, n, 0) for t, n in text.items()]
-                found.append((0, "", 1, 0))  # the page itself
-                for token, path, n, chars in found:
-                    s = sums.setdefault((host, token), [path, 0, 0, 0, 0])
-                    s[1] += 1
-                    s[2] += n
-                    s[3] ^= _number(str(name), str(n))
-                    s[4] += chars
+                    own = 0 if b.furniture else max(0, len(b.text) - 2 * b.linked)
+                    text[b.path, b.text] += 1
+                    chars[b.path, b.text] += own
+                    mass[b.path] += own
+                found = [(_number("tag", p), p, 0, n, mass[p]) for p, n in Counter(page.tags).items()]
+                found += [(_number("text", *t), None, _number("tag", t[0]), n, chars[t]) for t, n in text.items()]
+                found.append((0, "", 0, 1, 0))  # the page itself
+                for token, path, at, n, own in found:
+                    s = sums.setdefault((host, token), [path, at, 0, 0, 0, 0])
+                    s[2] += 1
+                    s[3] += n
+                    s[4] ^= _number(str(name), str(n))
+                    s[5] += own
             yield pd.DataFrame([(*k, *v) for k, v in sums.items()], columns=schema.replace(",", "").split()[::2])
 
     rows = pages.select(key, "url", "html").mapInPandas(run, schema)
     return rows.groupBy("host", "token").agg(
-        F.first("path").alias("path"), F.sum("pages").alias("pages"), F.sum("total").alias("total"),
+        F.first("path").alias("path"), F.first("at").alias("at"), F.sum("pages").alias("pages"), F.sum("total").alias("total"),
         F.bit_xor("vector").alias("vector"), F.sum("mass").alias("mass"),
     )
 
 
+def article_group(path: str, root: str) -> str | None:
+    """The outermost article below ``root`` around ``path``, named without ids and digits; null outside of articles."""
+    steps = path[len(root) + 1 :].split("/")
+    for i, step in enumerate(steps):
+        if IS_ARTICLE.match(step):
+            # Posts carry numbers of their own in ids and classes.
+            return "/".join(re.sub(r"#[^.@]*|\d+", "", x) for x in steps[: i + 1])
+    return None
+
+
+def _article_groups(tags: DataFrame) -> DataFrame:
+    """``host``, ``grp`` (null: outside of articles), ``pages``, ``total`` and ``mass`` of the articles in each host's ``root``."""
+    schema = "host string, grp string, pages long, total long, mass long"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for host, path, root, pages, total, mass in zip(*(pdf[c] for c in columns)):
+                group = article_group(path, root)
+                opens = group is not None and article_group(path.rpartition("/")[0], root) is None
+                rows.append((host, group, pages if opens else 0, total if opens else 0, mass))
+            yield pd.DataFrame(rows, columns=schema.replace(",", "").split()[::2])
+
+    columns = ["host", "path", "root", "pages", "total", "mass"]
+    rows = tags.select(*columns).mapInPandas(run, schema)
+    return rows.groupBy("host", "grp").agg(*[F.sum(c).alias(c) for c in ("pages", "total", "mass")])
+
+
 def templates(tokens: DataFrame, least_pages: int) -> DataFrame:
-    """Per host: ``root`` (path of the root element with most varying text, or null) and ``constant`` (text tokens of the template).
+    """Per host: ``root`` (path of the element that holds the article, or null), ``only`` (the article group to take in it, or null),
+    ``besides`` (article groups to leave out) and ``constant`` (text tokens of the template).
 
     Tokens of one vector are a class. A class is valid if it is frequent (on ``least_pages`` pages and half of the host's) and
-    has a tag; the page's own vector is that of the root class, and the others nest in the slots of the elements their paths
-    lead through. Text in a valid class comes with a tag wherever that occurs, so it belongs to the template."""
-    size = tokens.where("token = 0").select("host", F.col("pages").alias("size"), F.col("vector").alias("page_vector"))
+    has a tag. Text in a valid class comes with a tag wherever that occurs, so it belongs to the template; all other text varies.
+    Root elements occur once on nine tenths of the pages and never twice. The deepest that holds nine tenths of the varying text
+    is the slot of the article; for an article or main half of it is enough, and what is deduced inside of one is widened to it.
+    In the slot the articles are held against the text outside of them: if one group of articles has most text, it alone is
+    taken, and if not, groups that come several to a page are teasers."""
+    size = tokens.where("token = 0").select("host", F.col("pages").alias("size"))
     size = materialize(size, "hosts")
     frequent = (F.col("pages") >= least_pages) & (2 * F.col("pages") >= F.col("size"))
-    joined = tokens.where("token <> 0").join(size, "host").where(frequent)
+    joined = tokens.where("token <> 0").join(size, "host").where(F.col("size") >= least_pages)
     alike = ["host", "vector", "pages", "total"]
-    valid = joined.where("path IS NOT NULL").select(*alike).distinct()
-    constant = joined.where("path IS NULL").join(valid, alike, "left_semi")
-    constant = constant.groupBy("host").agg(F.collect_set("token").alias("constant"))
+    valid = joined.where("path IS NOT NULL").where(frequent).select(*alike).distinct()
+    constant = joined.where("path IS NULL").where(frequent).join(valid, alike, "left_semi")
+    constant = materialize(constant.select("host", "token", "at", "mass"), "page-constants")
+    fixed = constant.where("mass > 0").groupBy("host", F.col("at").alias("token")).agg(F.sum("mass").alias("_fixed"))
+    tags = joined.where("path IS NOT NULL").join(fixed, ["host", "token"], "left")
+    tags = materialize(tags.withColumn("mass", F.col("mass") - F.coalesce("_fixed", F.lit(0))).drop("_fixed", "at", "vector"), "page-tags")
     # Text of nested tags counts for every element around them.
     steps = F.split(F.substring("path", 2, 1 << 30), "/")
     prefix = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda i: F.concat(F.lit("/"), F.array_join(F.slice(steps, 1, i), "/")))
-    around = joined.where("path IS NOT NULL AND mass > 0").select("host", "mass", F.explode(prefix).alias("path"))
+    around = tags.where("mass > 0").select("host", "mass", F.explode(prefix).alias("path"))
     around = around.groupBy("host", "path").agg(F.sum("mass").alias("mass"))
-    in_root = (F.col("vector") == F.col("page_vector")) & (F.col("pages") == F.col("size")) & (F.col("total") == F.col("size"))
-    held = joined.where(in_root & F.col("path").isNotNull()).select("host", "path").join(around, ["host", "path"])
-    whole = held.groupBy("host").agg(F.max("mass").alias("most"))
-    # The deepest root element that still holds nine tenths of it.
-    deep = held.join(whole, "host").where("mass >= 0.9 * most")
-    root = deep.groupBy("host").agg(F.max(F.struct(F.length("path").alias("depth"), "path")).alias("r"))
-    found = size.select("host").join(root.select("host", "r.path"), "host", "left").join(constant, "host", "left")
-    return found.select("host", F.col("path").alias("root"), "constant")
-
-
-def main_blocks(source: str | None, root: str | None, constant: set[int]) -> list[str]:
-    """Blocks of the article, in page order."""
-    page = parse(source)
-    own = [b for b in page.blocks if not b.furniture]
+    once = (F.col("total") == F.col("pages")) & (10 * F.col("pages") >= 9 * F.col("size"))
+    held = tags.where(once).select("host", "path").join(around, ["host", "path"])
+    held = materialize(held.withColumn("region", F.element_at(steps, -1).rlike(f"^(?:{REGION_STEP})")), "page-roots")
+    whole = around.groupBy("host").agg(F.max("mass").alias("most"))
+    deep = held.join(whole, "host").where("mass >= 0.9 * most OR (region AND mass >= 0.5 * most)")
+    deepest = deep.groupBy("host").agg(F.max(F.struct(F.length("path").alias("depth"), "path")).alias("r"))
+    deepest = deepest.select("host", F.col("r.path").alias("deepest"))
+    inside = F.startswith(F.concat("deepest", F.lit("/")), F.concat("path", F.lit("/")))
+    wider = held.where("region").join(deepest, "host").where(inside)
+    wider = wider.groupBy("host").agg(F.max(F.struct(F.length("path").alias("depth"), "path")).alias("w"))
+    root = deepest.join(wider, "host", "left").select("host", F.coalesce("w.path", "deepest").alias("root"))
+    root = materialize(root, "page-slots")
+
+    # An article is taken whole.
+    open_ = root.where(~F.element_at(F.split("root", "/"), -1).rlike(f"^(?:{ARTICLE_STEP})"))
+    within = F.startswith(F.concat("path", F.lit("/")), F.concat("root", F.lit("/")))
+    groups = materialize(_article_groups(tags.join(open_, "host").where(within)), "page-articles").join(size, "host")
+    best = groups.groupBy("host").agg(F.max(F.struct("mass", F.col("grp").isNull().alias("_rest"), "grp")).alias("b"))
+    several = F.col("grp").isNotNull() & (F.greatest(F.col("total") - F.col("pages"), F.col("total") - F.col("size")) > 0)
+    choice = groups.join(best, "host").groupBy("host").agg(
+        F.first("b.grp").alias("only"), F.collect_set(F.when(several, F.col("grp"))).alias("besides")
+    )
+    constant = constant.groupBy("host").agg(F.collect_set("token").alias("constant"))
+    return size.select("host").join(root, "host", "left").join(choice, "host", "left").join(constant, "host", "left")
+
+
+def _marked(own: list[Block]) -> list[Block]:
+    """What article and main elements hold, or else all."""
     for region in (ARTICLE, MAIN):
         inside = [b for b in own if b.region >= region]
         if inside:
-            own = inside
-            break
+            return inside
+    return own
+
+
+def main_blocks(
+    source: str | None, root: str | None, constant: set[int], only: str | None = None, besides: frozenset[str] = frozenset()
+) -> list[str]:
+    """Blocks of the article, in page order. A page without the template's ``root`` is read by its marks alone."""
+    page = parse(source)
+    own = [b for b in page.blocks if not b.furniture]
+    if root and root in page.tags:
+        own = [b for b in own if b.path == root or b.path.startswith(root + "/")]
+        groups = [article_group(b.path, root) for b in own]
+        if only in groups:
+            own = [b for b, g in zip(own, groups) if only is None and g not in besides or only is not None and g == only]
     else:
-        if root:
-            own = [b for b in own if b.path == root or b.path.startswith(root + "/")]
+        own = _marked(own)
     return [b.text for b in own if _number("text", b.path, b.text) not in constant]
 
 
@@ -289,14 +362,15 @@ def extract(pages: DataFrame, key: str = "page_id", least_pages: int = 10) -> Da
         for pdf in batches:
             rows = []
             known: dict[str, set[int]] = {}
-            for name, url, source, host, root, constant in zip(*(pdf[c] for c in columns)):
+            for name, url, source, host, root, only, besides, constant in zip(*(pdf[c] for c in columns)):
                 if host not in known:
                     known[host] = set(np.asarray(constant).tolist()) if constant is not None else set()
-                text = "\n".join(main_blocks(source, root, known[host]))
+                left_out = frozenset(besides if besides is not None else ())
+                text = "\n".join(main_blocks(source, root, known[host], only, left_out))
                 rows.append((name, url, text, len(text)))
             yield pd.DataFrame(rows, columns=schema.names).astype({key: pdf[key].dtype})
 
-    columns = [key, "url", "html", "host", "root", "constant"]
+    columns = [key, "url", "html", "host", "root", "only", "besides", "constant"]
     authority = F.regexp_extract("url", r"^\s*(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)
     hosted = pages.select(key, "url", "html").withColumn("host", F.coalesce(F.lower(authority), F.lit("")))
     return hosted.join(found, "host", "left").select(*columns).mapInPandas(run, schema)
