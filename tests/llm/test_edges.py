@@ -418,3 +418,14 @@ def test_page_template_decides_over_tags(spark):
     # Pages without the template's slot, without tags and without a source are read by their marks or give nothing.
     odd = [f"<body><div class=text>{story(i)}</div>{cards(i)}</body>" for i in range(30)]
     assert page_texts(spark, [*odd, "", None, "plain"]) == [*[lines(i) for i in range(30)], "", "", "plain"]
+
+
+def test_page_copies_are_no_template(spark):
+    """Copies of one article on a host, all pages or half of them, keep their text; so do copies under differing furniture."""
+    copy = "<body><nav>{}</nav><article><h1>One story</h1><p>told again and again</p></article></body>"
+    assert page_texts(spark, [copy.format("Menu")] * 12) == ["One story\ntold again and again"] * 12
+    assert page_texts(spark, [copy.format(i) for i in range(12)]) == ["One story\ntold again and again"] * 12
+    half = "<body><div class=top>Our site</div><div class={}><p>{}</p></div></body>"
+    other = [f"number {i} of the other stories" for i in range(12)]
+    sources = [half.format("post-12", "told again")] * 14 + [half.format("post", t) for t in other]
+    assert page_texts(spark, sources) == ["told again"] * 14 + other

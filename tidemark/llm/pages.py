@@ -203,16 +203,20 @@ def _host(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-def page_tokens(pages: DataFrame, key: str) -> DataFrame:
+def page_tokens(pages: DataFrame) -> DataFrame:
     """Summed tokens: ``host``, ``token``, ``path`` (of a tag; null for text), ``at`` (the tag of a text), ``pages``, ``total``,
-    ``vector`` and ``mass``. Pages without tags have no say in a template."""
-    schema = "host string, token long, path string, at long, pages long, total long, vector long, mass long"
+    ``vector`` and ``mass``.
+
+    Pages with the same blocks outside of furniture count once, so copies of an article do not look like a template. Pages
+    without tags have no say in one."""
+    item = "token long, path string, at long, n long, mass long"
+    schema = f"host string, digest long, items array<struct<{item.replace(' ', ':')}>>".replace(",:", ",")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            sums: dict[tuple, list[int]] = {}
-            for name, url, source in zip(pdf[key], pdf["url"], pdf["html"]):
-                host, page = _host(url), parse(source)
+            rows = []
+            for url, source in zip(pdf["url"], pdf["html"]):
+                page = parse(source)
                 if not page.tags:
                     continue
                 text, mass, chars = Counter(), Counter(), Counter()
@@ -224,18 +228,17 @@ def page_tokens(pages: DataFrame, key: str) -> DataFrame:
                 found = [(_number("tag", p), p, 0, n, mass[p]) for p, n in Counter(page.tags).items()]
                 found += [(_number("text", *t), None, _number("tag", t[0]), n, chars[t]) for t, n in text.items()]
                 found.append((0, "", 0, 1, 0))  # the page itself
-                for token, path, at, n, own in found:
-                    s = sums.setdefault((host, token), [path, at, 0, 0, 0, 0])
-                    s[2] += 1
-                    s[3] += n
-                    s[4] ^= _number(str(name), str(n))
-                    s[5] += own
-            yield pd.DataFrame([(*k, *v) for k, v in sums.items()], columns=schema.replace(",", "").split()[::2])
-
-    rows = pages.select(key, "url", "html").mapInPandas(run, schema)
-    return rows.groupBy("host", "token").agg(
-        F.first("path").alias("path"), F.first("at").alias("at"), F.sum("pages").alias("pages"), F.sum("total").alias("total"),
-        F.bit_xor("vector").alias("vector"), F.sum("mass").alias("mass"),
+                held = [x for b in page.blocks if not b.furniture for x in (b.path, b.text)]
+                rows.append((_host(url), _number("page", *held), [dict(zip(names, x)) for x in found]))
+            yield pd.DataFrame(rows, columns=["host", "digest", "items"])
+
+    names = [x.split()[0] for x in item.split(", ")]
+    rows = pages.select("url", "html").mapInPandas(run, schema)
+    distinct = rows.groupBy("host", "digest").agg(F.min("items").alias("items"))
+    flat = distinct.select("host", "digest", F.inline("items"))
+    return flat.groupBy("host", "token").agg(
+        F.first("path").alias("path"), F.first("at").alias("at"), F.count(F.lit(1)).alias("pages"), F.sum("n").alias("total"),
+        F.bit_xor(F.xxhash64("digest", "n")).alias("vector"), F.sum("mass").alias("mass"),
     )
 
 
@@ -349,10 +352,10 @@ def extract(pages: DataFrame, key: str = "page_id", least_pages: int = 10) -> Da
 
     Blocks of the main text are joined by one line feed; inside a block white space is one space. Null, empty and
     textless pages have an empty text and 0 characters. Pages without a host share one. A host with fewer than
-    ``least_pages`` pages has no template; its pages are read by their marks alone. A null or repeated key is a row like any
+    ``least_pages`` pages of different content has no template; its pages are read by their marks alone. A null or repeated key is a row like any
     other. An empty table gives no rows; other columns are not read.
     """
-    tokens = materialize(page_tokens(pages, key), "page-tokens")
+    tokens = materialize(page_tokens(pages), "page-tokens")
     found = materialize(templates(tokens, least_pages), "templates")
     schema = T.StructType(
         [pages.schema[key], pages.schema["url"], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]
