@@ -429,3 +429,23 @@ def test_page_copies_are_no_template(spark):
     other = [f"number {i} of the other stories" for i in range(12)]
     sources = [half.format("post-12", "told again")] * 14 + [half.format("post", t) for t in other]
     assert page_texts(spark, sources) == ["told again"] * 14 + other
+
+
+def test_page_marks_in_words_of_wrappers(spark):
+    """A word in the class of an element that holds the text marks nothing; the template overrules marks around its slot."""
+    story = "<p>a story that goes on and on, with many words in it</p>"
+    want = "a story that goes on and on, with many words in it"
+    whole = [
+        "<body class='has-sidebar'>{}</body>", "<body class='no-header'><div>{}</div></body>",
+        "<body><div id='content-sidebar-wrap'>{}<div class=sidebar>Side</div></div></body>",
+        "<body><div class='side-by-side'>{}</div><div class=social>Share</div></body>",
+        "<body><article class='post social'>{}</article></body>", "<body><div class=header><main>{}</main></div></body>",
+    ]
+    for page in whole:
+        assert "\n".join(pages.main_blocks(page.format(story), None, set())) == want, page
+    ad = "<body><div class=ad>an advert longer than the whole article is</div><article><p>short</p></article></body>"
+    assert pages.main_blocks(ad, None, set()) == ["short"]
+    # Long side columns on some pages of a host: the template knows where the text is.
+    page = "<body><div class='col-side'><div class=text><p>story {}</p></div></div><p>{}</p></body>"
+    sources = [page.format(f"{i} goes on and on " * 20, "Home") for i in range(11)] + [page.format("cut", "much else " * 9)]
+    assert page_texts(spark, sources) == [*[("story " + f"{i} goes on and on " * 20).strip() for i in range(11)], "story cut"]

@@ -69,13 +69,16 @@ IS_ARTICLE = re.compile(ARTICLE_STEP, re.S)
 
 @dataclass
 class Block:
-    """A block of text: its path, whether furniture holds it, the articles or mains around it, and how much is links."""
+    """A block of text: its path, whether furniture holds it, the articles or mains around it, and how much is links.
+
+    ``marks`` are the elements around it that words in a class, id or role mark: number on the page and path."""
 
     path: str
     furniture: bool
     region: int
     text: str
     linked: int
+    marks: tuple[tuple[int, str], ...] = ()
 
 
 @dataclass
@@ -85,17 +88,25 @@ class _Open:
     furniture: bool
     region: int
     link: bool
+    marks: tuple[tuple[int, str], ...] = ()
 
 
 @dataclass
 class Page:
     blocks: list[Block] = field(default_factory=list)
     tags: list[str] = field(default_factory=list)
+    wraps: dict[int, int] = field(default_factory=dict)  # the articles or mains in a marked element
+    regions: bool = False
+
+
+# Elements that no word marks.
+UNMARKED = frozenset({"html", "body", "main", "article"})
+COMPOUND, PLAIN = 1, 2
 
 
-def _label(name: str, rest: str) -> tuple[str, bool, int]:
-    """Path step of a start tag, whether it marks furniture, and the region it opens."""
-    marks, region, step, said = name in FURNITURE, 0, name, ""
+def _label(name: str, rest: str) -> tuple[str, bool, int, int]:
+    """Path step of a start tag, whether it is furniture, the region it opens, and whether a word marks it (in a compound or plain)."""
+    furniture, region, step, said, words = name in FURNITURE, 0, name, "", 0
     if name == "article":
         region = ARTICLE
     elif name == "main":
@@ -103,17 +114,37 @@ def _label(name: str, rest: str) -> tuple[str, bool, int]:
     if rest.strip(" /"):
         for m in ATTRIBUTE.finditer(rest):
             kind, value = m[1].lower(), (m[2] or m[3] or m[4] or "").strip()
-            if kind in ("class", "id", "role"):
-                marks |= bool(MARKS.search(value))
+            if kind in ("class", "id", "role") and MARKS.search(value):
+                plain = any(MARKS.fullmatch(x) for x in value.split())
+                words = max(words, PLAIN if plain else COMPOUND)
             if kind in ("class", "id"):
                 step += ("." if kind == "class" else "#") + value
             if kind == "role" and value in ("main", "article") or kind == "itemprop" and value == "articleBody":
                 region = MAIN if value == "main" else ARTICLE
                 said = "@main" if value == "main" else "@article"
             if kind == "hidden" or kind == "aria-hidden" and value == "true":
-                marks = True
+                furniture = True
     # A slash would look like another step.
-    return step.replace("/", "\\") + said, marks, region
+    return step.replace("/", "\\") + said, furniture, region, 0 if name in UNMARKED or region else words
+
+
+def _drop_marks(page: Page, strength: dict[int, int]) -> None:
+    """Forget marks of elements around a main, and of those that hold most of the page's text (of a plain word: nine tenths).
+
+    On a page with articles or mains only elements in or around these can."""
+    held, near, whole = Counter(), set(page.wraps), 0
+    for b in page.blocks:
+        if not b.furniture:
+            own = max(0, len(b.text) - 2 * b.linked)
+            whole += own
+            for number, _ in b.marks:
+                held[number] += own
+                if b.region:
+                    near.add(number)
+    most = {n for n, own in held.items() if own > whole * (0.5 if strength[n] == COMPOUND else 0.9)}
+    lifted = {n for n, region in page.wraps.items() if region == MAIN} | (most & near if page.regions else most)
+    for b in page.blocks:
+        b.marks = tuple(m for m in b.marks if m[0] not in lifted)
 
 
 def parse(source: str | None) -> Page:
@@ -122,6 +153,7 @@ def parse(source: str | None) -> Page:
     stack = [_Open("", "", False, 0, False)]
     pieces: list[str] = []
     linked = 0
+    strength: dict[int, int] = {}
 
     def flush() -> None:
         nonlocal linked
@@ -129,7 +161,7 @@ def parse(source: str | None) -> Page:
             text = " ".join("".join(pieces).split())
             if text:
                 top = stack[-1]
-                page.blocks.append(Block(top.path, top.furniture, top.region, text, linked))
+                page.blocks.append(Block(top.path, top.furniture, top.region, text, linked, top.marks))
         pieces.clear()
         linked = 0
 
@@ -178,19 +210,29 @@ def parse(source: str | None) -> Page:
             close(ENDS[name], frozenset({"ul", "ol", "dl", "table", "select", "menu"}))
         if name in ("td", "th"):
             pieces.append(" ")
-        step, marks, region = _label(name, m[4])
+        step, marked, region, words = _label(name, m[4])
         top = stack[-1]
         # An inline step is not part of the path: text keeps the path of its block.
         path = f"{top.path}/{step}" if name in BLOCK else top.path
-        furniture = top.furniture or marks
+        furniture, marks = top.furniture or marked, top.marks
+        if words:
+            # The mark of an inline element is its own, not that of its block.
+            number = len(strength)
+            strength[number] = words
+            marks = (*marks, (number, path if name in BLOCK else f"{path}/{step}"))
         if name in BLOCK:
             page.tags.append(path)
-        elif furniture and not top.furniture:
+        elif words or furniture and not top.furniture:
             flush()
-        stack.append(_Open(name, path, furniture, max(top.region, region), top.link or name == "a"))
+        if region and not furniture:
+            page.regions = True
+            # Teasers are articles too, but a main is one.
+            page.wraps.update((n, min(region, page.wraps.get(n, region))) for n, _ in marks)
+        stack.append(_Open(name, path, furniture, max(top.region, region), top.link or name == "a", marks))
     if end < len(source):
         add(source[end:])
     flush()
+    _drop_marks(page, strength)
     return page
 
 
@@ -221,14 +263,14 @@ def page_tokens(pages: DataFrame) -> DataFrame:
                     continue
                 text, mass, chars = Counter(), Counter(), Counter()
                 for b in page.blocks:
-                    own = 0 if b.furniture else max(0, len(b.text) - 2 * b.linked)
+                    own = 0 if b.furniture or b.marks else max(0, len(b.text) - 2 * b.linked)
                     text[b.path, b.text] += 1
                     chars[b.path, b.text] += own
                     mass[b.path] += own
                 found = [(_number("tag", p), p, 0, n, mass[p]) for p, n in Counter(page.tags).items()]
                 found += [(_number("text", *t), None, _number("tag", t[0]), n, chars[t]) for t, n in text.items()]
                 found.append((0, "", 0, 1, 0))  # the page itself
-                held = [x for b in page.blocks if not b.furniture for x in (b.path, b.text)]
+                held = [x for b in page.blocks if not b.furniture and not b.marks for x in (b.path, b.text)]
                 rows.append((_host(url), _number("page", *held), [dict(zip(names, x)) for x in found]))
             yield pd.DataFrame(rows, columns=["host", "digest", "items"])
 
@@ -338,12 +380,14 @@ def main_blocks(
     page = parse(source)
     own = [b for b in page.blocks if not b.furniture]
     if root and root in page.tags:
+        # The template overrules marks around its slot.
+        own = [b for b in own if all(f"{root}/".startswith(path + "/") for _, path in b.marks)]
         own = [b for b in own if b.path == root or b.path.startswith(root + "/")]
         groups = [article_group(b.path, root) for b in own]
         if only in groups:
             own = [b for b, g in zip(own, groups) if only is None and g not in besides or only is not None and g == only]
     else:
-        own = _marked(own)
+        own = _marked([b for b in own if not b.marks])
     return [b.text for b in own if _number("text", b.path, b.text) not in constant]
 
 
