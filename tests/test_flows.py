@@ -280,6 +280,23 @@ def test_partials_of_unordered_files_lose_nothing(spark, tmp_path):
     assert flows.read_partials(spark, root, ["k"], ["calls"]).agg(F.sum("calls")).first()[0] == 400
 
 
+def test_unordered_deliveries_lose_no_event_and_no_pair(spark, tmp_path):
+    """One file per batch, newest first and years apart: first events and pairs are found all the same."""
+    schema, day = "k long, at timestamp_ntz", dt.datetime(2024, 1, 1)
+    source = str(tmp_path / "in")
+    for years in (3, 2, 1, 0):
+        rows = [(k, day + dt.timedelta(days=365 * years, hours=k)) for k in range(10 + years)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    arrived = flows.drain(stream)
+    first = {r.k: r.at for r in flows.dedupe(arrived, "k", "at").collect()}
+    assert first == {k: day + dt.timedelta(days=365 * max(0, k - 9), hours=k) for k in range(13)}
+    right = arrived.withColumn("after", F.col("at") + F.expr("INTERVAL 1 HOUR")).select("k", "after")
+    assert flows.join_within(arrived, right, "k", "at", "after", "2 HOURS").count() == 10 + 11 + 12 + 13
+    with pytest.raises(ValueError):
+        flows.dedupe(stream, "k", "at")
+
+
 def test_two_flows_into_one_table(spark, tmp_path):
     root, schema = str(tmp_path / "t"), "k string, seq long"
     for flow, row in (("east", ("a", 1)), ("west", ("b", 1)), ("west", ("b", 9))):

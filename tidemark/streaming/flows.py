@@ -46,11 +46,6 @@ def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def with_event_time(df: DataFrame, at: str, late: str) -> DataFrame:
-    """Watermarked event time. A time without zone is read in the session's zone."""
-    return df.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, late)
-
-
 def meter(calls: DataFrame, by: Sequence[str], at: str = "ts", grain: str = "1 hour") -> DataFrame:
     """Usage counts per tumbling window and key of a batch or micro-batch."""
     windows = calls.withColumn(at, F.col(at).cast("timestamp")).groupBy(F.window(at, grain), *by)
@@ -81,11 +76,17 @@ def read_partials(spark: SparkSession, root: str, by: Sequence[str], sums: Seque
     return spark.read.parquet(root).groupBy(*by).agg(*[F.sum(c).alias(c) for c in sums])
 
 
-def dedupe(df: DataFrame, id: str, at: str, within: str) -> DataFrame:
-    """First event per id; a stream remembers ids for ``within``."""
-    if df.isStreaming:
-        return with_event_time(df, at, within).dropDuplicatesWithinWatermark([id])
-    return df.dropDuplicates([id])
+def _arrived(*tables: DataFrame) -> None:
+    if any(df.isStreaming for df in tables):
+        raise ValueError("store the stream first (drain) and call this on what has arrived: a watermark would drop late rows")
+
+
+def dedupe(df: DataFrame, id: str, at: str) -> DataFrame:
+    """First event per id of what has arrived, in any order; a null id is an id, an event without a time comes last."""
+    _arrived(df)
+    rest = [c for c in df.columns if c != at]
+    place = F.struct(F.col(at).isNull().alias("_untimed"), F.col(at), *rest)
+    return df.groupBy(F.col(id).alias("_id")).agg(F.min(place).alias("_first")).select(*[F.col("_first")[c].alias(c) for c in df.columns])
 
 
 def enrich_static(stream: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
@@ -93,14 +94,15 @@ def enrich_static(stream: DataFrame, table: DataFrame, on: Sequence[str], how: s
 
 
 def join_within(
-    left: DataFrame, right: DataFrame, on: str, left_at: str, right_at: str, bound: str, late: str
+    left: DataFrame, right: DataFrame, on: str, left_at: str, right_at: str, bound: str
 ) -> DataFrame:
-    """Stream-stream join: same key, and the right event at most ``bound`` after the left one.
+    """Join of what has arrived of two streams: same key, and the right event at most ``bound`` after the left one.
 
-    Both sides are watermarked, so their buffers stay bounded.
+    Both sides are stored and joined on reading, so rows may arrive in any order and at any time.
     """
-    a = with_event_time(left, left_at, late)
-    b = with_event_time(right, right_at, late).withColumnRenamed(on, "_right_on")
+    _arrived(left, right)
+    a = left.withColumn(left_at, F.col(left_at).cast("timestamp"))
+    b = right.withColumn(right_at, F.col(right_at).cast("timestamp")).withColumnRenamed(on, "_right_on")
     near = (
         (F.col(on) == F.col("_right_on"))
         & (F.col(right_at) >= F.col(left_at))
