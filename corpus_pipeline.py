@@ -28,17 +28,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that with the smallest id."""
-    found = minhash.near_duplicates(docs, width=5, percent=80, chunks=14)
-    kept = found.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    kept = materialize(kept, "kept-ids")
-    out = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
-    # Rows that repeat an id are copies too; without any, the texts need not be sorted for it.
-    return out.dropDuplicates(["doc_id"]) if not kept.where("n > 1").isEmpty() else out
+    """One row of each group of near-duplicates: that with the smallest id, one without an id only if none has one.
+
+    Rows are told apart by number: null and repeated ids are rows like any other, and only their texts make them copies."""
+    base = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered-docs")
+    found = minhash.near_duplicates(base, width=5, percent=80, chunks=14, key="_row").select("_row", "component_id")
+    named = found.join(base.select("_row", "doc_id"), "_row")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row")
+    kept = materialize(named.groupBy("component_id").agg(F.min(place).alias("first")).select("first._row"), "kept-rows")
+    return base.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of sources takes it, 0 to 3 times."""
+    """Each row as often as the mix of sources takes it, 0 to 3 times; null and repeated ids are rows like any other."""
     return mixing.mixed_documents(docs)
 
 

@@ -449,3 +449,19 @@ def test_page_marks_in_words_of_wrappers(spark):
     page = "<body><div class='col-side'><div class=text><p>story {}</p></div></div><p>{}</p></body>"
     sources = [page.format(f"{i} goes on and on " * 20, "Home") for i in range(11)] + [page.format("cut", "much else " * 9)]
     assert page_texts(spark, sources) == [*[("story " + f"{i} goes on and on " * 20).strip() for i in range(11)], "story cut"]
+
+
+def test_stages_keep_null_and_repeated_ids(spark):
+    """Rows without an id and different texts under one id are documents of their own in both stages."""
+    text = lambda k: " ".join(f"{k}w{i}" for i in range(40))
+    rows = [(None, text("a"), "s"), (None, text("b"), "s"), (None, text("b"), "s"), (5, text("c"), "s"), (5, text("d"), "s"),
+            (5, text("d"), "s"), (6, text("d"), "s"), (3, text("e"), "s"), (None, text("e"), "s")]
+    docs = documents(spark, rows)
+    found = corpus_pipeline.minhash_dedup(spark, docs, "")
+    assert found.columns == docs.columns
+    want = [("", text("a")), ("", text("b")), ("3", text("e")), ("5", text("c")), ("5", text("d"))]
+    assert sorted((str(r["doc_id"] or ""), r["text"]) for r in found.collect()) == want
+    mixed = corpus_pipeline.mix_sources(spark, docs, "")
+    assert mixed.columns == docs.columns
+    # The mix has as many words as the documents, so a single source is taken once.
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in mixed.collect()) == sorted((i or 0, t) for i, t, _ in rows)

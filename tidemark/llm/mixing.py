@@ -130,6 +130,7 @@ def mix(
     weights: Sequence[float] = (5, 2, 1),
     max_passes: int = 3,
     block: int = 32,
+    row: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Documents with what the mix takes of them, and the mix itself.
 
@@ -137,13 +138,13 @@ def mix(
     ``target``, ``taken``. The second has one row per document and slot: ``slot``,
     ``key``, ``pass`` (from 0), ``first_word``, ``words``. Null and empty texts have size 0 and
     are never taken. A null source is a source of its own; a null key sorts first.
-    Repeated rows are taken one by one. An empty table gives two empty frames. Columns
+    Repeated rows are taken one by one; ``_row`` of both frames tells them apart, from the column ``row`` if one is given. An empty table gives two empty frames. Columns
     other than key and source, whatever their names, are not read once sizes are known.
     """
     size = word_count(F.col("text")) if size is None else size
     sized = docs.select(
         F.col(key), F.col(source).alias("_source"), size.cast("long").alias("_size"),
-        F.monotonically_increasing_id().alias("_row"),
+        (F.col(row) if row else F.monotonically_increasing_id()).alias("_row"),
     )
     sized = materialize(sized, "mix-sizes")
     targets = materialize(source_targets(sized, "_source", weights, max_passes), "mix-targets")
@@ -181,12 +182,14 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", source: str = "source"
     """``docs`` with each row as often as the mix takes it, in whole passes; all columns are kept.
 
     A source's coverage is one stretch of its line, so at most one document per source is taken in part; it
-    counts as a whole pass from half on. ``key`` must be unique."""
-    taken, _ = mix(docs, key, source, **options)
+    counts as a whole pass from half on. Rows are told apart by number, so ``key`` may be null or repeat."""
+    # Row numbers must not change between the two reads.
+    base = materialize(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "mix-docs")
+    taken, _ = mix(base, key, source, **options, row="_mix_row")
     passes = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
-    often = taken.select(F.col(key).alias("_mix_key"), passes.alias("_mix_passes")).where("_mix_passes > 0")
-    drawn = docs.join(often, docs[key] == often["_mix_key"])
-    return drawn.withColumn("_mix_pass", F.explode(F.sequence(F.lit(1), "_mix_passes"))).select(*[docs[c] for c in docs.columns])
+    often = taken.select(F.col("_row").alias("_mix_row"), passes.alias("_mix_passes")).where("_mix_passes > 0")
+    drawn = base.join(often, "_mix_row")
+    return drawn.withColumn("_mix_pass", F.explode(F.sequence(F.lit(1), "_mix_passes"))).select(*docs.columns)
 
 
 def mix_query(spark, folder: str) -> DataFrame:
