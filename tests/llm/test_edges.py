@@ -465,3 +465,14 @@ def test_stages_keep_null_and_repeated_ids(spark):
     assert mixed.columns == docs.columns
     # The mix has as many words as the documents, so a single source is taken once.
     assert sorted((r["doc_id"] or 0, r["text"]) for r in mixed.collect()) == sorted((i or 0, t) for i, t, _ in rows)
+
+
+def test_added_tokens_in_texts(spark):
+    """Literals of added tokens get the ids of the tokenizer as loaded."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["a <|endoftext|> b", "a<|startoftext|><|endoftext|>b c", "<|ENDOFTEXT|> <|endoftext", "no literal"]
+    found = packing.tokenize(documents(spark, [(i, t, "s") for i, t in enumerate(texts)]), path, with_ids=True).collect()
+    whole = Tokenizer.from_file(path)
+    assert {r["doc_id"]: r["ids"] for r in found} == {i: whole.encode(t, add_special_tokens=False).ids + [1] for i, t in enumerate(texts)}

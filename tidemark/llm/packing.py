@@ -92,13 +92,13 @@ def _remembered(path: str):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        holder.__dict__[path] = (tokenizer, _pieces_pattern(tokenizer), {}, {})
+        added = sorted(t.content.lower() for t in tokenizer.get_added_tokens_decoder().values())
+        holder.__dict__[path] = (tokenizer, _pieces_pattern(tokenizer), {}, {}, added)
     return holder.__dict__[path]
 
 
 def _encode_fresh(fresh: list[bytes], path: str) -> None:
-    tokenizer, pattern, words, parts = _remembered(path)
+    tokenizer, pattern, words, parts, added = _remembered(path)
     if len(words) + len(fresh) > MEMORY:
         words.clear()
     if len(parts) > MEMORY:
@@ -107,11 +107,13 @@ def _encode_fresh(fresh: list[bytes], path: str) -> None:
     for w in fresh:
         text = w.decode()
         # Printable ASCII is its own normal form and byte mapping, so the model can be asked for each part.
-        if pattern is None or not (text.isascii() and text.isprintable()):
+        # The model does not know added tokens.
+        lowered = text.lower()
+        if pattern is None or not (text.isascii() and text.isprintable()) or any(t in lowered for t in added):
             whole.append(w)
             continue
         ids = b""
-        for part in pattern.findall(text.lower()):
+        for part in pattern.findall(lowered):
             known = parts.get(part)
             if known is None:
                 known = parts[part] = np.array([t.id for t in model.tokenize(part)], "<u4").tobytes()
