@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import classifier, lines, minhash, mixing, packing, pages, rules, sharding, substrings, vectors
+from tidemark.llm import classifier, lines, minhash, mixing, packing, pages, pivotcodes, rules, sharding, substrings, topk, vectors
 
 QUERIES = {
     "op1_cross_polytope_neighbors": vectors.vectors_query,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_subword_classifier": classifier.classify_query,
     "op9_decision_list": rules.rules_query,
     "op10_low_discrepancy_mix": mixing.mix_query,
+    "op12_laesa_codes": pivotcodes.codes_query,
+    "op13_histogram_top_k": topk.top_query,
 }
 
 SQL = {
@@ -23,4 +25,6 @@ SQL = {
     "op4_hamming_minhash": minhash.MINHASH_SQL,
     "op7_de_bruijn_substrings": substrings.SUBSTRING_SQL,
     "op10_low_discrepancy_mix": mixing.MIX_SQL,
+    "op12_laesa_codes": pivotcodes.CODES_SQL,
+    "op13_histogram_top_k": topk.TOP_SQL,
 }

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +28,17 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def finite(name: str) -> Column:
+    """Whether a list column is there and all its components are finite numbers."""
+    number = F.forall(name, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v.cast("double")) < float("inf")))
+    return F.col(name).isNotNull() & number
+
+
+def matrix(lists: pa.Array, width: int) -> np.ndarray:
+    """Lists of ``width`` numbers, none of them null, as rows."""
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), width)
+
+
 def with_fields(df: DataFrame, fields: Iterable[tuple[str, T.DataType]]) -> T.StructType:
     """The schema of ``df`` with the named fields replaced or added at the end."""
     new = dict(fields)
