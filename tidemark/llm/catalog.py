@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import classifier, lines, minhash, mixing, packing, pages, pivotcodes, rules, sharding, substrings, topk, vectors
+from tidemark.llm import alignment, classifier, lines, minhash, mixing, packing, pages, pivotcodes, rules, sharding, substrings, topk, vectors
 
 QUERIES = {
     "op1_cross_polytope_neighbors": vectors.vectors_query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_subword_classifier": classifier.classify_query,
     "op9_decision_list": rules.rules_query,
     "op10_low_discrepancy_mix": mixing.mix_query,
+    "op11_shared_cuts": alignment.align_query,
     "op12_laesa_codes": pivotcodes.codes_query,
     "op13_histogram_top_k": topk.top_query,
 }
