@@ -40,7 +40,7 @@ FREQUENT = 1 << 20  # pairs whose counts go to every task
 
 # No token crosses the place between a character that is no white space and one of these.
 UNIT = re.compile(r"[ \n\t]+[^ \n\t]*")
-OTHER_SPACE = re.compile("[\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+OTHER_SPACE = re.compile("[\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 class Tokenizers:
