@@ -12,7 +12,7 @@ from tidemark.operators.quality import Rule, one_of
 from tidemark.plans.scratch import scratch_path
 from tidemark.sources import log
 from tidemark.sources.intake import new_files_stream
-from tidemark.streaming import flows, keyed
+from tidemark.streaming import eventtime, flows, keyed
 
 
 def _stream(spark, sf, table="events"):
@@ -28,6 +28,14 @@ def _in_files(spark, df, part, parts=4):
     return new_files_stream(spark, path, df.schema, per_batch=2)
 
 
+def _delivered(spark, df, part, run, parts=3):
+    """``run(stream)`` after each of ``parts`` deliveries of ``df``: every time a new start on the same checkpoints."""
+    path = scratch_path(spark, "deliveries")
+    for i in range(parts):
+        df.filter(part == i).coalesce(2).write.mode("append").parquet(path)
+        run(new_files_stream(spark, path, df.schema, per_batch=2))
+
+
 def _run(stream, each, mode="append"):
     flows.start(stream, scratch_path(stream.sparkSession, "flow-state"), each=each, mode=mode).awaitTermination()
 
@@ -99,11 +107,12 @@ def _(spark, sf):
 @query("t05_dedupe", "SELECT event_id, user_id FROM events")
 def _(spark, sf):
     events = Tables(spark, sf).events.select("event_id", "user_id", "ts")
-    # Deliveries out of time order; the copies of an event come in two of them.
+    # Deliveries out of time order, most of each later than the allowed two days; copies come in two of them.
     part = F.pmod(F.xxhash64("event_id"), F.lit(3))
     twice = events.withColumn("part", part).unionByName(events.withColumn("part", (part + 1) % 3))
-    arrived = flows.drain(_in_files(spark, twice, F.col("part"), 3).drop("part"))
-    return flows.dedupe(arrived, "event_id", "ts").drop("ts")
+    first = eventtime.FirstPerId(scratch_path(spark, "first-events"), events.schema, "event_id", "ts", "1 DAY", "2 DAYS", 16)
+    _delivered(spark, twice, F.col("part"), lambda stream: first.cycle(stream.drop("part")))
+    return first.read(spark).drop("ts")
 
 
 @query("t06_replayed_sink", _LATEST)
@@ -124,13 +133,20 @@ def _(spark, sf):
        GROUP BY a.event_id""",
 )
 def _(spark, sf):
-    events = clicks(spark, sf).select("event_id", "event_type", "t", "clicks")
-    # Up to five time units out of order.
-    part = F.least(F.floor((F.col("t") + F.col("event_id") % 5) / 1080), F.lit(3))
-    # The flow keeps every event; the sum is taken on what has arrived, so nothing is late.
-    arrived = flows.drain(_in_files(spark, events, part))
-    out = windows.trailing_agg(arrived, "t", "clicks", 30, "event_id", key=["event_type"], name="trailing")
-    return out.select("event_id", F.col("trailing").cast("double").alias("trailing"))
+    cents = (F.col("clicks") * 100).cast("long").alias("cents")
+    events = clicks(spark, sf).select("event_id", "event_type", "t", cents, F.timestamp_seconds(F.col("t") + 1_704_067_200).alias("at"))
+    # Up to five time units out of order, and every fortieth event in the last delivery: later than allowed.
+    part = F.when(F.col("event_id") % 40 == 0, 2).otherwise(F.least(F.floor((F.col("t") + F.col("event_id") % 5) / 1440), F.lit(2)))
+    flow = eventtime.TrailingSum(scratch_path(spark, "trailing"), events.schema, "event_type", "event_id", "at", "cents", 30, "60 SECONDS")
+    _delivered(spark, events, part, flow.cycle)
+
+    def sums(rows):
+        out = windows.trailing_agg(rows, "t", "cents", 30, "event_id", key=["event_type"], name="trailing")
+        return out.select(F.col("event_id").alias("id"), F.col("trailing").cast("long").alias("trailing"))
+
+    out = flow.read(spark, sums)
+    money_ = (F.col("trailing").cast("decimal(20,2)") / 100).cast("decimal(20,2)").cast("double")
+    return out.select(F.col("id").alias("event_id"), money_.alias("trailing"))
 
 
 @query(
@@ -327,13 +343,12 @@ def _(spark, sf):
        AND b.event_type = 'purchase' AND b.ts >= a.ts AND b.ts <= a.ts + INTERVAL 6 HOUR""",
 )
 def _(spark, sf):
-    events = Tables(spark, sf).events.select("event_id", "user_id", "event_type", "ts")
-
-    # Deliveries out of time order.
-    def arrived(kind, id, at):
-        stream = _in_files(spark, events.filter(F.col("event_type") == kind), F.pmod(F.xxhash64("event_id"), F.lit(3)), 3)
-        return flows.drain(stream.select("user_id", F.col("event_id").alias(id), F.col("ts").alias(at)))
-
-    seen, bought = arrived("click", "click_id", "clicked_at"), arrived("purchase", "purchase_id", "bought_at")
-    joined = flows.join_within(seen, bought, "user_id", "clicked_at", "bought_at", "6 HOURS")
-    return joined.select("click_id", "purchase_id")
+    side = F.when(F.col("event_type") == "click", "left").when(F.col("event_type") == "purchase", "right")
+    events = Tables(spark, sf).events.select("event_id", "user_id", "ts", side.alias("side")).where("side IS NOT NULL")
+    fields = {"click_id": ("left", "event_id"), "purchase_id": ("right", "event_id")}
+    join = eventtime.StreamJoin(scratch_path(spark, "stream-join"), events.schema, "user_id", "ts", "6 HOURS", "2 DAYS", fields)
+    # Deliveries out of time order: a tenth of each is later than the allowed two days.
+    days = F.floor(F.unix_timestamp(F.col("ts").cast("timestamp")) / 864_000)
+    part = F.when(F.col("event_id") % 10 == 0, F.pmod(F.xxhash64("event_id"), F.lit(3))).otherwise(F.pmod(days, F.lit(3)))
+    _delivered(spark, events, part, join.cycle)
+    return join.read(spark)
