@@ -257,6 +257,28 @@ def _(spark, sf):
     return joins.asof_dim_join(facts, dim, "user_id", "d").select("event_id", "user_id", "pri")
 
 
+@query(
+    "j09_asof_hot_key",
+    """WITH v AS (SELECT l_returnflag AS k, CAST(l_shipdate AS DATE) AS f, max(l_discount) AS rate FROM lineitem GROUP BY ALL),
+       dim AS (SELECT *, lead(f) OVER (PARTITION BY k ORDER BY f) AS u FROM v)
+       SELECT l_orderkey, l_linenumber, rate FROM lineitem LEFT JOIN dim ON k = l_returnflag AND f <= CAST(l_shipdate AS DATE) + l_linenumber
+       AND (u IS NULL OR CAST(l_shipdate AS DATE) + l_linenumber < u)""",
+)
+def _(spark, sf):
+    """Three keys with thousands of versions each, one of them with half of the facts."""
+    from tidemark.operators.windows import neighbors
+
+    items = Tables(spark, sf).lineitem
+    day = F.to_date("l_shipdate").alias("effective_from")
+    versions = items.groupBy("l_returnflag", day).agg(F.max("l_discount").alias("rate"))
+    dim = neighbors(versions, ["l_returnflag"], ["effective_from"], ["effective_from"]).select(
+        "l_returnflag", "rate", "effective_from", F.col("next_effective_from").alias("effective_to")
+    )
+    facts = items.select("l_orderkey", "l_linenumber", "l_returnflag", F.date_add(F.to_date("l_shipdate"), F.col("l_linenumber").cast("int")).alias("d"))
+    found = joins.asof_dim_join(facts, dim, "l_returnflag", "d", tile_rows=100_000, many=200)
+    return found.select("l_orderkey", "l_linenumber", "rate")
+
+
 @query(
     "j10_star",
     """SELECT p_brand, s_nationkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.windows import top_n
-from tidemark.plans.ordering import join_keys, keyed_neighbor
+from tidemark.plans.intervals import MANY_RANGES, interval_join
+from tidemark.plans.ordering import HOT_ROWS, join_keys, keyed_neighbor
 from tidemark.plans.skew import paged_lists
 
 
@@ -52,10 +53,12 @@ def asof_dim_join(
     start: str = "effective_from",
     end: str = "effective_to",
     how: str = "left",
+    tile_rows: int = HOT_ROWS,
+    many: int = MANY_RANGES,
 ) -> DataFrame:
     """The dimension version valid at the fact's date: ``start <= date < end``, null end open.
 
-    Equality on the key drives the join; the validity range is only its residual.
+    Keys with more than ``many`` versions are joined tile by tile, ``tile_rows`` facts each.
     """
     versions = dim.withColumnRenamed(key, "_dim_key")
     valid = (
@@ -63,7 +66,8 @@ def asof_dim_join(
         & (versions[start] <= fact[date])
         & (versions[end].isNull() | (fact[date] < versions[end]))
     )
-    return fact.join(versions, valid, how).drop("_dim_key")
+    pair, until = [(key, "_dim_key")], versions[end]
+    return interval_join(fact, versions, pair, fact[date], versions[start], until, valid, how, tile_rows, many).drop("_dim_key")
 
 
 def overlapping_ranges(dim: DataFrame, key: str, start: str, end: str, limit=None) -> DataFrame:
@@ -154,14 +158,18 @@ def entitled(
     at: str = "requested_at",
     scope: str = "scope",
     how: str = "left_semi",
+    tile_rows: int = HOT_ROWS,
+    many: int = MANY_RANGES,
 ) -> DataFrame:
     """Requests covered by a consent that was granted, unexpired, unrevoked and in scope.
 
-    A semi-join, so overlapping consents do not multiply a request.
+    A semi-join, so overlapping consents do not multiply a request. Keys with more than ``many``
+    consents are joined tile by tile.
     """
+    consents = consents.withColumnsRenamed({key: f"_held_{key}" for key in keys})
     cond = F.lit(True)
     for key in keys:
-        cond = cond & (requests[key] == consents[key])
+        cond = cond & (requests[key] == consents[f"_held_{key}"])
     cond = (
         cond
         & (requests[at] >= consents["granted_at"])
@@ -169,7 +177,10 @@ def entitled(
         & (consents["revoked_at"].isNull() | (requests[at] <= consents["revoked_at"]))
         & F.array_contains(consents["granted_scopes"], requests[scope])
     )
-    return requests.join(consents, cond, how)
+    held = [(key, f"_held_{key}") for key in keys]
+    start, end = consents["granted_at"], consents["expires_at"]
+    found = interval_join(requests, consents, held, requests[at], start, end, cond, how, tile_rows, many)
+    return found.drop(*[name for _, name in held])
 
 
 def assemble(

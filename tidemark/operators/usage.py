@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import epoch_seconds
 from tidemark.operators.windows import moving
-from tidemark.plans.ordering import check_hot, join_keys, keyed_neighbor, keyed_row_number, keyed_running
+from tidemark.plans.intervals import MANY_RANGES, interval_join
+from tidemark.plans.ordering import HOT_ROWS, check_hot, join_keys, keyed_neighbor, keyed_row_number, keyed_running
 
 # Price per call, plans, service-level surcharges and rate limits.
 PRICES = {
@@ -132,12 +133,14 @@ def rate_violations(calls: DataFrame, limits: Sequence[tuple] = DEFAULT_LIMITS,
 
 
 def decide(
-    requests: DataFrame, consents: DataFrame, per_second: int = PARTNER_PER_SECOND, limit=None
+    requests: DataFrame, consents: DataFrame, per_second: int = PARTNER_PER_SECOND, limit=None,
+    tile_rows: int = HOT_ROWS, many: int = MANY_RANGES,
 ) -> DataFrame:
     """First failing check of each request, in the fixed order token, expiry, consent, scope, rate.
 
     ``requests``: request_id, partner_id, customer_id, scope, requested_at, token_valid,
-    token_expires_at. Overlapping consents are folded per request before they meet it.
+    token_expires_at. Overlapping consents are folded per request before they meet it; keys with
+    more than ``many`` consents meet their requests tile by tile.
     """
     at = F.col("requested_at")
     live = (
@@ -145,8 +148,11 @@ def decide(
         & (F.col("revoked_at").isNull() | (at <= F.col("revoked_at")))
     )
     asked = requests.select("request_id", "partner_id", "customer_id", "scope", "requested_at")
+    given = consents.withColumnsRenamed({"partner_id": "_partner", "customer_id": "_customer"})
+    same = (F.col("partner_id") == F.col("_partner")) & (F.col("customer_id") == F.col("_customer")) & live
+    keys = [("partner_id", "_partner"), ("customer_id", "_customer")]
     held = (
-        asked.join(consents, ["partner_id", "customer_id"]).filter(live)
+        interval_join(asked, given, keys, at, F.col("granted_at"), F.col("expires_at"), same, "inner", tile_rows, many)
         .groupBy("request_id")
         .agg(F.bool_or(F.array_contains("granted_scopes", F.col("scope"))).alias("_scoped"))
     )
