@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.catalog import Tables, query
-from tidemark.operators import dims, retrieval
+from tidemark.operators import dims, retrieval, text_index, vector_index
+from tidemark.plans.scratch import scratch_path
 
 
 @query(
@@ -87,6 +88,20 @@ def _(spark, sf):
     return ranked.withColumn("score", F.round("score", 6))
 
 
+@query("k05_text_index", f"WITH {_bm25_sql(_ALL_DOCS, 'a')} SELECT query_id, id, round(score, 6) AS score, rnk FROM a")
+def _(spark, sf):
+    """Indexed in three batches; the later ones replace documents of the first."""
+    t = Tables(spark, sf)
+    docs = t.spread("documents").select(F.col("doc_id").alias("id"), "text")
+    part = F.pmod("id", F.lit(3))
+    root = scratch_path(spark, "text-index")
+    old = F.when(part == 2, F.concat(F.reverse("text"), F.lit(" old"))).otherwise(F.col("text")).alias("text")
+    text_index.add(docs.where(part != 1).select("id", old), root, 0, "id", "text", buckets=16)
+    text_index.add(docs.where(part == 1), root, 1, "id", "text", buckets=16)
+    text_index.add(docs.where(part == 2), root, 2, "id", "text", buckets=16)
+    return text_index.search(spark, root, _asked(t), 10, "id", 16).withColumn("score", F.round("score", 6))
+
+
 @query("k08_filtered_bm25", f"WITH {_bm25_sql(_ENGLISH, 'e')} SELECT query_id, id, round(score, 6) AS score, rnk FROM e")
 def _(spark, sf):
     t = Tables(spark, sf)
@@ -121,16 +136,27 @@ _CENTRES = """c AS (SELECT label AS query_id, list(x ORDER BY i) AS q FROM (SELE
   FROM (SELECT label, embedding, unnest(range(1, 65)) AS i FROM embeddings) GROUP BY 1, 2) GROUP BY label)"""
 
 
-@query(
-    "k06_knn",
-    f"""WITH {_CENTRES}, s AS (SELECT query_id, vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), q), 6) AS score FROM embeddings, c)
-       SELECT CAST(query_id AS BIGINT) AS query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rnk FROM s QUALIFY rnk <= 10""",
-)
+_KNN = f"""WITH {_CENTRES}, s AS (SELECT query_id, vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), q), 6) AS score FROM embeddings, c)
+       SELECT CAST(query_id AS BIGINT) AS query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rnk FROM s QUALIFY rnk <= 10"""
+
+
+@query("k06_knn", _KNN)
 def _(spark, sf):
     t = Tables(spark, sf)
     return retrieval.knn(t.embeddings, _centres(t), 10)
 
 
+@query("k06_vector_index", _KNN)
+def _(spark, sf):
+    """Half of the vectors filed later; all lists probed, so that the answer is exact."""
+    t = Tables(spark, sf)
+    root = scratch_path(spark, "vector-index")
+    vectors = t.embeddings.select("vec_id", "embedding")
+    vector_index.build(vectors.where("vec_id % 2 = 0"), root)
+    vector_index.add(vectors.where("vec_id % 2 <> 0"), root)
+    return vector_index.search(spark, root, _centres(t), 10, probes=vector_index.MAX_LISTS)
+
+
 @query(
     "k07_hybrid_search",
     f"""WITH {_CENTRES}, m AS (SELECT count(*) AS n FROM c),
