@@ -39,6 +39,14 @@ def matrix(lists: pa.Array, width: int) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), width)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def with_fields(df: DataFrame, fields: Iterable[tuple[str, T.DataType]]) -> T.StructType:
     """The schema of ``df`` with the named fields replaced or added at the end."""
     new = dict(fields)

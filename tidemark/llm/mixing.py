@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table, word_count
+from tidemark.llm.common import table, unused, word_count
 from tidemark.plans.scratch import materialize
 
 # frac(t * phi) in whole numbers: (t * STEP mod RING) / RING. An odd STEP visits every point.
@@ -183,13 +183,14 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", source: str = "source"
 
     A source's coverage is one stretch of its line, so at most one document per source is taken in part; it
     counts as a whole pass from half on. Rows are told apart by number, so ``key`` may be null or repeat."""
+    row, passes, one = (unused(docs, name) for name in ("_mix_row", "_mix_passes", "_mix_pass"))
     # Row numbers must not change between the two reads.
-    base = materialize(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "mix-docs")
-    taken, _ = mix(base, key, source, **options, row="_mix_row")
-    passes = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
-    often = taken.select(F.col("_row").alias("_mix_row"), passes.alias("_mix_passes")).where("_mix_passes > 0")
-    drawn = base.join(often, "_mix_row")
-    return drawn.withColumn("_mix_pass", F.explode(F.sequence(F.lit(1), "_mix_passes"))).select(*docs.columns)
+    base = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "mix-docs")
+    taken, _ = mix(base, key, source, **options, row=row)
+    often = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
+    often = taken.select(F.col("_row").alias(row), often.alias(passes)).where(F.col(passes) > 0)
+    drawn = base.join(often, row)
+    return drawn.withColumn(one, F.explode(F.sequence(F.lit(1), F.col(passes)))).select(*docs.columns)
 
 
 def mix_query(spark, folder: str) -> DataFrame:

@@ -10,7 +10,10 @@ well is dissolved and packed once more in fewer groups.
 
 from __future__ import annotations
 
+import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -77,7 +80,10 @@ def _pieces_pattern(tokenizer):
     steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
     folds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
     cuts = [p["type"] for p in steps] == ["Split", "ByteLevel"] and steps[0]["behavior"] == "Removed" and steps[0]["invert"]
-    return regex.compile(steps[0]["pattern"]["Regex"]) if folds and cuts and not steps[1]["add_prefix_space"] else None
+    ours = folds and cuts and not steps[1]["add_prefix_space"] and sys.byteorder == "little"
+    # Added tokens are looked for by their first two signs.
+    ours = ours and all(t.content.startswith("<|") for t in tokenizer.get_added_tokens_decoder().values())
+    return regex.compile(steps[0]["pattern"]["Regex"]) if ours else None
 
 
 def _remembered(path: str):
@@ -92,35 +98,54 @@ def _remembered(path: str):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        added = sorted(t.content.lower() for t in tokenizer.get_added_tokens_decoder().values())
-        holder.__dict__[path] = (tokenizer, _pieces_pattern(tokenizer), {}, {}, added)
+        holder.__dict__[path] = (tokenizer, _pieces_pattern(tokenizer), {}, {})
     return holder.__dict__[path]
 
 
+# Characters that all versions of Unicode class and fold alike; from the first of the two ranges on, bytes are mapped.
+PLAIN = re.compile("[\x20-\x7e\xa1-\u0377\u037a-\u037f\u0384-\u052f]+")
+
+
+def _byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary, by the byte's own code."""
+    kept = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    return dict(zip([*kept, *(b for b in range(256) if b not in kept)], map(chr, [*kept, *range(256, 512 - len(kept))])))
+
+
+BYTES = _byte_characters()
+
+
 def _encode_fresh(fresh: list[bytes], path: str) -> None:
-    tokenizer, pattern, words, parts, added = _remembered(path)
+    tokenizer, pattern, words, parts = _remembered(path)
     if len(words) + len(fresh) > MEMORY:
         words.clear()
     if len(parts) > MEMORY:
         parts.clear()
-    model, whole = tokenizer.model, []
-    for w in fresh:
-        text = w.decode()
-        # Printable ASCII is its own normal form and byte mapping, so the model can be asked for each part.
-        # The model does not know added tokens.
-        lowered = text.lower()
-        if pattern is None or not (text.isascii() and text.isprintable()) or any(t in lowered for t in added):
-            whole.append(w)
-            continue
-        ids = b""
-        for part in pattern.findall(lowered):
-            known = parts.get(part)
-            if known is None:
-                known = parts[part] = np.array([t.id for t in model.tokenize(part)], "<u4").tobytes()
-            ids += known
-        words[w] = ids
+    model, whole, normal = tokenizer.model, [], tokenizer.normalizer
+
+    def learn(part: str) -> bytes:
+        mapped = part if part.isascii() else part.encode().decode("latin-1").translate(BYTES)
+        ids = parts[part] = array("I", [t.id for t in model.tokenize(mapped)]).tobytes()
+        return ids
+
+    # The model can be asked for each part where the parts are certain. It does not know added tokens.
+    line = b" ".join(fresh).decode()
+    plain = fresh if pattern is not None else []
+    if "<|" in line or not PLAIN.fullmatch(line):
+        plain = [w for w in plain if b"<|" not in w and PLAIN.fullmatch(w.decode())]
+        line = b" ".join(plain).decode()
+        some = set(plain)
+        whole = [w for w in fresh if w not in some]
+    elif pattern is None:
+        whole = fresh
+    lowered = (line.lower() if line.isascii() else normal.normalize_str(line)).split(" ")
+    for w, text in zip(plain, lowered if plain else [], strict=True):
+        if text.isalpha():
+            words[w] = parts.get(text) or learn(text)
+        else:
+            words[w] = b"".join([parts.get(p) or learn(p) for p in pattern.findall(text)])
     done = tokenizer.encode_batch_fast([w.decode() for w in whole], add_special_tokens=False)
-    words.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(whole, done))
+    words.update((w, array("I", e.ids).tobytes()) for w, e in zip(whole, done))
 
 
 def encode(texts: list[str | None], path: str) -> list[bytes]:
@@ -131,11 +156,12 @@ def encode(texts: list[str | None], path: str) -> list[bytes]:
     out = []
     for at in range(0, len(texts), 64):
         split = [(t or "").encode("utf-8", "replace").split() for t in texts[at : at + 64]]
-        fresh = list({w for words in split for w in words if w not in known})
+        every = set().union(*split)
+        fresh = [w for w in every if w not in known]
         _encode_fresh(fresh, path)
         if len(known) <= len(fresh):  # cleared: the batch's other words are gone too
-            _encode_fresh([w for w in {w for words in split for w in words} if w not in known], path)
-        out += [b"".join([known[w] for w in words]) for words in split]
+            _encode_fresh([w for w in every if w not in known], path)
+        out += [b"".join(map(known.__getitem__, words)) for words in split]
     return out
 
 
