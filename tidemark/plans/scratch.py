@@ -10,6 +10,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,9 +32,35 @@ def scratch_root(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[app]
 
 
+_SCOPE: ContextVar[str] = ContextVar("scratch_scope", default="")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     app = spark.sparkContext.applicationId
-    return f"{scratch_root(spark)}/{app}/{label}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{app}/{_SCOPE.get()}{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scope(spark: SparkSession, name: str) -> Iterator[str]:
+    """What is written inside lies in a folder of its own, which ``drop`` can remove; gives the folder."""
+    inner = f"{name}-{uuid.uuid4().hex}"
+    token = _SCOPE.set(f"{_SCOPE.get()}{inner}/")
+    try:
+        yield f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{_SCOPE.get()}".rstrip("/")
+    finally:
+        _SCOPE.reset(token)
+
+
+def reads_from(df: DataFrame, folder: str) -> bool:
+    """Whether ``df`` still reads files of a scratch folder."""
+    tail = "/" + "/".join(folder.split("/")[-2:]) + "/"
+    return any(tail in f for f in df.inputFiles())
+
+
+def drop(spark: SparkSession, folder: str) -> None:
+    """Remove a scope's folder, once all that was made from it is written elsewhere."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
