@@ -34,6 +34,18 @@ def block_pairs(rows: DataFrame, row: str, count: str, size: int = BLOCK) -> Dat
     ).drop("_blocks", "_own", "_other")
 
 
+def forest(count: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of ``count`` nodes the smallest index reachable by the links."""
+    low = np.arange(count)
+    while True:
+        before = low.copy()
+        np.minimum.at(low, a, low[b])
+        np.minimum.at(low, b, low[a])
+        low = low[low]
+        if (low == before).all():
+            return low
+
+
 def map_sorted_groups(
     df: DataFrame, keys: list[str], work: Callable[[pd.DataFrame], pd.DataFrame | None], schema
 ) -> DataFrame:

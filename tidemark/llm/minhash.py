@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.blocks import block_pairs, map_sorted_groups
+from tidemark.llm.blocks import block_pairs, forest, map_sorted_groups
 from tidemark.llm.common import table
 from tidemark.llm.components import connected_components
 from tidemark.llm.wordhash import mix, shingles
@@ -166,10 +166,29 @@ def confirm(pairs: DataFrame, docs: DataFrame, sigs: DataFrame, width: int, perc
     return materialize(both.where(100 * shared >= percent * union).select("a", "b"), "links")
 
 
+def _spanning(edges: pd.DataFrame, each: int) -> np.ndarray:
+    """Which edges, sorted by closeness, to try: for each end ``each`` of them, and enough that all that hangs together still does."""
+    ends, number = np.unique(edges[["x", "y"]].to_numpy().ravel(), return_inverse=True)
+    x, y = number.reshape(-1, 2).T
+    both = pd.Series(np.concatenate([x, y]))
+    places = both.iloc[np.argsort(np.tile(np.arange(len(x)), 2), kind="stable")].groupby(both).cumcount().sort_index().to_numpy()
+    keep = np.minimum(places[: len(x)], places[len(x) :]) < each
+    while True:
+        low = forest(len(ends), x[keep], y[keep])
+        apart = np.flatnonzero(low[x] != low[y])
+        if not len(apart):
+            return keep
+        # The closest edge out of each tree; the edges are in the order of closeness.
+        for side in (x, y):
+            _, first = np.unique(low[side[apart]], return_index=True)
+            keep[apart[first]] = True
+
+
 def _cross_pairs(pdf: pd.DataFrame, percent: int, most: int, each: int) -> pd.DataFrame | None:
     """Pairs of one block pair that are in different components and that nothing rules out.
 
-    Of two components the ``each`` closest pairs; a row with equal ids says that there are more."""
+    Only so many that they join all the components that all pairs would, and the ``each`` closest of a component, more in small
+    blocks; a row that has the block's key twice says that there are others."""
     if len(pdf) < 2:
         return None
     ids, parts, side, sizes = (pdf[c].to_numpy() for c in ("id", "component_id", "_side", "n_shingles"))
@@ -206,10 +225,10 @@ def _cross_pairs(pdf: pd.DataFrame, percent: int, most: int, each: int) -> pd.Da
                 found.append(pd.DataFrame({"a": pair[0], "b": pair[1], "x": both[0], "y": both[1], "apart": apart[ok]}))
     if not found:
         return None
-    rows = pd.concat(found, ignore_index=True).sort_values(["x", "y", "apart", "a", "b"])
-    first = rows.groupby(["x", "y"]).cumcount() < each
-    out = rows.loc[first, ["a", "b"]]
-    return out if first.all() else pd.concat([out, pd.DataFrame({"a": [0], "b": [0]})])
+    rows = pd.concat(found, ignore_index=True).sort_values(["apart", "a", "b"], ignore_index=True)
+    tried = _spanning(rows, max(each, 4096 // len(names)))
+    out = rows.loc[tried, ["a", "b"]]
+    return out if tried.all() else pd.concat([out, pd.DataFrame({"a": pdf["key"].iloc[:1], "b": pdf["key"].iloc[:1]})])
 
 
 def near_duplicates(
@@ -236,7 +255,7 @@ def near_duplicates(
     links = confirm(stars, docs, reps, width, percent, most, key)
     found = materialize(connected_components(links), "components")
 
-    each, more = 1024, True
+    each, more = 4, True
     while more:
         placed = members.where("n > 2").join(found, "id", "left")
         placed = materialize(placed.withColumn("component_id", F.coalesce("component_id", "id")), "placed")
@@ -246,10 +265,17 @@ def near_duplicates(
         rows = block_pairs(rows.select("key", "id", "component_id", "n", "sig", "sketch", "n_shingles"), "id", "n")
         compare = partial(_cross_pairs, percent=percent, most=most, each=each)
         rest = materialize(map_sorted_groups(rows, ["key", "_i", "_j"], compare, "a long, b long").distinct(), "cross-pairs")
-        # Where two components had more pairs than were tried, they are looked at again unless joined by now.
-        more = not rest.where("a = b").isEmpty()
-        links = links.unionByName(confirm(rest.where("a <> b"), docs, reps, width, percent, most, key))
+        tried = rest.where("a <> b")
+        links = links.unionByName(confirm(tried, docs, reps, width, percent, most, key))
         found = materialize(connected_components(links), "components")
+        # Pairs that were left out matter only where a pair that was tried is no link, and only their keys are looked at again.
+        of_a, of_b = (found.select(F.col("id").alias(c), F.col("component_id").alias(f"of_{c}")) for c in "ab")
+        ends = tried.join(of_a, "a", "left").join(of_b, "b", "left")
+        apart = ends.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
+        others = rest.where("a = b").select(F.col("a").alias("key"))
+        more = not others.isEmpty() and not apart.isEmpty()
+        if more:
+            members = materialize(members.join(others, "key", "left_semi"), "buckets-left")
         each *= 16
 
     of_set = reps.join(found, "id", "left").select("digest", F.coalesce("component_id", "id").alias("component_id"))

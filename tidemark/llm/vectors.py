@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.blocks import block_pairs, map_sorted_groups
+from tidemark.llm.blocks import block_pairs, forest, map_sorted_groups
 from tidemark.llm.common import table
 from tidemark.llm.components import connected_components
 from tidemark.plans.scratch import materialize
@@ -72,18 +72,6 @@ def _unit(column: pd.Series) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _forest(count: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For each of ``count`` nodes the smallest index reachable by the links."""
-    low = np.arange(count)
-    while True:
-        before = low.copy()
-        np.minimum.at(low, a, low[b])
-        np.minimum.at(low, b, low[a])
-        low = low[low]
-        if (low == before).all():
-            return low
-
-
 def _links(pdf: pd.DataFrame, least: float, tables: int, polytopes: int, probes: int) -> pd.DataFrame | None:
     """Links of one block pair that no earlier cell has counted: counts per node, and forest edges."""
     if len(pdf) < 2 or not pdf["home"].any():
@@ -121,7 +109,7 @@ def _links(pdf: pd.DataFrame, least: float, tables: int, polytopes: int, probes:
     if not len(a):
         return None
     counts = np.bincount(a, weights=weight[b], minlength=len(x)) + np.bincount(b, weights=weight[a], minlength=len(x))
-    low = _forest(len(x), a, b)
+    low = forest(len(x), a, b)
     some = np.flatnonzero(counts)
     return pd.DataFrame({"a": node[some], "b": node[low[some]], "links": counts[some].astype(np.int64)})
 
