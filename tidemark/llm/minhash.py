@@ -188,7 +188,7 @@ def _cross_pairs(pdf: pd.DataFrame, percent: int, most: int, each: int) -> pd.Da
     """Pairs of one block pair that are in different components and that nothing rules out.
 
     Only so many that they join all the components that all pairs would, and the ``each`` closest of a component, more in small
-    blocks; a row that has the block's key twice says that there are others."""
+    blocks; a row with equal ids says that there are others."""
     if len(pdf) < 2:
         return None
     ids, parts, side, sizes = (pdf[c].to_numpy() for c in ("id", "component_id", "_side", "n_shingles"))
@@ -227,8 +227,9 @@ def _cross_pairs(pdf: pd.DataFrame, percent: int, most: int, each: int) -> pd.Da
         return None
     rows = pd.concat(found, ignore_index=True).sort_values(["apart", "a", "b"], ignore_index=True)
     tried = _spanning(rows, max(each, 4096 // len(names)))
-    out = rows.loc[tried, ["a", "b"]]
-    return out if tried.all() else pd.concat([out, pd.DataFrame({"a": pdf["key"].iloc[:1], "b": pdf["key"].iloc[:1]})])
+    key = pdf["key"].iat[0]
+    out = rows.loc[tried, ["a", "b"]].assign(key=key)
+    return out if tried.all() else pd.concat([out, pd.DataFrame({"a": [0], "b": [0], "key": [key]})])
 
 
 def near_duplicates(
@@ -264,19 +265,19 @@ def near_duplicates(
         rows = placed.join(mixed, "key").join(reps.select("id", "sig", "sketch", "n_shingles"), "id")
         rows = block_pairs(rows.select("key", "id", "component_id", "n", "sig", "sketch", "n_shingles"), "id", "n")
         compare = partial(_cross_pairs, percent=percent, most=most, each=each)
-        rest = materialize(map_sorted_groups(rows, ["key", "_i", "_j"], compare, "a long, b long").distinct(), "cross-pairs")
-        tried = rest.where("a <> b")
+        rest = materialize(map_sorted_groups(rows, ["key", "_i", "_j"], compare, "a long, b long, key long"), "cross-pairs")
+        tried = rest.where("a <> b").select("a", "b").distinct()
         links = links.unionByName(confirm(tried, docs, reps, width, percent, most, key))
         found = materialize(connected_components(links), "components")
-        # Pairs that were left out matter only where a pair that was tried is no link, and only their keys are looked at again.
+        # Pairs that were left out matter only where a pair of the same bucket was tried and is no link.
         of_a, of_b = (found.select(F.col("id").alias(c), F.col("component_id").alias(f"of_{c}")) for c in "ab")
-        ends = tried.join(of_a, "a", "left").join(of_b, "b", "left")
-        apart = ends.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
-        others = rest.where("a = b").select(F.col("a").alias("key"))
-        more = not others.isEmpty() and not apart.isEmpty()
+        ends = rest.where("a <> b").join(of_a, "a", "left").join(of_b, "b", "left")
+        apart = ends.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("key").distinct()
+        others = materialize(rest.where("a = b").select("key").distinct().join(apart, "key", "left_semi"), "buckets-open")
+        more = not others.isEmpty()
         if more:
             members = materialize(members.join(others, "key", "left_semi"), "buckets-left")
-        each *= 16
+        each = max(1024, 16 * each)  # few components are left
 
     of_set = reps.join(found, "id", "left").select("digest", F.coalesce("component_id", "id").alias("component_id"))
     out = sigs.join(of_set, "digest", "left")
