@@ -65,27 +65,25 @@ def substrings(docs, width=20):
     return out
 
 
-def line_dedup(docs, min_lines=2, long_line=60):
-    """doc_id -> (lines, removed, text); docs in corpus order."""
-    single, several, out = set(), set(), {}
+def line_dedup(docs, min_lines=2, long_line=20):
+    """doc_id -> (lines, removed, text, maximal runs removed); docs in corpus order, every suffix put into a trie."""
+    trie, out = {}, {}
     for i, text in docs:
         parts = (text or "").split("\n")
         worded = [(k, line) for k, line in enumerate(parts) if WORD.search(line)]
-        gone = set()
+        gone, ends = set(), set()
         for p in range(len(worded)):
-            line = worded[p][1]
-            if len(line) >= long_line:
-                if line in single:
-                    gone.add(p)
-                single.add(line)
-            run = tuple(x for _, x in worded[p : p + min_lines])
-            if len(run) == min_lines:
-                if run in several:
-                    gone.update(range(p, p + min_lines))
-                several.add(run)
+            node, same, known = 0, 0, True
+            for _, line in worded[p:]:
+                known = known and (node, line) in trie
+                same += known
+                node = trie.setdefault((node, line), len(trie) + 1)
+            if same >= min_lines or (same and len(worded[p][1]) >= long_line):
+                gone.update(range(p, p + same))
+                ends.add(p + same)
         dropped = {worded[p][0] for p in gone}
         left = None if text is None else "\n".join(x for k, x in enumerate(parts) if k not in dropped)
-        out[i] = (len(worded), len(gone), left)
+        out[i] = (len(worded), len(gone), left, len(ends))
     return out
 
 

@@ -140,7 +140,7 @@ def test_substrings_repeated_and_unnamed_rows(spark):
 def test_lines(spark, odd):
     found = lines.line_dedup(odd)
     assert found.columns == [c for c in odd.columns if c != "n_lines"] + ["n_lines", "n_removed", "n_runs"]
-    got = {r["doc_id"]: (r["n_lines"], r["n_removed"], r["text"]) for r in found.collect()}
+    got = {r["doc_id"]: (r["n_lines"], r["n_removed"], r["text"], r["n_runs"]) for r in found.collect()}
     assert got == brute.line_dedup(TEXTS.items())
     assert got[7][1] == 1 and got[11][1] == 4
     assert found.where("rank <> 'x' OR _row <> 'x' OR _0 <> 'x'").count() == 0
@@ -150,10 +150,19 @@ def test_lines_of_random_letters(spark):
     rng = np.random.default_rng(5)
     rows = [(i, "\n".join(rng.choice(list("abc "), int(rng.integers(0, 25)))), "a") for i in range(60)]
     rows += [(70, rows[3][1], "a"), (71, "\n".join("ab" * 40), "a")]
-    for least in (1, 2, 4):
-        found = lines.line_dedup(documents(spark, rows), min_lines=least, long_line=60).collect()
-        want = brute.line_dedup([(i, t) for i, t, _ in rows], least)
-        assert {r["doc_id"]: (r["n_lines"], r["n_removed"], r["text"]) for r in found} == want
+    for least, long_line in ((1, 60), (2, 1), (3, 60), (4, 60)):
+        found = lines.line_dedup(documents(spark, rows), min_lines=least, long_line=long_line).collect()
+        want = brute.line_dedup([(i, t) for i, t, _ in rows], least, long_line)
+        assert {r["doc_id"]: (r["n_lines"], r["n_removed"], r["text"], r["n_runs"]) for r in found} == want
+
+
+def test_lines_count_maximal_runs(spark):
+    """Adjacent and overlapping copies of different earlier runs are told apart; a long single line is a run."""
+    long, short = "a line long enough to count alone", "short"
+    rows = [(1, "a\nb\nc\nd", "a"), (2, "p\nq\nr", "a"), (3, "c\nd\ne\nf\ng", "a"), (4, f"{long}\n{short}", "a")]
+    rows += [(5, "a\nb\nc\np\nq", "a"), (6, "b\nc\nd\ne\nf", "a"), (7, f"x\n{long}\ny\n{short}\nz", "a")]
+    found = {r["doc_id"]: (r["n_removed"], r["n_runs"]) for r in lines.line_dedup(documents(spark, rows)).collect()}
+    assert found == {1: (0, 0), 2: (0, 0), 3: (2, 1), 4: (0, 0), 5: (5, 2), 6: (5, 2), 7: (1, 1)}
 
 
 def test_suffix_ranks_sort_suffixes(spark):
@@ -176,7 +185,7 @@ def test_suffix_ranks_sort_suffixes(spark):
 
 def test_lines_reject_other_run_lengths(odd):
     with pytest.raises(ValueError):
-        lines.line_dedup(odd, min_lines=3)
+        lines.line_dedup(odd, min_lines=0)
 
 
 def test_packing_edges(spark, odd):

@@ -4,19 +4,20 @@ A document is its sequence of lines with a word; a line's id is a 128-bit hash.
 suffixes of all sequences are sorted by distributed prefix doubling: a rank orders
 them by their first 2^k lines, and the pair (rank here, rank 2^k lines on) orders them
 by twice as many. Suffixes that share a rank after k rounds are an interval of the
-suffix array whose longest common prefix is 2^k lines or more. In such an interval the
-suffix that stands first in the corpus is the original and the others are copies.
-Suffixes alone in their interval are in place and leave the doubling, so the work
-follows the repeated lines. DataFrame operations only.
-
-``line_dedup`` ends the doubling at ``min_lines``: longer intervals lie inside those and
-add no line to the copies. It does not form maximal runs; ``n_runs`` counts the stretches
-of adjacent removed lines.
+suffix array whose longest common prefix is 2^k lines or more. Suffixes alone in their
+interval are in place and leave the doubling, which ends when none is shared any more.
+
+Between two levels, ``earlier_runs`` finds how many lines of a suffix stand earlier in the
+corpus: the rank at a place and the rank some lines on name an interval of any prefix
+length, so that length is halved step by step, for all suffixes at once. A maximal run is
+one that no run from an earlier place of its document covers. DataFrame operations only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
@@ -40,31 +41,34 @@ def positions(df: DataFrame, order: list[str], label: str) -> DataFrame:
 
 
 def line_table(docs: DataFrame, long_line: int) -> DataFrame:
-    """``_row``, ``_key``, ``pos`` (among lines with a word), ``idx`` (among all), the id ``h1``, ``h2``, and ``long``."""
+    """``_row``, ``_key``, ``pos`` (among lines with a word), ``rest`` (lines from there on), ``idx`` (among all),
+    the id ``h1``, ``h2``, and ``long``."""
     numbered = F.transform(F.split("text", "\n", -1), lambda line, i: F.struct(i.alias("idx"), line.alias("line")))
     worded = F.filter(numbered, lambda s: s["line"].rlike(HAS_WORD))
-    lines = docs.select("_row", "_key", F.posexplode(worded).alias("pos", "s"))
+    lines = docs.select("_row", "_key", worded.alias("_lines"))
+    lines = lines.select("_row", "_key", F.size("_lines").alias("_n"), F.posexplode("_lines").alias("pos", "s"))
     return lines.select(
-        "_row", "_key", "pos", F.col("s.idx").alias("idx"),
+        "_row", "_key", "pos", (F.col("_n") - F.col("pos")).alias("rest"), F.col("s.idx").alias("idx"),
         F.xxhash64("s.line").alias("h1"), F.xxhash64(F.lit("second"), "s.line").alias("h2"),
         (F.length("s.line") >= long_line).alias("long"),
     )
 
 
-def suffix_ranks(lines: DataFrame, depth: int | None = None) -> list[DataFrame]:
-    """For k = 0, 1, ... the suffixes (``_row``, ``pos``, ``rank``) that share their first 2^k lines with another.
+def suffix_ranks(lines: DataFrame) -> list[DataFrame]:
+    """For k = 0, 1, ... the suffixes (``_row``, ``pos``, ``rest``, ``rank``) whose first 2^k lines another has too.
 
     The end of a document sorts before every line; suffixes that agree up to their ends stay
-    together. The last frame is the last in which any suffix is still shared, or that of 2^k >= ``depth``."""
+    together. The last frame is the last in which any suffix is still shared."""
     placed = positions(lines.select("_row", "pos", "h1", "h2"), ["h1", "h2", "_row", "pos"], "line-order")
     symbols = placed.groupBy("h1", "h2").agg(F.min("_pos").alias("rank"), F.count(F.lit(1)).alias("n"))
     symbols = materialize(symbols, "line-symbols")
-    current = lines.select("_row", "pos", "h1", "h2").join(symbols, ["h1", "h2"]).select("_row", "pos", "rank", "n")
+    current = lines.select("_row", "pos", "rest", "h1", "h2").join(symbols, ["h1", "h2"])
+    current = current.select("_row", "pos", "rest", "rank", "n")
     current = materialize(current, "line-ranks")
-    alive = current.where("n > 1").select("_row", "pos", "rank")
-    current = current.drop("n")
+    alive = current.where("n > 1").select("_row", "pos", "rest", "rank")
+    current = current.drop("n", "rest")
     levels, shift = [alive], 1
-    while depth is None or shift < depth:
+    while True:
         ahead = current.select("_row", (F.col("pos") - shift).alias("pos"), F.col("rank").alias("second"))
         paired = alive.join(ahead, ["_row", "pos"], "left").withColumn("second", F.coalesce("second", F.lit(-1)))
         paired = positions(paired, ["rank", "second", "_row", "pos"], "suffix-order")
@@ -76,43 +80,74 @@ def suffix_ranks(lines: DataFrame, depth: int | None = None) -> list[DataFrame]:
             "rank", "second", "n", (F.col("rank") + F.col("_at") - F.col("_low")).alias("new")
         )
         pairs = materialize(pairs, "pair-ranks")
-        ranked = paired.join(pairs, ["rank", "second"]).select("_row", "pos", F.col("new").alias("rank"), "second", "n")
-        ranked = materialize(ranked, "suffix-ranks")
-        alive = ranked.where("n > 1 AND second >= 0").select("_row", "pos", "rank")
+        ranked = paired.join(pairs, ["rank", "second"])
+        ranked = materialize(ranked.select("_row", "pos", "rest", F.col("new").alias("rank"), "n"), "suffix-ranks")
+        alive = ranked.where(F.col("n") > 1).where(F.col("rest") >= 2 * shift).select("_row", "pos", "rest", "rank")
         if alive.isEmpty():
             return levels
         levels.append(alive)
         renewed = ranked.select("_row", "pos", F.col("rank").alias("new"))
         current = current.join(renewed, ["_row", "pos"], "left")
         current = current.select("_row", "pos", F.coalesce("new", "rank").alias("rank"))
+        current = materialize(current, "line-ranks")
         shift *= 2
-        if depth is None or shift < depth:
-            current = materialize(current, "line-ranks")
-    return levels
-
 
-def _copies(shared: DataFrame, spans: DataFrame, most: int, allowed: Column) -> DataFrame:
-    """Positions of all lines of the copies in one level's intervals: every suffix but the first of the corpus."""
-    whole = shared.join(spans, ["_row", "pos"]).where(allowed)
-    whole = materialize(whole.select("_row", "_key", "pos", "rank"), "interval-rows")
-    place = F.struct("_key", "_row", "pos")
-    first = materialize(whole.groupBy("rank").agg(F.min(place).alias("first")), "interval-first")
-    later = whole.join(first, "rank").where(place != F.col("first"))
-    return later.select("_row", F.explode(F.sequence(F.col("pos"), F.col("pos") + (most - 1))).alias("pos"))
 
-
-def line_dedup(docs: DataFrame, key: str = "doc_id", min_lines: int = 2, long_line: int = 60) -> DataFrame:
+def _levels(levels: list[DataFrame], least: int) -> DataFrame:
+    parts = [shared.drop("rest").withColumn("level", F.lit(k)) for k, shared in enumerate(levels) if k >= least]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def earlier_runs(lines: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """``_row``, ``pos``, ``n_same``: the most lines from ``pos`` on that start earlier in the corpus too, if any do.
+
+    The corpus is ordered by ``_key``, ``_row`` and ``pos``. An entry asks for its length or only stands for those of
+    its interval; ``group`` is the first place of the interval of prefix length ``m``. Of the entries that share a
+    longer prefix, only the first is still needed for the shorter ones, so at most one entry per interval is added."""
+    shared = levels[0].select("_row", "pos").join(lines.select("_row", "_key", "pos"), ["_row", "pos"])
+    places = positions(shared, ["_key", "_row", "pos"], "suffix-places").drop("_key").withColumnRenamed("_pos", "place")
+    members = materialize(_levels(levels, 0).join(places, ["_row", "pos"]), "interval-members")
+    first = materialize(members.groupBy("level", "rank").agg(F.min("place").alias("group")), "interval-first")
+    members = members.join(first, ["level", "rank"]).withColumn("asks", F.col("place") != F.col("group"))
+    # Up to the deepest level where a suffix is a copy, an earlier one stands for it.
+    top = F.max(F.when(F.col("asks"), F.col("level"))).over(Window.partitionBy("place"))
+    entries = members.withColumn("_top", top).where("_top IS NULL OR level >= _top")
+    length = F.expr("shiftleft(1, level)")
+    columns = ["level", "place", "_row", "pos", "group", "m", "asks"]
+    entries = materialize(entries.withColumn("m", length).select(*columns), "run-entries")
+    for j in reversed(range(len(levels) - 1)):
+        on = F.col("pos") + F.col("m") + (1 << j) - length
+        ahead = _levels(levels, j + 1).select("level", "_row", F.col("pos").alias("_on"), F.col("rank").alias("second"))
+        tried = entries.withColumn("_on", on).join(ahead, ["level", "_row", "_on"], "left").drop("_on")
+        tried = materialize(tried, "run-tries")
+        found = tried.where("second IS NOT NULL").groupBy("m", "group", "second").agg(
+            F.count(F.lit(1)).alias("n"), F.min("place").alias("head"), F.max("asks").alias("wanted")
+        )
+        found = materialize(found.where("n > 1").drop("n"), "run-groups")
+        tried = tried.join(found, ["m", "group", "second"], "left")
+        leads = F.col("head").isNull() | (F.col("place") == F.col("head"))
+        stays = F.struct("group", "m", "asks")
+        longer = (F.col("m") + (1 << j)).alias("m")
+        moves = F.struct(F.col("head").alias("group"), longer, (F.col("asks") & ~leads).alias("asks"))
+        after = F.array_compact(F.array(F.when(leads, stays), F.when(F.col("wanted"), moves)))
+        entries = tried.select("level", "place", "_row", "pos", F.explode(after).alias("_s"))
+        entries = materialize(entries.select("level", "place", "_row", "pos", "_s.*"), "run-entries")
+    return entries.where("asks").select("_row", "pos", F.col("m").alias("n_same"))
+
+
+def line_dedup(docs: DataFrame, key: str = "doc_id", min_lines: int = 2, long_line: int = 20) -> DataFrame:
     """``docs`` without later copies, plus ``n_lines`` (with a word), ``n_removed`` and ``n_runs`` removed.
 
-    A run counts as repeated if it has ``min_lines`` lines (a power of two) or is one line of at least ``long_line``
-    characters; a repeat is a copy if the same run starts earlier, in a smaller ``key``, in an
-    earlier one of repeated rows, or further up in the same document. A null key comes first. Lines are
-    compared as they are; lines without a word are skipped in runs and stay in the text. Null
-    texts stay null with no lines. Columns named like the three counts are replaced; all others are kept. An
-    empty table gives no rows.
+    A maximal repeated run counts if it has ``min_lines`` lines or starts with a line of at least ``long_line``
+    characters; it is a copy if the same lines start earlier, in a smaller ``key``, in an
+    earlier one of repeated rows, or further up in the same document. So a shorter line, such as a lone brace
+    or a one-word heading, goes only within a run. ``n_runs`` counts the maximal runs, which may overlap. A null
+    key comes first. Lines are compared as they are; lines without a word are skipped in runs and stay in the
+    text. Null texts stay null with no lines. Columns named like the three counts are replaced; all others are
+    kept. An empty table gives no rows.
     """
-    if min_lines < 1 or min_lines & (min_lines - 1):
-        raise ValueError("min_lines must be a power of two")
+    if min_lines < 1:
+        raise ValueError("min_lines must be at least 1")
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed", "n_runs")]
     # Columns travel under other names, so that none can clash.
     carried = [F.col(c).alias(f"_{i}") for i, c in enumerate(kept)]
@@ -120,24 +155,19 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", min_lines: int = 2, long_li
     base = docs.select(*carried, F.col("text").alias("text"), F.col(key).alias("_key"))
     base = materialize(base.withColumn("_row", F.monotonically_increasing_id()).drop(f"_{kept.index('text')}"), "docs")
     lines = materialize(line_table(base, long_line), "lines")
-    # Intervals of longer common prefixes lie inside those of ``min_lines``: a longer run is a row of their copies.
-    levels = suffix_ranks(lines, min_lines)
-
-    counts = lines.groupBy("_row").agg(F.count(F.lit(1)).alias("n_lines"))
-    spans = lines.select("_row", "_key", "pos", "long")
-    gone = _copies(levels[0], spans, 1, F.col("long"))
-    level = min_lines.bit_length() - 1
-    if level < len(levels):
-        long_enough = spans.join(counts, "_row").where(F.col("pos") + min_lines <= F.col("n_lines"))
-        gone = gone.unionByName(_copies(levels[level], long_enough, min_lines, F.lit(True)))
-    gone = materialize(gone.distinct().join(lines.select("_row", "pos", "idx"), ["_row", "pos"]), "lines-gone")
-    by_row = Window.partitionBy("_row").orderBy("pos")
-    starts = (F.col("pos") - F.lag("pos").over(by_row) == 1).cast("int")
-    gone = gone.withColumn("_starts", 1 - F.coalesce(starts, F.lit(0)))
+    runs = earlier_runs(lines, suffix_ranks(lines)).join(lines, ["_row", "pos"])
+    reach = F.when((F.col("n_same") >= min_lines) | F.col("long"), F.col("pos") + F.col("n_same"))
+    # Every line of a run is one that stands earlier too, so these rows hold all that a run covers.
+    before = Window.partitionBy("_row").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    runs = runs.withColumn("_reach", reach).withColumn("_covered", F.max("_reach").over(before))
+    gone = runs.where(F.col("_covered") > F.col("pos"))
+    # A run that another covers ends where that ends.
+    starts = F.lag("_covered").over(Window.partitionBy("_row").orderBy("pos"))
+    gone = gone.withColumn("_starts", (~F.col("_covered").eqNullSafe(starts)).cast("int"))
     per_doc = gone.groupBy("_row").agg(
         F.collect_list("idx").alias("_gone"), F.count(F.lit(1)).alias("n_removed"), F.sum("_starts").alias("n_runs")
     )
-
+    counts = lines.groupBy("_row").agg(F.count(F.lit(1)).alias("n_lines"))
     out = base.join(counts.join(per_doc, "_row", "left"), "_row", "left")
     # Kept places by a set difference and a lookup: linear in the number of lines.
     parts = F.split("text", "\n", -1)
@@ -156,25 +186,29 @@ def line_query(spark, folder: str) -> DataFrame:
 
 
 LINE_SQL = r"""
-WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+WITH RECURSIVE split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
 flat AS (SELECT doc_id, unnest(range(1, len(parts) + 1)) AS idx, unnest(parts) AS line FROM split),
 lines AS (
   SELECT doc_id, idx, line, row_number() OVER (PARTITION BY doc_id ORDER BY idx) AS pos FROM flat
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-pairs AS (
-  SELECT a.doc_id, a.pos, a.line AS x, b.line AS y FROM lines a JOIN lines b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1),
-singles AS (
-  SELECT doc_id, pos, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS n FROM lines WHERE length(line) >= 60),
-doubles AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY x, y ORDER BY doc_id, pos) AS n FROM pairs),
-gone AS (
-  SELECT doc_id, pos FROM singles WHERE n > 1 UNION SELECT doc_id, pos FROM doubles WHERE n > 1
-  UNION SELECT doc_id, pos + 1 FROM doubles WHERE n > 1),
 placed AS (
-  SELECT doc_id, pos, idx, pos - lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS step
-  FROM gone JOIN lines USING (doc_id, pos)),
+  SELECT *, row_number() OVER (ORDER BY doc_id, pos) AS place, dense_rank() OVER (ORDER BY line) AS name
+  FROM lines),
+same AS (
+  SELECT 1 AS m, doc_id, pos, place, min(place) OVER (PARTITION BY line) AS head, count(*) OVER (PARTITION BY line) AS n
+  FROM placed
+  UNION ALL
+  SELECT m + 1, s.doc_id, s.pos, s.place, min(s.place) OVER (PARTITION BY head, name),
+    count(*) OVER (PARTITION BY head, name)
+  FROM same s JOIN placed p ON p.doc_id = s.doc_id AND p.pos = s.pos + m WHERE n > 1),
+runs AS (SELECT doc_id, pos, max(m) AS n_same FROM same WHERE head < place GROUP BY doc_id, pos),
+reached AS (
+  SELECT doc_id, pos, idx, max(CASE WHEN n_same >= 2 OR length(line) >= 20 THEN pos + n_same END) OVER (
+    PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS covered
+  FROM runs JOIN placed USING (doc_id, pos)),
 cut AS (
-  SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE step IS NULL OR step > 1) AS n_runs, list(idx) AS idxs
-  FROM placed GROUP BY doc_id),
+  SELECT doc_id, count(*) AS n_removed, count(DISTINCT covered) AS n_runs, list(idx) AS idxs
+  FROM reached WHERE covered > pos GROUP BY doc_id),
 counts AS (SELECT doc_id, count(*) AS n_lines FROM lines GROUP BY doc_id),
 texts AS (
   SELECT split.doc_id, string_agg(parts[i], chr(10) ORDER BY i) AS text
