@@ -5,7 +5,7 @@ suffixes of all sequences are sorted by distributed prefix doubling: a rank orde
 them by their first 2^k lines, and the pair (rank here, rank 2^k lines on) orders them
 by twice as many. Suffixes that share a rank after k rounds are an interval of the
 suffix array whose longest common prefix is 2^k lines or more. Suffixes alone in their
-interval are in place and leave the doubling, which ends when none is shared any more.
+interval leave the doubling, which ends when none is shared any more.
 
 Between two levels, ``earlier_runs`` finds how many lines of a suffix stand earlier in the
 corpus: the rank at a place and the rank some lines on name an interval of any prefix
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
-from tidemark.plans.scratch import materialize
+from tidemark.plans.scratch import drop, materialize, scope
 
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
@@ -54,42 +54,29 @@ def line_table(docs: DataFrame, long_line: int) -> DataFrame:
     )
 
 
+def _ranked(rows: DataFrame, by: list[str]) -> DataFrame:
+    """``_row``, ``pos``, ``rest`` and the new ``rank`` of rows that share their values of ``by`` with another row."""
+    groups = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    order = positions(groups, by, "suffix-order").withColumnRenamed("_pos", "_rank")
+    return rows.join(order, by).select("_row", "pos", "rest", F.col("_rank").alias("rank"))
+
+
 def suffix_ranks(lines: DataFrame) -> list[DataFrame]:
     """For k = 0, 1, ... the suffixes (``_row``, ``pos``, ``rest``, ``rank``) whose first 2^k lines another has too.
 
-    The end of a document sorts before every line; suffixes that agree up to their ends stay
-    together. The last frame is the last in which any suffix is still shared."""
-    placed = positions(lines.select("_row", "pos", "h1", "h2"), ["h1", "h2", "_row", "pos"], "line-order")
-    symbols = placed.groupBy("h1", "h2").agg(F.min("_pos").alias("rank"), F.count(F.lit(1)).alias("n"))
-    symbols = materialize(symbols, "line-symbols")
-    current = lines.select("_row", "pos", "rest", "h1", "h2").join(symbols, ["h1", "h2"])
-    current = current.select("_row", "pos", "rest", "rank", "n")
-    current = materialize(current, "line-ranks")
-    alive = current.where("n > 1").select("_row", "pos", "rest", "rank")
-    current = current.drop("n", "rest")
+    Ranks number the intervals of a level in the order of the suffix array. The last frame is the last in which
+    any suffix is still shared. A suffix is shared in the next level only if what follows 2^k lines on is shared in
+    this one, so the lookups stay among shared suffixes."""
+    alive = materialize(_ranked(lines.select("_row", "pos", "rest", "h1", "h2"), ["h1", "h2"]), "suffix-ranks")
     levels, shift = [alive], 1
     while True:
-        ahead = current.select("_row", (F.col("pos") - shift).alias("pos"), F.col("rank").alias("second"))
-        paired = alive.join(ahead, ["_row", "pos"], "left").withColumn("second", F.coalesce("second", F.lit(-1)))
-        paired = positions(paired, ["rank", "second", "_row", "pos"], "suffix-order")
-        pairs = paired.groupBy("rank", "second").agg(F.min("_pos").alias("_at"), F.count(F.lit(1)).alias("n"))
-        pairs = materialize(pairs, "pair-places")
-        lowest = materialize(pairs.groupBy("rank").agg(F.min("_at").alias("_low")), "pair-lowest")
-        # A rank counts the suffixes before it, so the parts of a group stay below the next group.
-        pairs = pairs.join(lowest, "rank").select(
-            "rank", "second", "n", (F.col("rank") + F.col("_at") - F.col("_low")).alias("new")
-        )
-        pairs = materialize(pairs, "pair-ranks")
-        ranked = paired.join(pairs, ["rank", "second"])
-        ranked = materialize(ranked.select("_row", "pos", "rest", F.col("new").alias("rank"), "n"), "suffix-ranks")
-        alive = ranked.where(F.col("n") > 1).where(F.col("rest") >= 2 * shift).select("_row", "pos", "rest", "rank")
+        ahead = alive.where(F.col("pos") >= shift)
+        ahead = ahead.select("_row", (F.col("pos") - shift).alias("pos"), F.col("rank").alias("second"))
+        paired = alive.where(F.col("rest") >= 2 * shift).join(ahead, ["_row", "pos"])
+        alive = materialize(_ranked(materialize(paired, "suffix-pairs"), ["rank", "second"]), "suffix-ranks")
         if alive.isEmpty():
             return levels
         levels.append(alive)
-        renewed = ranked.select("_row", "pos", F.col("rank").alias("new"))
-        current = current.join(renewed, ["_row", "pos"], "left")
-        current = current.select("_row", "pos", F.coalesce("new", "rank").alias("rank"))
-        current = materialize(current, "line-ranks")
         shift *= 2
 
 
@@ -114,10 +101,13 @@ def earlier_runs(lines: DataFrame, levels: list[DataFrame]) -> DataFrame:
     entries = members.withColumn("_top", top).where("_top IS NULL OR level >= _top")
     length = F.expr("shiftleft(1, level)")
     columns = ["level", "place", "_row", "pos", "group", "m", "asks"]
-    entries = materialize(entries.withColumn("m", length).select(*columns), "run-entries")
+    waiting = materialize(entries.withColumn("m", length).select(*columns), "run-entries")
+    entries = waiting.where(F.lit(False))
     for j in reversed(range(len(levels) - 1)):
         on = F.col("pos") + F.col("m") + (1 << j) - length
         ahead = _levels(levels, j + 1).select("level", "_row", F.col("pos").alias("_on"), F.col("rank").alias("second"))
+        # Entries of a level take part from the step that halves its lengths on.
+        entries = entries.unionByName(waiting.where(F.col("level") == j + 1))
         tried = entries.withColumn("_on", on).join(ahead, ["level", "_row", "_on"], "left").drop("_on")
         tried = materialize(tried, "run-tries")
         found = tried.where("second IS NOT NULL").groupBy("m", "group", "second").agg(
@@ -132,6 +122,7 @@ def earlier_runs(lines: DataFrame, levels: list[DataFrame]) -> DataFrame:
         after = F.array_compact(F.array(F.when(leads, stays), F.when(F.col("wanted"), moves)))
         entries = tried.select("level", "place", "_row", "pos", F.explode(after).alias("_s"))
         entries = materialize(entries.select("level", "place", "_row", "pos", "_s.*"), "run-entries")
+    entries = entries.unionByName(waiting.where("level = 0"))
     return entries.where("asks").select("_row", "pos", F.col("m").alias("n_same"))
 
 
@@ -155,7 +146,10 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", min_lines: int = 2, long_li
     base = docs.select(*carried, F.col("text").alias("text"), F.col(key).alias("_key"))
     base = materialize(base.withColumn("_row", F.monotonically_increasing_id()).drop(f"_{kept.index('text')}"), "docs")
     lines = materialize(line_table(base, long_line), "lines")
-    runs = earlier_runs(lines, suffix_ranks(lines)).join(lines, ["_row", "pos"])
+    with scope(docs.sparkSession, "suffix-array") as folder:
+        runs = earlier_runs(lines, suffix_ranks(lines))
+    runs = materialize(runs, "line-runs").join(lines, ["_row", "pos"])
+    drop(docs.sparkSession, folder)
     reach = F.when((F.col("n_same") >= min_lines) | F.col("long"), F.col("pos") + F.col("n_same"))
     # Every line of a run is one that stands earlier too, so these rows hold all that a run covers.
     before = Window.partitionBy("_row").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
