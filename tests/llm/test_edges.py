@@ -1,5 +1,6 @@
 """Nulls, empty and very long texts, ties and repeated rows, empty tables and columns whose names could clash."""
 
+import time
 import math
 
 import brute
@@ -460,6 +461,44 @@ def test_page_marks_in_words_of_wrappers(spark):
     assert page_texts(spark, sources) == [*[("story " + f"{i} goes on and on " * 20).strip() for i in range(11)], "story cut"]
 
 
+def test_page_elements_around_and_in_the_article(spark):
+    """A form around the page, the header of an article and inline elements keep the article's text; plain forms go."""
+    story = lambda i: f"<h1>Story {i}</h1><p>{f'story {i} goes <b>on</b> and <i>on</i>, ' * 8}</p>"
+    text = lambda i: f"Story {i}\n" + (f"story {i} goes on and on, " * 8).strip()
+    around = "<body><form id=aspnet><div class=text>{}</div><div class=footer>Imprint</div></form></body>"
+    assert page_texts(spark, [around.format(story(i)) for i in range(12)]) == [text(i) for i in range(12)]
+    assert "\n".join(pages.main_blocks(around.format(story(3)), None, set())) == text(3)
+    assert pages.main_blocks("<body><form>Your name <input> and more</form></body>", None, set()) == []
+    assert pages.main_blocks("<body><p>It is short</p><form>Your <b>name</b> here</form></body>", None, set()) == ["It is short"]
+    headed = "<article><header class=entry-header><h1>Head</h1><span>by us</span><nav><h2>No</h2></nav></header><p>text</p></article>"
+    assert pages.main_blocks(headed, None, set()) == ["Head", "text"]
+    assert pages.main_blocks("<header><h1>Site</h1></header><p>text</p>", None, set()) == ["text"]
+    inline = "<p>a <label>b</label> c<b>d</b>e <span class=share>f <i>g</i></span><svg/>h</p>"
+    assert pages.main_blocks(inline, None, set()) == ["a cde h"]
+
+
+def test_page_comments_longer_than_the_article(spark):
+    story = lambda i: f"<article><h1>Story {i}</h1><p>{f'story {i} goes on ' * 4}</p></article>"
+    text = lambda i: f"Story {i}\n" + (f"story {i} goes on " * 4).strip()
+    for word in ("commentlist", "c7"):
+        said = lambda i: "".join(f"<li><p>{f'reader {i + k} thinks so ' * 9}</p></li>" for k in range(4))
+        sources = [f"<body><main>{story(i)}<ol class={word}>{said(i)}</ol></main></body>" for i in range(12)]
+        assert page_texts(spark, sources) == [text(i) for i in range(12)], word
+
+
+def test_page_markup_is_read_once():
+    """Markup that never ends, quotes that never end and elements without end take time in proportion to the page."""
+    begin = time.monotonic()
+    n = 50_000
+    for odd in ("<a ", "<script ", "<!", "<div>", "<li>", "<b>", "<a \">\"", "<a '", "<div class=ad>", "</script", "<svg>", "<x y='>"):
+        pages.parse("<p>start</p>" + odd * n + "<p>end")
+    assert time.monotonic() - begin < 60
+    assert [b.text for b in pages.parse("<div>" * n + "deep" + "</div>" * n + "<p>end").blocks] == ["deep", "end"]
+    assert [b.text for b in pages.parse("<p>a < b</p><p title='x>y'>c</p><p title=\"z>d").blocks] == ["a < b", "c", "d"]
+    assert [b.text for b in pages.parse("<p>a<!-- <p>no").blocks] == ["a"]
+    assert [b.text for b in pages.parse("a <b").blocks] == ["a <b"]
+
+
 def test_stages_keep_null_and_repeated_ids(spark):
     """Rows without an id and different texts under one id are documents of their own in both stages."""
     text = lambda k: " ".join(f"{k}w{i}" for i in range(40))

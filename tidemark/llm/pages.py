@@ -39,7 +39,7 @@ BLOCK = frozenset(
     "tbody tfoot thead title tr ul".split()
 )
 HIDDEN = (
-    "audio button canvas datalist dialog footer form head header iframe input label math nav noscript object select svg "
+    "audio button canvas datalist dialog footer head header iframe input label math nav noscript object select svg "
     "template textarea title video aside menu"
 )
 FURNITURE = frozenset(HIDDEN.split())
@@ -50,21 +50,24 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "opt
 MARKS = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|alert|popup|modal|newsletter|subscribe|"
     r"sidebar|side|widget|menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|toolbar|header|masthead|footer|"
-    r"comments?|disqus|replies|reply|respond|share|sharing|social|related|recommended|login|signup|search|complementary|"
-    r"contentinfo)(?:$|[\s_-])",
+    r"comment(?:s|list|lists|area|form)?|disqus|replies|reply|respond|share|sharing|social|related|recommended|login|signup|search|"
+    r"complementary|contentinfo)(?:$|[\s_-])",
     re.I,
 )
-TAG = re.compile(
-    r"<!--.*?(?:-->|$)|<(script|style|noscript|template|iframe|textarea|svg|math|xmp)\b[^>]*>.*?(?:</\1\s*>|$)"
-    r"|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S | re.I,
-)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+# Elements whose content is not markup, up to their end tag.
+RAW = {name: re.compile(f"</{name}\\s*>", re.I) for name in "script style noscript template iframe textarea svg math xmp".split()}
+NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+STOP = re.compile("[>\"']")
+# Elements nested deeper than this open nothing of their own, as in browsers; their text stays.
+DEPTH = 512
 ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 ARTICLE, MAIN = 2, 1
 # Path steps of articles and mains.
 ARTICLE_STEP = r"article(?:[.#@]|$)|.*@article$"
 REGION_STEP = r"(?:article|main)(?:[.#@]|$)|.*@(?:article|main)$"
 IS_ARTICLE = re.compile(ARTICLE_STEP, re.S)
+IS_ITEM = re.compile(r"/li(?:[.#@/]|$)")
 
 
 @dataclass
@@ -89,24 +92,27 @@ class _Open:
     region: int
     link: bool
     marks: tuple[tuple[int, str], ...] = ()
+    titled: bool = False  # the header of an article, whose headings belong to it
 
 
 @dataclass
 class Page:
     blocks: list[Block] = field(default_factory=list)
-    tags: list[str] = field(default_factory=list)
+    tags: Counter[str] = field(default_factory=Counter)
     wraps: dict[int, int] = field(default_factory=dict)  # the articles or mains in a marked element
     regions: bool = False
 
 
 # Elements that no word marks.
 UNMARKED = frozenset({"html", "body", "main", "article"})
-COMPOUND, PLAIN = 1, 2
+COMPOUND, PLAIN, BARE = 1, 2, 3
+# The share of the page's text from which on a mark is forgotten; a form without a paragraph or heading keeps its mark.
+SHARE = {COMPOUND: 0.5, PLAIN: 0.9, BARE: 1.0}
 
 
 def _label(name: str, rest: str) -> tuple[str, bool, int, int]:
-    """Path step of a start tag, whether it is furniture, the region it opens, and whether a word marks it (in a compound or plain)."""
-    furniture, region, step, said, words = name in FURNITURE, 0, name, "", 0
+    """Path step of a start tag, whether it is furniture, the region it opens, and what marks it (a compound or plain word, or being a form)."""
+    furniture, region, step, said, words = name in FURNITURE, 0, name, "", BARE if name == "form" else 0
     if name == "article":
         region = ARTICLE
     elif name == "main":
@@ -129,7 +135,7 @@ def _label(name: str, rest: str) -> tuple[str, bool, int, int]:
 
 
 def _drop_marks(page: Page, strength: dict[int, int]) -> None:
-    """Forget marks of elements around a main, and of those that hold most of the page's text (of a plain word: nine tenths).
+    """Forget marks of elements around a main, and of those that hold most of the page's text (plain words and forms: nine tenths).
 
     On a page with articles or mains only elements in or around these can."""
     held, near, whole = Counter(), set(page.wraps), 0
@@ -141,66 +147,115 @@ def _drop_marks(page: Page, strength: dict[int, int]) -> None:
                 held[number] += own
                 if b.region:
                     near.add(number)
-    most = {n for n, own in held.items() if own > whole * (0.5 if strength[n] == COMPOUND else 0.9)}
+    most = {n for n, own in held.items() if own > whole * SHARE[strength[n]]}
     lifted = {n for n, region in page.wraps.items() if region == MAIN} | (most & near if page.regions else most)
     for b in page.blocks:
         b.marks = tuple(m for m in b.marks if m[0] not in lifted)
 
 
+def _markup(source: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """Start, end, lower-case name (of comments and the like: empty), whether it is an end tag, and the rest of each piece of markup.
+
+    Reads the source once. A raw element is one piece named ``!``. A ``>`` in quotes does not end a tag; from the first tag on
+    whose quotes never end, quotes mean nothing. Without a further ``>`` the rest is text."""
+    at, quotes = 0, True
+    while True:
+        start = source.find("<", at)
+        if start < 0:
+            return
+        if source.startswith("<!--", start):
+            stop = source.find("-->", start + 4)
+            end = len(source) if stop < 0 else stop + 3
+            yield start, end, "", False, ""
+            at = end
+            continue
+        named = NAME.match(source, start)
+        if not named and source[start + 1 : start + 2] not in ("!", "?"):
+            at = start + 1
+            continue
+        end = source.find(">", start) + 1
+        if not end:
+            return
+        if not named:
+            yield start, end, "", False, ""
+            at = end
+            continue
+        if quotes:
+            stop = STOP.search(source, named.end())
+            while stop and stop[0] != ">":
+                closing = source.find(stop[0], stop.end())
+                stop = STOP.search(source, closing + 1) if closing >= 0 else None
+            quotes = stop is not None
+            end = stop.end() if stop else end
+        name, closes = named[1].lower(), source[start + 1] == "/"
+        at = end
+        if name in RAW and not closes:
+            # A drawing may end in its start tag.
+            if name not in ("svg", "math") or source[end - 2] != "/":
+                stop = RAW[name].search(source, end)
+                at = stop.end() if stop else len(source)
+            name = "!"
+        yield start, at, name, closes, source[named.end() : end - 1]
+
+
 def parse(source: str | None) -> Page:
-    """Blocks and start tags of a page, in order. Never fails: what is not markup is text, what stays open ends with its parent."""
+    """Blocks and start tags of a page, in order. Never fails: what is not markup is text, what stays open ends with its parent.
+
+    Text of an inline element that is furniture or marked leaves its block and becomes a block of its own."""
     page, source = Page(), source or ""
     stack = [_Open("", "", False, 0, False)]
-    pieces: list[str] = []
-    linked = 0
+    opened: Counter[str] = Counter()
+    # Text since the last block began or ended, each with the innermost element around it and how much of it is a link.
+    pieces: list[tuple[str, _Open, int]] = []
     strength: dict[int, int] = {}
 
     def flush() -> None:
-        nonlocal linked
-        if pieces:
-            text = " ".join("".join(pieces).split())
+        parts: dict[tuple, list[tuple[str, int]]] = {}
+        for text, o, linked in pieces:
+            parts.setdefault((o.furniture, o.region, o.marks), []).append((text, linked))
+        for (furniture, region, marks), held in parts.items():
+            text = " ".join("".join(t for t, _ in held).split())
             if text:
-                top = stack[-1]
-                page.blocks.append(Block(top.path, top.furniture, top.region, text, linked, top.marks))
+                page.blocks.append(Block(stack[-1].path, furniture, region, text, sum(n for _, n in held), marks))
         pieces.clear()
-        linked = 0
 
     def add(text: str) -> None:
-        nonlocal linked
         text = entities.unescape(text)
-        pieces.append(text)
-        if stack[-1].link:
-            linked += len(text)
+        pieces.append((text, stack[-1], len(text) if stack[-1].link else 0))
 
-    def close(names: set[str], stops: frozenset[str]) -> None:
+    def close(names: set[str], stops: frozenset[str], block: bool = True) -> None:
         for at in range(len(stack) - 1, 0, -1):
             if stack[at].name in names:
-                flush()
+                if block:
+                    flush()
+                opened.subtract(o.name for o in stack[at:])
                 del stack[at:]
                 return
             if stack[at].name in stops:
                 return
 
     end = 0
-    for m in TAG.finditer(source):
-        if m.start() > end:
-            add(source[end : m.start()])
-        end = m.end()
-        name = (m[3] or "").lower()
+    for start, stop, name, closes, rest in _markup(source):
+        if start > end:
+            add(source[end:start])
+        end = stop
         if not name:
-            pieces.append("" if m[0].startswith(("<!", "<?")) else " ")
             continue
-        if m[2]:
+        if name == "!":
+            pieces.append((" ", stack[-1], 0))
+            continue
+        if closes:
             if name in BLOCK:
                 flush()
-            if any(o.name == name for o in stack):
+            if opened[name] > 0:
                 # Inline ends stay within their block; block ends close what is open inside.
-                close({name}, frozenset() if name in BLOCK else BLOCK)
+                close({name}, frozenset() if name in BLOCK else BLOCK, name in BLOCK)
             continue
         if name in VOID:
             if name == "hr":
                 flush()
-            pieces.append(" " if name == "br" else "")
+            if name == "br":
+                pieces.append((" ", stack[-1], 0))
             continue
         if name in BLOCK:
             flush()
@@ -209,26 +264,36 @@ def parse(source: str | None) -> Page:
         if name in ENDS:
             close(ENDS[name], frozenset({"ul", "ol", "dl", "table", "select", "menu"}))
         if name in ("td", "th"):
-            pieces.append(" ")
-        step, marked, region, words = _label(name, m[4])
+            pieces.append((" ", stack[-1], 0))
+        if len(stack) > DEPTH:
+            continue
+        step, marked, region, words = _label(name, rest)
         top = stack[-1]
         # An inline step is not part of the path: text keeps the path of its block.
         path = f"{top.path}/{step}" if name in BLOCK else top.path
-        furniture, marks = top.furniture or marked, top.marks
-        if words:
+        titles = name == "header" and top.region == ARTICLE and not top.furniture
+        furniture = marked or top.furniture and not (top.titled and name in HEADINGS)
+        marks = top.marks
+        if name in HEADINGS or name in ("p", "article", "main"):
+            for number, _ in marks:
+                if strength[number] == BARE:
+                    strength[number] = PLAIN
+        if words and not titles:
             # The mark of an inline element is its own, not that of its block.
             number = len(strength)
             strength[number] = words
             marks = (*marks, (number, path if name in BLOCK else f"{path}/{step}"))
         if name in BLOCK:
-            page.tags.append(path)
+            page.tags[path] += 1
         elif words or furniture and not top.furniture:
-            flush()
+            pieces.append((" ", top, 0))
         if region and not furniture:
             page.regions = True
             # Teasers are articles too, but a main is one.
             page.wraps.update((n, min(region, page.wraps.get(n, region))) for n, _ in marks)
-        stack.append(_Open(name, path, furniture, max(top.region, region), top.link or name == "a", marks))
+        titled = titles or top.titled and not marked
+        opened[name] += 1
+        stack.append(_Open(name, path, furniture, max(top.region, region), top.link or name == "a", marks, titled))
     if end < len(source):
         add(source[end:])
     flush()
@@ -240,14 +305,15 @@ def _number(*parts: str) -> int:
     return int.from_bytes(hashlib.blake2b("\x00".join(parts).encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
-def _host(url: str | None) -> str:
-    m = re.match(r"\s*(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", url or "")
-    return m[1].lower() if m else ""
+def hosted(pages: DataFrame) -> DataFrame:
+    """``pages`` with the lower-case ``host`` of their url; empty without one."""
+    authority = F.regexp_extract("url", r"^\s*(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)
+    return pages.withColumn("host", F.coalesce(F.lower(authority), F.lit("")))
 
 
 def page_tokens(pages: DataFrame) -> DataFrame:
-    """Summed tokens: ``host``, ``token``, ``path`` (of a tag; null for text), ``at`` (the tag of a text), ``pages``, ``total``,
-    ``vector`` and ``mass``.
+    """Summed tokens of pages with ``host`` and ``html``: ``host``, ``token``, ``path`` (of a tag; null for text), ``at`` (the tag
+    of a text), ``pages``, ``total``, ``vector`` and ``mass``.
 
     Pages with the same blocks outside of furniture count once, so copies of an article do not look like a template. Pages
     without tags have no say in one."""
@@ -257,7 +323,7 @@ def page_tokens(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for url, source in zip(pdf["url"], pdf["html"]):
+            for host, source in zip(pdf["host"], pdf["html"]):
                 page = parse(source)
                 if not page.tags:
                     continue
@@ -267,15 +333,15 @@ def page_tokens(pages: DataFrame) -> DataFrame:
                     text[b.path, b.text] += 1
                     chars[b.path, b.text] += own
                     mass[b.path] += own
-                found = [(_number("tag", p), p, 0, n, mass[p]) for p, n in Counter(page.tags).items()]
+                found = [(_number("tag", p), p, 0, n, mass[p]) for p, n in page.tags.items()]
                 found += [(_number("text", *t), None, _number("tag", t[0]), n, chars[t]) for t, n in text.items()]
                 found.append((0, "", 0, 1, 0))  # the page itself
                 held = [x for b in page.blocks if not b.furniture and not b.marks for x in (b.path, b.text)]
-                rows.append((_host(url), _number("page", *held), [dict(zip(names, x)) for x in found]))
+                rows.append((host, _number("page", *held), [dict(zip(names, x)) for x in found]))
             yield pd.DataFrame(rows, columns=["host", "digest", "items"])
 
     names = [x.split()[0] for x in item.split(", ")]
-    rows = pages.select("url", "html").mapInPandas(run, schema)
+    rows = pages.select("host", "html").mapInPandas(run, schema)
     distinct = rows.groupBy("host", "digest").agg(F.min("items").alias("items"))
     flat = distinct.select("host", "digest", F.inline("items"))
     return flat.groupBy("host", "token").agg(
@@ -295,8 +361,10 @@ def article_group(path: str, root: str) -> str | None:
 
 
 def _article_groups(tags: DataFrame) -> DataFrame:
-    """``host``, ``grp`` (null: outside of articles), ``pages``, ``total`` and ``mass`` of the articles in each host's ``root``."""
-    schema = "host string, grp string, pages long, total long, mass long"
+    """``host``, ``grp`` (null: outside of articles), ``pages``, ``total`` and ``mass`` of the articles in each host's ``root``.
+
+    ``listed`` is the part of the mass that items of lists outside of articles hold."""
+    schema = "host string, grp string, pages long, total long, mass long, listed long"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -304,12 +372,13 @@ def _article_groups(tags: DataFrame) -> DataFrame:
             for host, path, root, pages, total, mass in zip(*(pdf[c] for c in columns)):
                 group = article_group(path, root)
                 opens = group is not None and article_group(path.rpartition("/")[0], root) is None
-                rows.append((host, group, pages if opens else 0, total if opens else 0, mass))
+                listed = mass if group is None and IS_ITEM.search(path[len(root) :]) else 0
+                rows.append((host, group, pages if opens else 0, total if opens else 0, mass, listed))
             yield pd.DataFrame(rows, columns=schema.replace(",", "").split()[::2])
 
     columns = ["host", "path", "root", "pages", "total", "mass"]
     rows = tags.select(*columns).mapInPandas(run, schema)
-    return rows.groupBy("host", "grp").agg(*[F.sum(c).alias(c) for c in ("pages", "total", "mass")])
+    return rows.groupBy("host", "grp").agg(*[F.sum(c).alias(c) for c in ("pages", "total", "mass", "listed")])
 
 
 def templates(tokens: DataFrame, least_pages: int) -> DataFrame:
@@ -318,10 +387,11 @@ def templates(tokens: DataFrame, least_pages: int) -> DataFrame:
 
     Tokens of one vector are a class. A class is valid if it is frequent (on ``least_pages`` pages and half of the host's) and
     has a tag. Text in a valid class comes with a tag wherever that occurs, so it belongs to the template; all other text varies.
-    Root elements occur once on nine tenths of the pages and never twice. The deepest that holds nine tenths of the varying text
-    is the slot of the article; for an article or main half of it is enough, and what is deduced inside of one is widened to it.
+    Root elements occur once on nine tenths of the pages and never twice; paragraphs and headings are none. The deepest that holds
+    nine tenths of the varying text is the slot of the article; for an article or main half of it is enough, and what is deduced inside of one is widened to it.
     In the slot the articles are held against the text outside of them: if one group of articles has most text, it alone is
-    taken, and if not, groups that come several to a page are teasers."""
+    taken, and if not, groups that come several to a page are teasers. Lists do not count against an article that a page has once.
+    Each constant token is on half of a host's pages, so a host has at most twice as many as a page has on average."""
     size = tokens.where("token = 0").select("host", F.col("pages").alias("size"))
     size = materialize(size, "hosts")
     frequent = (F.col("pages") >= least_pages) & (2 * F.col("pages") >= F.col("size"))
@@ -339,7 +409,8 @@ def templates(tokens: DataFrame, least_pages: int) -> DataFrame:
     around = tags.where("mass > 0").select("host", "mass", F.explode(prefix).alias("path"))
     around = around.groupBy("host", "path").agg(F.sum("mass").alias("mass"))
     once = (F.col("total") == F.col("pages")) & (10 * F.col("pages") >= 9 * F.col("size"))
-    held = tags.where(once).select("host", "path").join(around, ["host", "path"])
+    holds = ~F.element_at(steps, -1).rlike(r"^(?:p|h[1-6]|pre|blockquote)(?:[.#@]|$)")
+    held = tags.where(once & holds).select("host", "path").join(around, ["host", "path"])
     held = materialize(held.withColumn("region", F.element_at(steps, -1).rlike(f"^(?:{REGION_STEP})")), "page-roots")
     whole = around.groupBy("host").agg(F.max("mass").alias("most"))
     deep = held.join(whole, "host").where("mass >= 0.9 * most OR (region AND mass >= 0.5 * most)")
@@ -355,11 +426,16 @@ def templates(tokens: DataFrame, least_pages: int) -> DataFrame:
     open_ = root.where(~F.element_at(F.split("root", "/"), -1).rlike(f"^(?:{ARTICLE_STEP})"))
     within = F.startswith(F.concat("path", F.lit("/")), F.concat("root", F.lit("/")))
     groups = materialize(_article_groups(tags.join(open_, "host").where(within)), "page-articles").join(size, "host")
-    best = groups.groupBy("host").agg(F.max(F.struct("mass", F.col("grp").isNull().alias("_rest"), "grp")).alias("b"))
-    several = F.col("grp").isNotNull() & (F.greatest(F.col("total") - F.col("pages"), F.col("total") - F.col("size")) > 0)
-    choice = groups.join(best, "host").groupBy("host").agg(
-        F.first("b.grp").alias("only"), F.collect_set(F.when(several, F.col("grp"))).alias("besides")
+    several = F.greatest(F.col("total") - F.col("pages"), F.col("total") - F.col("size")) > 0
+    article, besides = F.col("grp").isNotNull(), F.when(F.col("grp").isNotNull() & several, F.col("grp"))
+    choice = groups.groupBy("host").agg(
+        F.max(F.when(article, F.struct("mass", "grp", several.alias("several")))).alias("best"),
+        F.coalesce(F.sum(F.when(~article, F.col("mass"))), F.lit(0)).alias("rest"), F.sum("listed").alias("listed"),
+        F.collect_set(besides).alias("besides"),
     )
+    # Comments are items of a list beside the one article.
+    against = F.col("rest") - F.when(F.col("best.several"), 0).otherwise(F.col("listed"))
+    choice = choice.select("host", F.when(F.col("best.mass") > against, F.col("best.grp")).alias("only"), "besides")
     constant = constant.groupBy("host").agg(F.collect_set("token").alias("constant"))
     return size.select("host").join(root, "host", "left").join(choice, "host", "left").join(constant, "host", "left")
 
@@ -397,8 +473,9 @@ def extract(pages: DataFrame, key: str = "page_id", least_pages: int = 10) -> Da
     Blocks of the main text are joined by one line feed; inside a block white space is one space. Null, empty and
     textless pages have an empty text and 0 characters. Pages without a host share one. A host with fewer than
     ``least_pages`` pages of different content has no template; its pages are read by their marks alone. A null or repeated key is a row like any
-    other. An empty table gives no rows; other columns are not read.
+    other. An empty table gives no rows; other columns are not read. Time and memory of a page grow with its length, whatever it holds.
     """
+    pages = hosted(pages.select(key, "url", "html"))
     tokens = materialize(page_tokens(pages), "page-tokens")
     found = materialize(templates(tokens, least_pages), "templates")
     schema = T.StructType(
@@ -418,9 +495,7 @@ def extract(pages: DataFrame, key: str = "page_id", least_pages: int = 10) -> Da
             yield pd.DataFrame(rows, columns=schema.names).astype({key: pdf[key].dtype})
 
     columns = [key, "url", "html", "host", "root", "only", "besides", "constant"]
-    authority = F.regexp_extract("url", r"^\s*(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)
-    hosted = pages.select(key, "url", "html").withColumn("host", F.coalesce(F.lower(authority), F.lit("")))
-    return hosted.join(found, "host", "left").select(*columns).mapInPandas(run, schema)
+    return pages.join(found, "host", "left").select(*columns).mapInPandas(run, schema)
 
 
 def pages_query(spark, folder: str) -> DataFrame:
