@@ -367,6 +367,25 @@ def test_vectors(spark):
     assert found == {i: (count[i], low[i], low[i] == i) for i in low}
 
 
+def test_vector_labels_and_repeated_ids(spark):
+    """Labels of any type keep vectors apart; vectors under one id are rows of their own."""
+    a, b, c = [1.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0], [1.0, 0.01, 0.0, 0.0]
+    for x, y, kind in (("red", "blue", "string"), (1.2, 1.7, "double")):
+        rows = [(9, a, x), (2, a, y), (3, c, x), (4, c, y), (5, b, x), (5, a, x)]
+        found = vectors.near_vectors(spark.createDataFrame(rows, f"vec_id long, embedding array<double>, label {kind}")).collect()
+        want = [(2, 1, 2, True), (3, 2, 3, True), (4, 1, 2, False), (5, 0, 5, True), (5, 2, 3, False), (9, 2, 3, False)]
+        assert sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in found) == want
+
+
+def test_shards_keep_columns_of_any_name(spark):
+    rows = [(i, i % 5, "a" * i) for i in range(40)]
+    names = ["_row", "_size", "_tie", "_part", "_before", "_total", "_first", "c0"]
+    df = spark.createDataFrame(rows, "doc_id long, k long, text string").withColumns({n: F.col("doc_id") * 7 for n in names})
+    found = sharding.assign_shards(df, ["doc_id"], F.col("k") + 1, 4).collect()
+    assert sorted(found[0].asDict()) == sorted([*df.columns, "shard", "slot"])
+    assert len(found) == 40 and all(r[n] == r["doc_id"] * 7 for r in found for n in names)
+
+
 def test_vector_blocks(spark, monkeypatch):
     """A cell far above the block size is counted in block pairs, each pair of vectors once."""
     from tidemark.llm import blocks

@@ -38,9 +38,13 @@ def assign_shards(df: DataFrame, order: Sequence[str], size: Column, shards: int
     Columns named ``shard`` or ``slot`` are replaced. An empty table gives no rows.
     Only the columns of ``df`` travel: pass the few that are wanted, not the texts.
     """
-    kept = [c for c in df.columns if c not in ("shard", "slot")]
-    sized = df.withColumns({"_size": size.cast("long"), "_tie": F.monotonically_increasing_id()})
-    placed = sized.repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie")
+    # Columns travel under numbers, so no name of theirs can clash.
+    kept = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    sized = df.select(
+        *[F.col(f"`{c}`").alias(n) for c, n in kept.items()], size.cast("long").alias("_size"), F.monotonically_increasing_id().alias("_tie")
+    )
+    by = [*(kept[c] for c in order), "_tie"]
+    placed = sized.repartitionByRange(*by).sortWithinPartitions(*by)
     placed = placed.withColumn("_part", F.spark_partition_id())
     schema = with_fields(placed, [("_before", T.LongType()), ("_row", T.LongType())])
     placed = materialize(placed.mapInPandas(_running, schema), "shard-order")
@@ -64,7 +68,8 @@ def assign_shards(df: DataFrame, order: Sequence[str], size: Column, shards: int
     # At most ``shards`` rows.
     first = numbered.groupBy("shard").agg(F.min("_row").alias("_first"))
     out = numbered.join(F.broadcast(first), "shard")
-    return out.select(*kept, "shard", (F.col("_row") - F.col("_first")).alias("slot"))
+    back = [F.col(n).alias(c) for c, n in kept.items() if c not in ("shard", "slot")]
+    return out.select(*back, "shard", (F.col("_row") - F.col("_first")).alias("slot"))
 
 
 def write_shards(df: DataFrame, path: str) -> None:

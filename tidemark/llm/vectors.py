@@ -122,19 +122,22 @@ def near_vectors(
 
     Vectors of one label and length are linked if their cosine is at least ``least``. Null vectors, vectors with null or
     non-finite components, zero vectors and those with a null label or key have no links. Rows with equal label and
-    vector are linked to each other; an id has one vector. With the defaults a pair at cosine 0.98 in 64
+    vector are linked to each other. Labels may be of any type that can be grouped; vectors under one id are rows of their own. With the defaults a pair at cosine 0.98 in 64
     dimensions is missed by a table with a chance of 0.07, by all eight with less than 1 in 10^9. More ``polytopes`` make
     cells smaller for larger tables. An empty table gives no rows; other columns are not read.
     """
-    rows = materialize(
-        vectors.select(F.col(key).alias("id"), F.col(vector).alias("vector"), F.col(label).alias("label")), "vectors"
-    )
+    columns = [F.col(key).alias("id"), F.col(vector).alias("vector"), F.col(label).alias("label")]
+    rows = materialize(vectors.select(F.monotonically_increasing_id().alias("row"), *columns), "vectors")
     finite = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v.cast("double")) < float("inf")))
     good = rows.where("id IS NOT NULL AND label IS NOT NULL AND vector IS NOT NULL")
     good = good.where(finite).where(F.exists("vector", lambda v: v != 0))
-    reps = good.groupBy("label", "vector").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("weight"))
-    reps = materialize(reps.withColumn("d", F.size("vector")), "vectors-distinct")
-    cell_schema = "label long, d int, node long, t int, cell long, home boolean"
+    reps = good.groupBy("label", "vector").agg(
+        F.min("row").alias("node"), F.min("id").alias("first"), F.count(F.lit(1)).alias("weight")
+    )
+    # A label is known by the first row that has it.
+    known = good.groupBy("label").agg(F.min("row").alias("of"))
+    reps = materialize(reps.join(known, "label").withColumn("d", F.size("vector")), "vectors-distinct")
+    cell_schema = "of long, d int, node long, t int, cell long, home boolean"
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -145,7 +148,7 @@ def near_vectors(
                     each = tables * probes
                     out = pd.DataFrame(
                         {
-                            "label": np.repeat(some["label"].to_numpy(), each),
+                            "of": np.repeat(some["of"].to_numpy(), each),
                             "d": np.repeat(some["d"].to_numpy(), each),
                             "node": np.repeat(some["node"].to_numpy(), each),
                             "t": np.tile(np.repeat(np.arange(tables), probes), len(some)),
@@ -155,8 +158,8 @@ def near_vectors(
                     )
                     yield out.drop_duplicates(["node", "t", "cell"])
 
-    by = ["label", "d", "t", "cell"]
-    looks = reps.select(F.col("label").cast("long").alias("label"), "d", "node", "vector").mapInPandas(place, cell_schema)
+    by = ["of", "d", "t", "cell"]
+    looks = reps.select("of", "d", "node", "vector").mapInPandas(place, cell_schema)
     looks = materialize(looks, "cells")
     busy = looks.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.max("home").alias("h")).where("n > 1 AND h").drop("h")
     busy = materialize(busy, "cells-busy")
@@ -168,13 +171,15 @@ def near_vectors(
     )
     found = materialize(found, "vector-links")
     links = found.groupBy("a").agg(F.sum("links").alias("links"))
-    parts = connected_components(found.select("a", "b"))
+    parts = connected_components(found.select("a", "b")).join(reps.select(F.col("node").alias("id"), "first"), "id", "right")
+    parts = parts.select("id", "first", F.coalesce("component_id", "id").alias("part"))
+    parts = materialize(parts, "vector-parts")
+    lowest = parts.groupBy("part").agg(F.min("first").alias("component_id"))
+    parts = parts.join(lowest, "part").select("id", "component_id")
 
-    of_rep = reps.join(links, reps["node"] == links["a"], "left").join(parts, reps["node"] == parts["id"], "left")
+    of_rep = reps.join(links, reps["node"] == links["a"], "left").join(parts, reps["node"] == parts["id"])
     of_rep = of_rep.select(
-        "label", "vector",
-        (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-        F.coalesce("component_id", "node").alias("component_id"),
+        "label", "vector", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id"
     )
     of_rep = materialize(of_rep, "vector-results")
     out = rows.join(of_rep, ["label", "vector"], "left")
