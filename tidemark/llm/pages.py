@@ -46,6 +46,8 @@ FURNITURE = frozenset(HIDDEN.split())
 CLOSES_P = BLOCK - {"body", "head", "html", "option", "legend"}
 # An element ends an open one of these when it starts (itself, unless listed otherwise).
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "option": {"option"}}
+NOT_P = BLOCK - {"p"}
+LISTS = frozenset({"ul", "ol", "dl", "table", "select", "menu"})
 # Words in a class, id or role that mark page furniture.
 MARKS = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|alert|popup|modal|newsletter|subscribe|"
@@ -57,7 +59,7 @@ MARKS = re.compile(
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 # Elements whose content is not markup, up to their end tag.
 RAW = {name: re.compile(f"</{name}\\s*>", re.I) for name in "script style noscript template iframe textarea svg math xmp".split()}
-NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)([^>\"']*)(>?)")
 STOP = re.compile("[>\"']")
 # Elements nested deeper than this open nothing of their own, as in browsers; their text stays.
 DEPTH = 512
@@ -173,14 +175,14 @@ def _markup(source: str) -> Iterator[tuple[int, int, str, bool, str]]:
         if not named and source[start + 1 : start + 2] not in ("!", "?"):
             at = start + 1
             continue
-        end = source.find(">", start) + 1
+        end = named.end() if named and named[3] else source.find(">", start) + 1
         if not end:
             return
         if not named:
             yield start, end, "", False, ""
             at = end
             continue
-        if quotes:
+        if quotes and not named[3]:
             stop = STOP.search(source, named.end())
             while stop and stop[0] != ">":
                 closing = source.find(stop[0], stop.end())
@@ -195,7 +197,7 @@ def _markup(source: str) -> Iterator[tuple[int, int, str, bool, str]]:
                 stop = RAW[name].search(source, end)
                 at = stop.end() if stop else len(source)
             name = "!"
-        yield start, at, name, closes, source[named.end() : end - 1]
+        yield start, at, name, closes, source[named.end(1) : end - 1]
 
 
 def parse(source: str | None) -> Page:
@@ -204,12 +206,20 @@ def parse(source: str | None) -> Page:
     Text of an inline element that is furniture or marked leaves its block and becomes a block of its own."""
     page, source = Page(), source or ""
     stack = [_Open("", "", False, 0, False)]
-    opened: Counter[str] = Counter()
+    opened: dict[str, int] = {}
     # Text since the last block began or ended, each with the innermost element around it and how much of it is a link.
     pieces: list[tuple[str, _Open, int]] = []
     strength: dict[int, int] = {}
 
     def flush() -> None:
+        if not pieces:
+            return
+        if len(pieces) == 1:
+            text, o, linked = pieces.pop()
+            text = " ".join(text.split())
+            if text:
+                page.blocks.append(Block(stack[-1].path, o.furniture, o.region, text, linked, o.marks))
+            return
         parts: dict[tuple, list[tuple[str, int]]] = {}
         for text, o, linked in pieces:
             parts.setdefault((o.furniture, o.region, o.marks), []).append((text, linked))
@@ -228,7 +238,8 @@ def parse(source: str | None) -> Page:
             if stack[at].name in names:
                 if block:
                     flush()
-                opened.subtract(o.name for o in stack[at:])
+                for o in stack[at:]:
+                    opened[o.name] -= 1
                 del stack[at:]
                 return
             if stack[at].name in stops:
@@ -247,7 +258,7 @@ def parse(source: str | None) -> Page:
         if closes:
             if name in BLOCK:
                 flush()
-            if opened[name] > 0:
+            if opened.get(name):
                 # Inline ends stay within their block; block ends close what is open inside.
                 close({name}, frozenset() if name in BLOCK else BLOCK, name in BLOCK)
             continue
@@ -259,10 +270,10 @@ def parse(source: str | None) -> Page:
             continue
         if name in BLOCK:
             flush()
-        if name in CLOSES_P:
-            close({"p"}, BLOCK - {"p"})
+        if name in CLOSES_P and opened.get("p"):
+            close({"p"}, NOT_P)
         if name in ENDS:
-            close(ENDS[name], frozenset({"ul", "ol", "dl", "table", "select", "menu"}))
+            close(ENDS[name], LISTS)
         if name in ("td", "th"):
             pieces.append((" ", stack[-1], 0))
         if len(stack) > DEPTH:
@@ -284,7 +295,7 @@ def parse(source: str | None) -> Page:
             strength[number] = words
             marks = (*marks, (number, path if name in BLOCK else f"{path}/{step}"))
         if name in BLOCK:
-            page.tags[path] += 1
+            page.tags[path] = page.tags.get(path, 0) + 1
         elif words or furniture and not top.furniture:
             pieces.append((" ", top, 0))
         if region and not furniture:
@@ -292,7 +303,7 @@ def parse(source: str | None) -> Page:
             # Teasers are articles too, but a main is one.
             page.wraps.update((n, min(region, page.wraps.get(n, region))) for n, _ in marks)
         titled = titles or top.titled and not marked
-        opened[name] += 1
+        opened[name] = opened.get(name, 0) + 1
         stack.append(_Open(name, path, furniture, max(top.region, region), top.link or name == "a", marks, titled))
     if end < len(source):
         add(source[end:])
