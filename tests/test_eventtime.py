@@ -124,3 +124,36 @@ def test_trailing_sums_with_late_events(spark, tmp_path):
         assert len(got) == len(want) and {r.id: r.trailing for r in got} == want
     assert spark.read.parquet(f"{root}/sums").count() > 100
     assert flow.intake.rows(spark, late=True).count() > 5
+
+
+def test_late_sums_without_pairs_of_events(spark, tmp_path, monkeypatch):
+    schema = spark.createDataFrame([], EVENTS).schema
+    rng = random.Random(8)
+    rows = []
+    for i in range(900):
+        t, id, amount = rng.randrange(60), None if i % 13 == 0 else i, None if i % 11 == 0 else rng.randrange(-5, 100)
+        rows.append((None if i % 17 == 0 else "a", id, t, amount, START + dt.timedelta(seconds=t)))
+    far = ("a", 5000, 99, 1, START + dt.timedelta(seconds=99))
+    # All of the second and third delivery is late, repeated rows among them, but for its last row.
+    batches = [rows[:500] + [far], rows[500:700] + rows[:20], rows[700:] + [("a", 5001, 105, None, START + dt.timedelta(seconds=105))]]
+    monkeypatch.setattr(eventtime, "late_pairs", lambda *a, **k: pytest.fail("pairs of events"))
+    flow = eventtime.TrailingSum(str(tmp_path / "flow"), schema, "key", "id", "at", "amount", 15, "20 SECONDS")
+    # The frontier after the first delivery is 79 s, after the third 85 s.
+    is_late = [lambda r: False, lambda r: r[2] < 79, lambda r: r[2] < 79]
+    stored = []
+    for epoch, batch in enumerate(batches):
+        flow.intake.sink(spark.createDataFrame(batch, schema), epoch)
+        stored += [(r, epoch, is_late[epoch](r)) for r in batch]
+        want = {}
+        for r, r_epoch, r_late in stored:
+            inside = [
+                x[3] for x, x_epoch, x_late in stored
+                if x[0] == r[0] and r[2] - 15 < x[2] <= r[2] and (r_late or x_late) and epoch in (r_epoch, x_epoch)
+                and (x[2] < r[2] or (x[1] is not None and r[1] is not None and x[1] <= r[1]))
+            ]
+            if inside:
+                want.setdefault(r[1], []).extend(x for x in inside if x is not None)
+        path = tmp_path / "flow" / "late" / f"epoch={epoch:09d}"
+        got = {r.id: r.trailing for r in spark.read.parquet(str(path)).collect()} if path.exists() else {}
+        assert got == {k: sum(v) if v else None for k, v in want.items()}
+    assert len(got) > 300

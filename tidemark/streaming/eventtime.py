@@ -292,16 +292,60 @@ class TrailingSum:
         self.root, self.key, self.id, self.at, self.amount, self.length = root, key, id, at, amount, length
         self.intake = Intake(f"{root}/in", schema, at, lateness, self._late)
 
+    def _reached(self, spark: SparkSession, epoch: int) -> DataFrame | None:
+        """The rows of which ``epoch`` completes sums with a late row, with ``_now``; None without any."""
+        stored = self.intake.rows(spark)
+        if stored is None:
+            return None
+        at, span = F.col(self.at).cast("timestamp"), F.expr(f"INTERVAL {self.length} SECONDS")
+        stored = stored.where((F.col("epoch") <= epoch) & at.isNotNull()).withColumn("_now", F.col("epoch") == epoch)
+        now, late = F.col("_now"), F.col("late")
+        if stored.where(late).isEmpty():
+            return None
+
+        def near(rows: Column) -> Column:
+            low, high = _span(stored.where(rows), at)
+            if low is None:
+                return F.lit(False)
+            return at.between(F.lit(low).cast("timestamp") - span, F.lit(high).cast("timestamp") + span)
+
+        # New rows on time matter beside earlier late ones only, and these beside any new row.
+        return stored.where((now & late) | near(now & late) | (now & near(late & ~now)) | (late & ~now & near(now & ~late)))
+
     def _late(self, spark: SparkSession, epoch: int) -> None:
-        at, length = self.at, F.expr(f"INTERVAL {self.length} SECONDS")
-        inside = (F.col(f"r.{at}").cast("timestamp") < F.col(f"l.{at}").cast("timestamp") + length) & (
-            (F.col(f"l.{at}") < F.col(f"r.{at}")) | (F.col(f"l.{self.id}") <= F.col(f"r.{self.id}"))
-        )
-        every = F.lit(True)
-        found = late_pairs(spark, self.intake, epoch, every, every, self.key, f"{self.length} SECONDS", inside)
-        if found is not None:
-            added = found.groupBy(F.col(f"r.{self.id}").alias("id")).agg(F.sum(f"l.{self.amount}").alias("trailing"))
-            added.write.mode("overwrite").parquet(f"{self.root}/late/epoch={epoch:09d}")
+        """What rows add to each other where one of the two is late and one new, as differences of running sums per tile."""
+        reached = self._reached(spark, epoch)
+        if reached is None:
+            return
+        width = self.length * 1_000_000
+
+        def added(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+            rows = rows.sort_by([("_t", "ascending"), ("_id", "ascending")])  # null ids last
+            t, tile = rows["_t"].to_numpy(), key[1].as_py()
+            own, now, late = (rows[c].to_numpy(zero_copy_only=False).astype(bool) for c in ("_mine", "_now", "late"))
+            known = rows["_amount"].is_valid().to_numpy(zero_copy_only=False)
+            amount = rows["_amount"].fill_null(0).to_numpy()
+            named = rows["_id"].is_valid().to_numpy(zero_copy_only=False)
+            code = rows["_id"].combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            # A row's sum ends with the last of its time and id; one without an id takes earlier times only.
+            start = np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (code[1:] != code[:-1])])
+            run_end = np.r_[start[1:], len(t)]
+            last = np.where(named, np.repeat(run_end, np.diff(np.r_[start, len(t)])), np.searchsorted(t, t, "left"))
+            first = np.minimum(np.searchsorted(t, t - width, "right"), last)
+            total, pairs, values = (np.zeros(len(t), np.int64) for _ in range(3))
+            every = np.ones(len(t), bool)
+            for mine, others in ((now & late, every), (now & ~late, late), (~now & late, now), (~now & ~late, now & late)):
+                for out, value in ((total, amount * others), (pairs, others), (values, others & known)):
+                    sums = np.concatenate([[0], np.cumsum(value, dtype=np.int64)])
+                    out[mine] = (sums[last] - sums[first])[mine]
+            kept = own & (pairs > 0)
+            trailing = pa.array(total[kept], pa.int64(), mask=values[kept] == 0)
+            return pa.table({"id": rows["_id"].filter(pa.array(kept)), "trailing": trailing})
+
+        tiled = self._tiled(reached).select("_key", "_tile", (F.col("_own") == F.col("_tile")).alias("_mine"), "_t", "_id", "_amount", "_now", "late")
+        schema = f"id {dict(tiled.dtypes)['_id']}, trailing long"
+        found = tiled.groupBy("_key", "_tile").applyInArrow(added, schema).groupBy("id").agg(F.sum("trailing").alias("trailing"))
+        found.write.mode("overwrite").parquet(f"{self.root}/late/epoch={epoch:09d}")
 
     def _tiled(self, rows: DataFrame) -> DataFrame:
         micros, width = F.unix_micros(F.col(self.at).cast("timestamp")), self.length * 1_000_000
