@@ -157,3 +157,21 @@ def test_bm25_scores_in_the_tasks_without_joining_words(spark, texts, monkeypatc
     # What is kept of a text is one row, not one per word, and no exchange was needed for it.
     assert kept["term-counts"][0].count() == len(rows)
     assert "Exchange hashpartitioning" not in kept["term-counts"][0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_posting_is_read_once_however_many_ask_for_it(spark, texts, tmp_path, monkeypatch):
+    root = str(tmp_path / "index")
+    docs, _ = frames(spark, texts)
+    text_index.add(docs, root, 0, "id", "text", block=100, buckets=32)
+    asked = spark.createDataFrame([(q, f"c1 c2 c3 r{q}") for q in range(60)], "query_id long, query_text string")
+    kept, plain = {}, text_index.materialize
+
+    def watched(df, label):
+        kept[label] = plain(df, label)
+        return kept[label]
+
+    monkeypatch.setattr(text_index, "materialize", watched)
+    found = text_index.search(spark, root, asked, 5, "id", 32)
+    assert ranked(found, "id") == ranked(retrieval.bm25(docs, asked, 5, "id", "text"), "id")
+    # Pairs of query and document would be 60 times the documents of the blocks.
+    assert kept["seed-scores"].count() < 60 * 200
