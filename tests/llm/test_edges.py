@@ -2,6 +2,9 @@
 
 import time
 import math
+import random
+import shutil
+import tracemalloc
 
 import brute
 import numpy as np
@@ -543,3 +546,28 @@ def test_added_tokens_in_texts(spark):
     found = packing.tokenize(documents(spark, [(i, t, "s") for i, t in enumerate(texts)]), path, with_ids=True).collect()
     whole = Tokenizer.from_file(path)
     assert {r["doc_id"]: r["ids"] for r in found} == {i: whole.encode(t, add_special_tokens=False).ids + [1] for i, t in enumerate(texts)}
+
+
+def test_encoder_forgets_words_by_their_bytes(monkeypatch, tmp_path):
+    """Words that do not come again take no more memory the more there are of them, however long they are."""
+    from tokenizers import Tokenizer
+
+    for name in ("WORDS", "PARTS"):
+        monkeypatch.setattr(packing, name, 500_000, raising=False)
+    path = str(tmp_path / "vocabulary.json")
+    shutil.copy(public_tokenizers.path("word_bpe_49k.json"), path)
+    draw = random.Random(5)
+    word = lambda: "".join(draw.choices("aeinorstÄéñ", k=300))
+    texts = [None, "", *(f"The first, {word()} don't\n{word()}, {' '.join(word() for _ in range(8))}" for _ in range(2000))]
+    whole = Tokenizer.from_file(path)
+    list(packing.encode(["The"], path))
+    tracemalloc.start()
+    try:
+        most = 0
+        for at, ids in enumerate(packing.encode(texts, path)):
+            if at % 100 == 0:
+                assert list(np.frombuffer(ids, "<u4")) == whole.encode(texts[at] or "", add_special_tokens=False).ids
+            most = max(most, tracemalloc.get_traced_memory()[0])
+    finally:
+        tracemalloc.stop()
+    assert most < 8_000_000, most

@@ -14,10 +14,11 @@ import re
 import sys
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,8 +26,12 @@ from pyspark.sql import types as T
 from tidemark.llm.common import table
 from tidemark.plans.scratch import materialize
 
-# Words a task remembers before it starts its memory anew.
-MEMORY = 700_000
+# Bytes that a task remembers of words and of their parts, in each of two generations. Parts make up more words than are met again.
+WORDS, PARTS = 24_000_000, 64_000_000
+# Bytes that an entry takes besides what grows with its key, about.
+ENTRY = 150
+# Texts that are encoded together, and the characters after which no further one is added; bytes of ids given out together.
+TEXTS, CHARACTERS, GIVEN = 64, 1 << 20, 8 << 20
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -86,6 +91,31 @@ def _pieces_pattern(tokenizer):
     return regex.compile(steps[0]["pattern"]["Regex"]) if ours else None
 
 
+class Memory:
+    """Ids by key. What is not asked for while the newer of two generations fills is forgotten."""
+
+    def __init__(self, most: int) -> None:
+        self.recent: dict = {}
+        self.older: dict = {}
+        self.most = most
+        self.long = 0
+
+    def recall(self, keys: set) -> list:
+        """Has the keys of the older generation in the newer one too; gives those that neither has."""
+        lacking, older = keys.difference(self.recent), self.older
+        self.recent.update((k, older[k]) for k in lacking if k in older)
+        return [k for k in lacking if k not in older]
+
+    def age(self, added: int) -> None:
+        """After keys of ``added`` bytes together came to the newer generation."""
+        self.long += added
+        size = len(self.recent) * ENTRY + 5 * self.long
+        if size > self.most:
+            # Half as much again came with one text: too much to be kept.
+            self.older = self.recent if 2 * size <= 3 * self.most else {}
+            self.recent, self.long = {}, 0
+
+
 def _remembered(path: str):
     """The tokenizer, its pattern, and the words and pieces already encoded, for the life of a Python worker."""
     import os
@@ -98,7 +128,7 @@ def _remembered(path: str):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        holder.__dict__[path] = (tokenizer, _pieces_pattern(tokenizer), {}, {})
+        holder.__dict__[path] = (tokenizer, _pieces_pattern(tokenizer), Memory(WORDS), Memory(PARTS))
     return holder.__dict__[path]
 
 
@@ -116,16 +146,16 @@ BYTES = _byte_characters()
 
 
 def _encode_fresh(fresh: list[bytes], path: str) -> None:
-    tokenizer, pattern, words, parts = _remembered(path)
-    if len(words) + len(fresh) > MEMORY:
-        words.clear()
-    if len(parts) > MEMORY:
-        parts.clear()
+    tokenizer, pattern, memory, memory_of_parts = _remembered(path)
     model, whole, normal = tokenizer.model, [], tokenizer.normalizer
+    words, parts, older = memory.recent, memory_of_parts.recent, memory_of_parts.older
 
     def learn(part: str) -> bytes:
-        mapped = part if part.isascii() else part.encode().decode("latin-1").translate(BYTES)
-        ids = parts[part] = array("I", [t.id for t in model.tokenize(mapped)]).tobytes()
+        ids = older.get(part)
+        if ids is None:
+            mapped = part if part.isascii() else part.encode().decode("latin-1").translate(BYTES)
+            ids = array("I", [t.id for t in model.tokenize(mapped)]).tobytes()
+        parts[part] = ids
         return ids
 
     # The model can be asked for each part where the parts are certain. It does not know added tokens.
@@ -133,13 +163,16 @@ def _encode_fresh(fresh: list[bytes], path: str) -> None:
     plain = fresh if pattern is not None else []
     if "<|" in line or not PLAIN.fullmatch(line):
         plain = [w for w in plain if b"<|" not in w and PLAIN.fullmatch(w.decode())]
-        line = b" ".join(plain).decode()
         some = set(plain)
         whole = [w for w in fresh if w not in some]
     elif pattern is None:
         whole = fresh
-    lowered = (line.lower() if line.isascii() else normal.normalize_str(line)).split(" ")
-    for w, text in zip(plain, lowered if plain else [], strict=True):
+    # The normalizer is asked for the words alone that need it.
+    others = [w for w in plain if not w.isascii()]
+    plain = [w for w in plain if w.isascii()]
+    lowered = b" ".join(plain).decode().lower().split(" ") if plain else []
+    lowered += normal.normalize_str(b" ".join(others).decode()).split(" ") if others else []
+    for w, text in zip([*plain, *others], lowered, strict=True):
         if text.isalpha():
             words[w] = parts.get(text) or learn(text)
         else:
@@ -148,21 +181,34 @@ def _encode_fresh(fresh: list[bytes], path: str) -> None:
     words.update((w, array("I", e.ids).tobytes()) for w, e in zip(whole, done))
 
 
-def encode(texts: list[str | None], path: str) -> list[bytes]:
+def _few(texts: Iterable[str | None]) -> Iterator[list[str]]:
+    """The texts in order, so few at a time that a text adds little to what is held."""
+    few, held = [], 0
+    for text in texts:
+        few.append(text or "")
+        held += len(few[-1])
+        if len(few) == TEXTS or held >= CHARACTERS:
+            yield few
+            few, held = [], 0
+    if few:
+        yield few
+
+
+def encode(texts: Iterable[str | None], path: str) -> Iterator[bytes]:
     """Token ids of each text as little-endian unsigned 32-bit numbers.
 
     The tokenizer never joins characters across white space, so words are encoded one by one and remembered."""
-    known = _remembered(path)[2]
-    out = []
-    for at in range(0, len(texts), 64):
-        split = [(t or "").encode("utf-8", "replace").split() for t in texts[at : at + 64]]
-        every = set().union(*split)
-        fresh = [w for w in every if w not in known]
+    _, _, words, parts = _remembered(path)
+    for few in _few(texts):
+        split = [t.encode("utf-8", "replace").split() for t in few]
+        fresh = words.recall(set().union(*split))
         _encode_fresh(fresh, path)
-        if len(known) <= len(fresh):  # cleared: the batch's other words are gone too
-            _encode_fresh([w for w in every if w not in known], path)
-        out += [b"".join(map(known.__getitem__, words)) for words in split]
-    return out
+        known, added = words.recent, sum(map(len, fresh))
+        for at, text in enumerate(split):
+            split[at] = b"".join(map(known.__getitem__, text))
+        words.age(added)
+        parts.age(added)
+        yield from split
 
 
 def tokenize(
@@ -179,21 +225,41 @@ def tokenize(
     ]
     if with_ids:
         fields.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
-    schema = T.StructType(fields)
     closing = int(end).to_bytes(4, "little")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for name, ids in zip(pdf[key], encode(list(pdf["text"]), path)):
+    names = [f.name for f in fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, texts = batch.columns
+            rows: list[tuple] = []
+            parts: list[bytes] = []
+            held = 0
+
+            def given() -> pa.RecordBatch:
+                at, *columns = zip(*rows)
+                types = pa.int32(), pa.int64(), pa.int64(), pa.int64()
+                out = [keys.take(pa.array(at, pa.int64())), *map(pa.array, columns, types)]
+                if with_ids:
+                    ids = pa.array(np.frombuffer(b"".join(parts), "<u4").astype(np.int32))
+                    ends = np.cumsum([0, *columns[2]]).astype(np.int32)
+                    out.append(pa.ListArray.from_arrays(pa.array(ends), ids))
+                return pa.RecordBatch.from_arrays(out, names)
+
+            for row, ids in enumerate(encode((t.as_py() for t in texts), path)):
                 ids += closing
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
-                    row = (name, piece, at // 4, len(part) // 4, zlib.crc32(part))
-                    rows.append(row + (np.frombuffer(part, "<u4").astype(np.int32),) if with_ids else row)
-            yield pd.DataFrame(rows, columns=schema.names)
-
-    return docs.select(key, "text").mapInPandas(run, schema)
+                    rows.append((row, piece, at // 4, len(part) // 4, zlib.crc32(part)))
+                    if with_ids:
+                        parts.append(part)
+                        held += len(part)
+                        if held >= GIVEN:
+                            yield given()
+                            rows, parts, held = [], [], 0
+            if rows:
+                yield given()
+
+    return docs.select(key, "text").mapInArrow(run, T.StructType(fields))
 
 
 def _pack_round(pieces: DataFrame, capacity: int, group: int, number: int) -> DataFrame:
