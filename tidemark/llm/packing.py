@@ -26,8 +26,8 @@ from pyspark.sql import types as T
 from tidemark.llm.common import table
 from tidemark.plans.scratch import materialize
 
-# Bytes that a task remembers of words and of their parts, in each of two generations. Parts make up more words than are met again.
-WORDS, PARTS = 24_000_000, 64_000_000
+# Bytes that a task remembers of words and of their parts before it starts either memory anew.
+WORDS, PARTS = 112_000_000, 64_000_000
 # Bytes that an entry takes besides what grows with its key, about.
 ENTRY = 150
 # Texts that are encoded together, and the characters after which no further one is added; bytes of ids given out together.
@@ -92,27 +92,17 @@ def _pieces_pattern(tokenizer):
 
 
 class Memory:
-    """Ids by key. What is not asked for while the newer of two generations fills is forgotten."""
+    """Ids by key, begun anew when they take more than ``most`` bytes."""
 
     def __init__(self, most: int) -> None:
         self.recent: dict = {}
-        self.older: dict = {}
         self.most = most
         self.long = 0
 
-    def recall(self, keys: set) -> list:
-        """Has the keys of the older generation in the newer one too; gives those that neither has."""
-        lacking, older = keys.difference(self.recent), self.older
-        self.recent.update((k, older[k]) for k in lacking if k in older)
-        return [k for k in lacking if k not in older]
-
     def age(self, added: int) -> None:
-        """After keys of ``added`` bytes together came to the newer generation."""
+        """After keys of ``added`` bytes together came in."""
         self.long += added
-        size = len(self.recent) * ENTRY + 5 * self.long
-        if size > self.most:
-            # Half as much again came with one text: too much to be kept.
-            self.older = self.recent if 2 * size <= 3 * self.most else {}
+        if len(self.recent) * ENTRY + 5 * self.long > self.most:
             self.recent, self.long = {}, 0
 
 
@@ -148,14 +138,11 @@ BYTES = _byte_characters()
 def _encode_fresh(fresh: list[bytes], path: str) -> None:
     tokenizer, pattern, memory, memory_of_parts = _remembered(path)
     model, whole, normal = tokenizer.model, [], tokenizer.normalizer
-    words, parts, older = memory.recent, memory_of_parts.recent, memory_of_parts.older
+    words, parts = memory.recent, memory_of_parts.recent
 
     def learn(part: str) -> bytes:
-        ids = older.get(part)
-        if ids is None:
-            mapped = part if part.isascii() else part.encode().decode("latin-1").translate(BYTES)
-            ids = array("I", [t.id for t in model.tokenize(mapped)]).tobytes()
-        parts[part] = ids
+        mapped = part if part.isascii() else part.encode().decode("latin-1").translate(BYTES)
+        ids = parts[part] = array("I", [t.id for t in model.tokenize(mapped)]).tobytes()
         return ids
 
     # The model can be asked for each part where the parts are certain. It does not know added tokens.
@@ -201,7 +188,7 @@ def encode(texts: Iterable[str | None], path: str) -> Iterator[bytes]:
     _, _, words, parts = _remembered(path)
     for few in _few(texts):
         split = [t.encode("utf-8", "replace").split() for t in few]
-        fresh = words.recall(set().union(*split))
+        fresh = list(set().union(*split).difference(words.recent))
         _encode_fresh(fresh, path)
         known, added = words.recent, sum(map(len, fresh))
         for at, text in enumerate(split):
